@@ -48,3 +48,10 @@ def drop_by_suffix(df: DataFrame, suffixes: tuple[str, ...]) -> DataFrame:
 def with_noise(df: DataFrame, name: str = "noise", seed: int = 42) -> DataFrame:
     """A standard-normal control column."""
     return df.withColumn(name, F.randn(seed))
+
+
+def long_form(df: DataFrame, columns: list[str], keep: list[str] | None = None, name: str = "column") -> DataFrame:
+    """``keep..., name, value`` with one row per row and column. Grouping it by ``name`` aggregates any
+    number of columns with one small set of partial aggregates instead of one set per column."""
+    entries = ", ".join(f"struct('{c}' AS {name}, CAST(`{c}` AS DOUBLE) AS value)" for c in columns)
+    return df.select(*(keep or []), F.expr(f"inline(array({entries}))"))

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ebbtide.functions.columns import long_form
 from ebbtide.session import work_folder
 
 WEIGHTS_SCHEMA = T.StructType(
@@ -26,8 +27,7 @@ def named_values(spark: SparkSession, values: dict[str, float], value: str) -> D
 
 
 def feature_means(df: DataFrame, columns: list[str], value: str) -> DataFrame:
-    row = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in columns])
-    return row.unpivot([], columns, "feature", value)
+    return long_form(df, columns, name="feature").groupBy("feature").agg(F.avg("value").alias(value))
 
 
 def linear_attribution(train: DataFrame, valid: DataFrame, weights: dict[str, float]) -> DataFrame:

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ebbtide.functions.columns import long_form
+
 PAIRS_SCHEMA = T.StructType(
     [
         T.StructField("feature", T.StringType()),
@@ -45,10 +47,8 @@ def _correlation(x: Column, y: Column) -> Column:
 
 def correlation_with_target(df: DataFrame, columns: list[str], target: str) -> DataFrame:
     """``feature, correlation`` with the target in one pass over the rows."""
-    y = F.col(target).cast("double")
-    both = [(F.col(c).cast("double"), c) for c in columns]
-    row = df.agg(*[_correlation(x, y).alias(c) for x, c in both])
-    return row.unpivot([], columns, "feature", "correlation")
+    long = long_form(df.withColumn("_target", F.col(target).cast("double")), columns, ["_target"], "feature")
+    return long.groupBy("feature").agg(_correlation(F.col("value"), F.col("_target")).alias("correlation"))
 
 
 def ranked_by_correlation(table: DataFrame) -> DataFrame:

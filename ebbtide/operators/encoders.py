@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ebbtide.functions.columns import numeric_columns, string_columns
+from ebbtide.functions.columns import long_form, numeric_columns, string_columns
 from ebbtide.operators.quantiles import exact_quantiles
 from ebbtide.operators.ranking import dense_ranks
 from ebbtide.session import broadcast_if_small, stage
@@ -92,17 +92,15 @@ def standard_scale(df: DataFrame, columns: list[str]) -> dict[str, tuple[float,
     """Centre and scale per column: mean and population deviation, scale 1 for constants."""
     if not columns:
         return {}
-    fitted = df.agg(
-        *[F.avg(c).alias(f"{c}__mean") for c in columns], *[F.stddev_pop(c).alias(f"{c}__std") for c in columns]
-    ).first()
-    return {c: (fitted[f"{c}__mean"] or 0.0, fitted[f"{c}__std"] or 1.0) for c in columns}
+    moments = long_form(df, columns).groupBy("column").agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"))
+    fitted = {r["column"]: (r["mean"] or 0.0, r["std"] or 1.0) for r in moments.collect()}
+    return {c: fitted.get(c, (0.0, 1.0)) for c in columns}
 
 
 def column_quartiles(df: DataFrame, columns: list[str]) -> DataFrame:
     """``column, quantiles``: exact quartiles of every column, at any number of rows."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
-    long = df.select(F.inline(pairs)).where(F.col("value").isNotNull() & ~F.isnan("value"))
-    return exact_quantiles(long, ["column"], "value", [0.25, 0.5, 0.75], largest_group=df.count())
+    values = long_form(df, columns).where(F.col("value").isNotNull() & ~F.isnan("value"))
+    return exact_quantiles(values, ["column"], "value", [0.25, 0.5, 0.75], largest_group=df.count())
 
 
 def robust_scale(df: DataFrame, columns: list[str]) -> dict[str, tuple[float, float]]:

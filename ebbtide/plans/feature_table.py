@@ -32,7 +32,7 @@ def training_table(
     churn_after_days: int = CHURN_AFTER_DAYS,
     limits: Limits = Limits(),
 ) -> DataFrame:
-    """188 columns per user: ID, 182 numeric features, 5 attributes and the label.
+    """188 columns per user: ID, 181 numeric features, 5 attributes and the label.
 
     The label looks at all activity, also at that of users whose country has no calendar; those users
     only drop out of the features. Both come from the same user spans, written once.

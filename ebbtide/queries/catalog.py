@@ -46,7 +46,10 @@ def register(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
 
 
 def rounded(df: DataFrame, names: list[str], digits: int = sql.DIGITS) -> DataFrame:
-    return df.withColumns({n: F.round(F.col(n).cast("double"), digits) for n in names})
+    wanted = set(names)
+    return df.selectExpr(
+        *[f"round(CAST(`{n}` AS DOUBLE), {digits}) AS `{n}`" if n in wanted else f"`{n}`" for n in df.columns]
+    )
 
 
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,8 +110,8 @@ def holiday_dimension(spark, sf_dir):
 
 @register(
     "holidays_by_week_start",
-    f"WITH {sql.HOLIDAYS} SELECT country, CAST(holiday - k AS DATE) AS start_date_of_week, count(*) AS holiday_count "
-    "FROM holidays, range(7) AS r(k) GROUP BY country, holiday - k",
+    f"WITH {sql.HOLIDAYS} SELECT country, holiday - CAST(k AS INT) AS start_date_of_week, count(*) AS holiday_count "
+    "FROM holidays, range(7) AS r(k) GROUP BY country, holiday - CAST(k AS INT)",
 )
 def week_starts(spark, sf_dir):
     return holidays_by_week_start(views.holidays(spark, sf_dir))
