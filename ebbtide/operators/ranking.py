@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ebbtide.session import stage
+
 BUCKETS = 256
 _BUCKET = "_bucket"
 _EDGES = "_edges"
@@ -28,9 +30,11 @@ def sampled_edges(df: DataFrame, order: str, buckets: int = BUCKETS) -> Column:
 
 
 def with_bucket(df: DataFrame, order: str, buckets: int = BUCKETS) -> DataFrame:
+    """``df`` with the number of its bucket, written once because bucket totals and rows are both
+    derived from it."""
     edges = sampled_edges(df, order, buckets)
     below = F.size(F.filter(F.col(_EDGES), lambda edge: edge < F.col(order)))
-    return df.withColumn(_EDGES, edges).withColumn(_BUCKET, below).drop(_EDGES)
+    return stage(df.withColumn(_EDGES, edges).withColumn(_BUCKET, below).drop(_EDGES), "buckets")
 
 
 def running_sums(
