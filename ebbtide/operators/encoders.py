@@ -119,6 +119,11 @@ def scaled(column: str, centre: float, scale: float) -> Column:
     return (F.col(column) - F.lit(float(centre))) / F.lit(float(scale))
 
 
+def scaled_sql(column: str, centre: float, scale: float) -> str:
+    """The same as SQL text: one call per column to the JVM, which matters for wide tables."""
+    return f"(CAST(`{column}` AS DOUBLE) - ({float(centre)!r}D)) / {float(scale)!r}D AS `{column}`"
+
+
 class _EncoderParams(Params):
     scaler = Param(Params._dummy(), "scaler", "robust, standard or none", TypeConverters.toString)
     excluded = Param(Params._dummy(), "excluded", "columns left as they are", TypeConverters.toListString)
@@ -190,10 +195,11 @@ class ColumnEncoderModel(Model, _EncoderParams, DefaultParamsReadable, DefaultPa
                 code = self._inline_code(column, codes["labels"], unknown)
             keep_null = null_code != null_code
             outputs[column] = code if keep_null else F.coalesce(code, F.lit(null_code).cast("float"))
-        outputs |= {c: scaled(c, *fit).alias(c) for c, fit in learned["scale"].items()}
+        scales = [scaled_sql(c, *fit) for c, fit in learned["scale"].items()]
         handled = {*learned["one_hot"], *learned["ordinal"], *learned["scale"], *excluded}
         rest = [c for c in df.columns if c not in handled]
-        return df.select(*[col.alias(name) for name, col in outputs.items()], *rest, *excluded)
+        encoded = [col.alias(name) for name, col in outputs.items()]
+        return df.select(*encoded, *map(F.expr, scales), *rest, *excluded)
 
     @staticmethod
     def _table(spark: SparkSession, path: str) -> DataFrame:

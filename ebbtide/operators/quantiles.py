@@ -27,7 +27,7 @@ def _brackets(
 ) -> DataFrame:
     slack = 2.0 / accuracy
     edges = [e for p in probabilities for e in (max(p - slack, 0.0), min(p + slack, 1.0))]
-    sketched = values.where(F.col(value).isNotNull()).groupBy(*by).agg(
+    sketched = values.groupBy(*by).agg(
         F.count(value).alias("_n"),
         F.percentile_approx(value, edges, accuracy).alias("_edges"),
         F.min(value).alias("_least"),
@@ -43,6 +43,23 @@ def _brackets(
     return sketched.select(*by, "_n", *bounds)
 
 
+def _counted_in_brackets(
+    known: DataFrame, by: list[str], value: str, probabilities: list[float], accuracy: int, whole: int
+) -> DataFrame:
+    """Rows per value inside a bracket; the others are counted at the bracket edge below them."""
+    brackets = stage(_brackets(known, by, value, probabilities, accuracy, whole), "brackets")
+    v, nothing = F.col(value), F.lit(float("-inf"))
+    inside, edge = F.lit(False), nothing
+    for i in range(len(probabilities)):
+        inside = inside | v.between(F.col(f"_low{i}"), F.col(f"_high{i}"))
+        edge = F.greatest(edge, F.when(F.col(f"_high{i}") <= v, F.col(f"_high{i}")).otherwise(nothing))
+    return (
+        known.join(broadcast_if_small(brackets), by)
+        .groupBy(*by, "_n", F.when(inside, v).otherwise(edge).alias("_point"))
+        .agg(F.count(F.lit(1)).alias("_count"))
+    )
+
+
 def exact_quantiles(
     values: DataFrame,
     by: list[str],
@@ -56,19 +73,13 @@ def exact_quantiles(
 
     ``values`` has one double ``value`` per row; nulls are ignored and all-null groups are absent.
     """
-    accuracy = accuracy or sketch_accuracy(largest_group)
-    brackets = stage(_brackets(values, by, value, probabilities, accuracy, whole_group_rows), "brackets")
-    v = F.col(value)
-    inside, floor = F.lit(False), F.lit(float("-inf"))
-    for i in range(len(probabilities)):
-        inside = inside | v.between(F.col(f"_low{i}"), F.col(f"_high{i}"))
-        floor = F.greatest(floor, F.when(F.col(f"_high{i}") <= v, F.col(f"_high{i}")).otherwise(F.lit(float("-inf"))))
-    counted = (
-        values.where(v.isNotNull())
-        .join(broadcast_if_small(brackets), by)
-        .groupBy(*by, "_n", F.when(inside, v).otherwise(floor).alias("_point"))
-        .agg(F.count(F.lit(1)).alias("_count"))
-    )
+    known = values.where(F.col(value).isNotNull())
+    if largest_group <= whole_group_rows:
+        counted = known.groupBy(*by, F.col(value).alias("_point")).agg(F.count(F.lit(1)).alias("_count"))
+        counted = counted.withColumn("_n", F.sum("_count").over(Window.partitionBy(*by)))
+    else:
+        accuracy = accuracy or sketch_accuracy(largest_group)
+        counted = _counted_in_brackets(known, by, value, probabilities, accuracy, whole_group_rows)
     upward = Window.partitionBy(*by).orderBy("_point").rowsBetween(Window.unboundedPreceding, 0)
     ranked = counted.withColumn("_until", F.sum("_count").over(upward))
     last = F.col("_n") - 1

@@ -182,7 +182,7 @@ def weak_columns(result: Training, limit: float, columns: list[str]) -> list[str
 
 
 def eliminate(
-    rows: DataFrame, estimator: Estimator, limit: float = LEAST_IMPORTANCE, rounds: int = 50, **options
+    rows: DataFrame, estimator: Estimator, limit: float = LEAST_IMPORTANCE, **options
 ) -> tuple[Training, list[str]]:
     """Refit without the columns of least importance until none is left to drop."""
     rows = stage(stratified_split(rows, CHURNED, ID), "split-rows")
@@ -190,8 +190,7 @@ def eliminate(
     while True:
         result = train_evaluate(rows.drop(*dropped), estimator, same_split=True, **options)
         weak = weak_columns(result, limit, [c for c in rows.columns if c not in [*BOOKKEEPING, *dropped]])
-        rounds -= 1
-        if not weak or rounds <= 0:
+        if not weak:
             return result, dropped
         dropped += weak
 
@@ -219,7 +218,6 @@ def eliminate_by_noise(
     patience: int = 100,
     limit: float = LEAST_IMPORTANCE,
     same_split: bool = True,
-    max_passes: int = 50,
     seed: int = 42,
 ) -> tuple[Training, list[str], list[str]]:
     """Boosting with a noise column: drop every column not more important than the noise (or than
@@ -248,9 +246,8 @@ def eliminate_by_noise(
         bar = max(limit, found[NOISE])
         candidates = [c for c in current.columns if c not in [*BOOKKEEPING, NOISE]]
         weak = weak_columns(Training(model, 0.5, table, table, table), bar, candidates)
-        max_passes -= 1
         # Never drop everything: a noise column that beats all others ends the search.
-        dropped += weak if weak and len(weak) < len(candidates) and max_passes > 0 else [NOISE]
+        dropped += weak if weak and len(weak) < len(candidates) else [NOISE]
     scored = _scores(model, valid)
     base = scored if same_split else _scores(model, weighted_part(current, F.col("split") == "valid"))
     calibrator = fit_isotonic(base, CHURNED, PROBABILITY, WEIGHT)

@@ -169,7 +169,7 @@ def _column_fates(spark: SparkSession, kept: list[str], dropped: list[str]) -> D
 @register("elimination_by_importance")
 def elimination(spark, sf_dir):
     rows = rows_for_models(spark, sf_dir)
-    _, dropped = training.eliminate(rows, forest, limit=0.002)
+    _, dropped = training.eliminate(rows, lambda train: models.random_forest(trees=5, depth=3))
     kept = [c for c in rows.columns if c not in [*training.BOOKKEEPING, *dropped]]
     return _column_fates(spark, kept, dropped)
 
@@ -177,7 +177,7 @@ def elimination(spark, sf_dir):
 @register("elimination_by_noise")
 def noise_elimination(spark, sf_dir):
     _, kept, dropped = training.eliminate_by_noise(
-        rows_for_models(spark, sf_dir), rounds=ROUNDS, depth=ROUND_DEPTH, patience=ROUNDS, max_passes=4
+        rows_for_models(spark, sf_dir), rounds=ROUNDS, depth=ROUND_DEPTH, patience=ROUNDS
     )
     return _column_fates(spark, kept, dropped)
 
