@@ -120,27 +120,64 @@ class _Tree:
         self.rule = [np.asarray(r, float) for r in nodes["rule"]]
         self.threshold = np.array([r[0] if len(r) else np.nan for r in self.rule])
 
+    def step(self, x: np.ndarray, at: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """The child each of ``rows`` moves to from its node in ``at``."""
+        node = at[rows]
+        seen = x[rows, self.feature[node]]
+        go_left = seen <= self.threshold[node]
+        for n in np.unique(node[self.categorical[node]]):
+            here = node == n
+            go_left[here] = np.isin(seen[here], self.rule[n])
+        return np.where(go_left, self.left[node], self.right[node])
+
+    def leaf_values(self, x: np.ndarray) -> np.ndarray:
+        at, rows = np.zeros(len(x), int), np.arange(len(x))
+        while len(rows := rows[self.left[at[rows]] >= 0]):
+            at[rows] = self.step(x, at, rows)
+        return self.value[at]
+
     def add_contributions(self, x: np.ndarray, weight: float, out: np.ndarray) -> None:
         """Every step from a node to its child credits the change of the node mean to the feature
         the node splits on."""
-        at = np.zeros(len(x), int)
-        rows = np.arange(len(x))
-        while True:
-            rows = rows[self.left[at[rows]] >= 0]
-            if not len(rows):
-                return
-            node = at[rows]
-            feature = self.feature[node]
-            seen = x[rows, feature]
-            go_left = seen <= self.threshold[node]
-            for n in np.unique(node[self.categorical[node]]):
-                here = node == n
-                go_left[here] = np.isin(seen[here], self.rule[n])
-            child = np.where(go_left, self.left[node], self.right[node])
-            np.add.at(out, (rows, feature), weight * (self.value[child] - self.value[node]))
+        at, rows = np.zeros(len(x), int), np.arange(len(x))
+        while len(rows := rows[self.left[at[rows]] >= 0]):
+            node, child = at[rows], self.step(x, at, rows)
+            np.add.at(out, (rows, self.feature[node]), weight * (self.value[child] - self.value[node]))
             at[rows] = child
 
 
+def _shipped_trees(model, spark: SparkSession):
+    """Trees and their weights as a broadcast variable, and the margin before any split."""
+    trees = [_Tree(part) for _, part in tree_nodes(model, spark).groupby("tree")]
+    weights = list(model.treeWeights)
+    bias = float(sum(w * t.value[0] for w, t in zip(weights, trees)))
+    return spark.sparkContext.broadcast((trees, weights)), bias
+
+
+def _matrix(batch: pd.DataFrame) -> np.ndarray:
+    return np.vstack(batch["_x"].to_numpy()) if len(batch) else np.zeros((0, 1))
+
+
+def staged_scores(model, rows: DataFrame, keep: list[str], vector: str = "features") -> DataFrame:
+    """``keep..., iteration, score``: the probability of every row after each boosting round."""
+    shipped, _ = _shipped_trees(model, rows.sparkSession)
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forest, scales = shipped.value
+        for batch in batches:
+            x = _matrix(batch)
+            margins = np.cumsum([w * t.leaf_values(x) for t, w in zip(forest, scales)], axis=0)
+            yield batch[keep].assign(_p=list(1 / (1 + np.exp(-2 * margins.T))))
+
+    schema = T.StructType([*[rows.schema[c] for c in keep], T.StructField("_p", T.ArrayType(T.DoubleType()))])
+    return (
+        rows.select(*keep, vector_to_array(vector).alias("_x"))
+        .mapInPandas(walk, schema)
+        .select(*keep, F.posexplode("_p").alias("iteration", "score"))
+        .withColumn("iteration", F.col("iteration") + 1)
+    )
+
+
 def tree_contributions(
     model, scored: DataFrame, features: list[str], key: str, vector: str = "features"
 ) -> DataFrame:
@@ -149,17 +186,12 @@ def tree_contributions(
     Over the features of a row the contributions plus the bias give the raw margin of the model. The
     rows stay in their partitions; the executors get the flattened trees once.
     """
-    spark = scored.sparkSession
-    nodes = tree_nodes(model, spark)
-    trees = [_Tree(part) for _, part in nodes.groupby("tree")]
-    weights = list(model.treeWeights)
-    shipped = spark.sparkContext.broadcast((trees, weights))
-    bias = float(sum(w * t.value[0] for w, t in zip(weights, trees)))
+    shipped, bias = _shipped_trees(model, scored.sparkSession)
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         forest, scales = shipped.value
         for batch in batches:
-            x = np.vstack(batch["_x"].to_numpy()) if len(batch) else np.zeros((0, len(features)))
+            x = _matrix(batch)
             out = np.zeros(x.shape)
             for tree, scale in zip(forest, scales):
                 tree.add_contributions(x, scale, out)

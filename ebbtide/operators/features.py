@@ -35,7 +35,7 @@ from ebbtide.schemas import (
     feature_name,
     holiday_feature,
 )
-from ebbtide.session import stage
+from ebbtide.session import broadcast_if_small, stage
 
 LIFETIME = 0
 _DAYS = "_days"
@@ -174,6 +174,9 @@ def user_features(
         _aggregate(heavy, horizons, carry, limits.median_rows)
     )
 
-    large = users.where(F.col(USER_ROWS).between(limits.median_rows + 1, hot_rows))
+    # Counted and broadcast while there are few of them, so that the activity is not shuffled again.
+    large = broadcast_if_small(
+        stage(users.where(F.col(USER_ROWS).between(limits.median_rows + 1, hot_rows)), "large-users")
+    )
     medians = _large_medians(enriched(cold, large).unionByName(heavy), horizons, largest)
     return _flat(wide.join(medians, ID, "left"), horizons, carry, large_medians=True)

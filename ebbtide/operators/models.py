@@ -15,7 +15,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ebbtide.operators.attribution import staged_scores
 from ebbtide.operators.encoders import ColumnEncoder, feature_output_columns
+from ebbtide.operators.metrics import ranking_metrics
 
 LABEL = "label"
 WEIGHT = "weight"
@@ -150,6 +152,18 @@ def learning_curve(model: GBTClassificationModel, parts: dict[str, DataFrame]) -
     return spark.createDataFrame(rows, CURVE_SCHEMA)
 
 
+def ranking_curves(model: GBTClassificationModel, parts: dict[str, DataFrame], label: str) -> DataFrame:
+    """``iteration, split, metric, value``: weighted average precision and ROC area after every round.
+    All rounds and splits are one grouped evaluation."""
+    staged = None
+    for name, part in parts.items():
+        scores = staged_scores(model, part.select(label, WEIGHT, FEATURES), [label, WEIGHT]).withColumn("split", F.lit(name))
+        staged = scores if staged is None else staged.unionByName(scores)
+    by = ["iteration", "split"]
+    found = ranking_metrics(staged, label, "score", WEIGHT, by)
+    return found.unpivot(by, ["average_precision", "auc"], "metric", "value")
+
+
 def best_round(losses: list[float], patience: int = PATIENCE) -> int:
     """1-based round of the least loss before ``patience`` rounds without improvement."""
     best = 0

@@ -75,6 +75,14 @@ def boosting_curves(spark, sf_dir):
     return _boosted(train, valid)[1]
 
 
+@register("boosting_ranking_curves")
+def boosting_ranking_curves(spark, sf_dir):
+    train, valid = parts(spark, sf_dir)
+    model, _ = _boosted(train, valid)
+    split = {"train": models.assembled(model, train), "valid": models.assembled(model, valid)}
+    return models.ranking_curves(model.stages[-1], split, CHURNED)
+
+
 @register("boosting_importances")
 def boosting_importances(spark, sf_dir):
     train, valid = parts(spark, sf_dir)

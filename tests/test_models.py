@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ebbtide.operators import attribution, models
+from ebbtide.operators.metrics import ranking_metrics
 from ebbtide.plans import training
 from ebbtide.plans.scoring import load_model, score
 from ebbtide.schemas import CHURNED, ID
@@ -88,6 +89,17 @@ def test_tree_contributions_give_the_margin(boosted, halves):
     assert summary.mean_abs_contribution.drop("a").max() < summary.mean_abs_contribution["a"]
 
 
+def test_ranking_curves_end_at_the_scores_of_the_model(boosted, halves):
+    model, _ = boosted
+    rows = {"valid": models.assembled(model, halves[1])}
+    curves = models.ranking_curves(model.stages[-1], rows, CHURNED).toPandas()
+    last = curves[curves.iteration == model.stages[-1].getNumTrees].set_index("metric").value
+    scored = model.transform(halves[1]).withColumn("p", training.positive_probability())
+    expected = ranking_metrics(scored, CHURNED, "p", "weight").first()
+    assert last["auc"] == pytest.approx(expected.auc) and len(curves) == 2 * model.stages[-1].getNumTrees
+    assert last["average_precision"] == pytest.approx(expected.average_precision)
+
+
 def test_isotonic_calibration_is_monotone_and_ignores_row_order(spark, halves):
     draw = np.random.default_rng(2)
     p = np.round(draw.random(400), 2)
