@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -30,9 +31,11 @@ def build_session(app: str = "ebbtide", master: str | None = None, **settings) -
 
 
 def work_folder(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a local one is made only where none is named."""
+    """The shared folder the cluster names. Only a session without executors of its own, as in tests, may go without."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="ebbtide-")
         spark.sparkContext.setCheckpointDir(named)
     return f"{named.rstrip('/')}/ebbtide"
