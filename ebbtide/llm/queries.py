@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ebbtide.llm.common import read
+from ebbtide.llm.group_join import similar_documents
+from ebbtide.llm.line_dedup import without_repeats
 from ebbtide.llm.winnowing import contaminated_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +26,16 @@ def register(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+@register("op3_token_group_join")
+def op3(spark, sf_dir):
+    return similar_documents(read(spark, sf_dir, "documents"), width=3, percent=90)
+
+
+@register("op5_line_windows")
+def op5(spark, sf_dir):
+    return without_repeats(read(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
+
+
 @register("op9_winnowing")
 def op9(spark, sf_dir):
     return contaminated_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
