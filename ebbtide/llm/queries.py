@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ebbtide.llm.common import read
 from ebbtide.llm.group_join import similar_documents
+from ebbtide.llm.html_text import extracted_pages
 from ebbtide.llm.line_dedup import without_repeats
 from ebbtide.llm.packing import packed
 from ebbtide.llm.winnowing import contaminated_documents
@@ -27,6 +28,11 @@ def register(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+@register("op2_text_density")
+def op2(spark, sf_dir):
+    return extracted_pages(read(spark, sf_dir, "pages"))
+
+
 @register("op3_token_group_join")
 def op3(spark, sf_dir):
     return similar_documents(read(spark, sf_dir, "documents"), width=3, percent=90)
