@@ -87,6 +87,7 @@ def _sets(width: int, percent: int):
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(2),
                     pa.array(sizes, pa.int64()),
                     pa.array(np.array(one, np.uint64).view(np.int64)),
                     pa.array(np.array(two, np.uint64).view(np.int64)),
@@ -94,7 +95,7 @@ def _sets(width: int, percent: int):
                         pa.array(ends, pa.int32()), pa.array(np.concatenate(keys).view(np.int64)) if keys else pa.array([], pa.int64())
                     ),
                 ],
-                names=["doc_id", "n_shingles", "one", "two", "keys"],
+                names=["doc_id", "body", "n_shingles", "one", "two", "keys"],
             )
 
     return run
@@ -169,9 +170,13 @@ def similar_documents(docs: DataFrame, width: int = 5, percent: int = 80, id_col
     component. Ids are integers; a row without an id gets no component. Repeated ids are documents of their own and
     equal sets are one class whose smallest id stands for it. Other columns are ignored."""
     common.text_batches(docs.sparkSession)
+    return _classified(docs, width, percent, id_col).drop("body")
+
+
+def _classified(docs: DataFrame, width: int, percent: int, id_col: str) -> DataFrame:
     docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), "text")
     sets = stage(
-        docs.mapInArrow(_sets(width, percent), "doc_id bigint, n_shingles bigint, one bigint, two bigint, keys array<bigint>"),
+        docs.withColumn("body", F.xxhash64("text")).mapInArrow(_sets(width, percent), "doc_id bigint, body bigint, n_shingles bigint, one bigint, two bigint, keys array<bigint>"),
         "shingle-sets",
     )
     same = ["n_shingles", "one", "two"]
@@ -187,11 +192,11 @@ def similar_documents(docs: DataFrame, width: int = 5, percent: int = 80, id_col
     buckets = stage(keyed.join(shared, "key"), "shared-keys")
     found = components(buckets, docs, width, percent)
     return (
-        sets.select("doc_id", *same)
+        sets.select("doc_id", "body", *same)
         .join(classes, same, "left")
         .withColumn("class_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")))
         .join(found.withColumnRenamed("id", "class_id"), "class_id", "left")
-        .select(F.col("doc_id").alias(id_col), "n_shingles", F.coalesce("component", "class_id").alias("component_id"))
+        .select(F.col("doc_id").alias(id_col), "body", "n_shingles", F.coalesce("component", "class_id").alias("component_id"))
     )
 
 
@@ -232,7 +237,9 @@ def components(buckets: DataFrame, docs: DataFrame, width: int, percent: int) ->
 
 def representatives(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id") -> DataFrame:
     """``docs`` with one document of each component of :func:`similar_documents`: the one with the smallest id.
-    Rows without an id stay; a repeated row stays as often as it is given."""
-    found = similar_documents(docs, width, percent, id_col)
-    gone = found.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
-    return docs.join(gone, id_col, "left_anti")
+    Rows without an id stay, rows that repeat both id and text stay as often as given. All columns stay."""
+    common.text_batches(docs.sparkSession)
+    found = _classified(docs, width, percent, id_col)
+    gone = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_id"), F.col("body").alias("_gone")).distinct()
+    marked = docs.withColumn("_body", F.xxhash64("text"))
+    return marked.join(gone, (marked[id_col] == gone["_id"]) & (marked["_body"] == gone["_gone"]), "left_anti").drop("_body")

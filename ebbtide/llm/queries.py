@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from ebbtide.llm.common import read
 from ebbtide.llm.group_join import similar_documents
 from ebbtide.llm.html_text import extracted_pages
 from ebbtide.llm.line_dedup import without_repeats
-from ebbtide.llm.packing import packed
+from ebbtide.llm.packing import packed, vocabulary
+from ebbtide.llm.quality import scored
 from ebbtide.llm.winnowing import contaminated_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,18 +45,21 @@ def op5(spark, sf_dir):
     return without_repeats(read(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
 
 
-def vocabulary() -> tuple[str, str, str]:
-    """Paths of the installed vocabulary for both libraries, and its word pattern."""
-    import public_tokenizers
-
-    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-
-
 @register("op7_vector_best_fit")
 def op7(spark, sf_dir):
     return packed(read(spark, sf_dir, "documents"), *vocabulary())
 
 
+@register("op8_weak_label_quality")
+def op8(spark, sf_dir):
+    return scored(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 @register("op9_winnowing")
 def op9(spark, sf_dir):
     return contaminated_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@register("pipeline")
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)

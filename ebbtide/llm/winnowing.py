@@ -72,7 +72,7 @@ def _hits(words: np.ndarray, k: int, span: int, whole: list[int], outside: int)
 
 
 def _scan(kind: str, k: int, span: int, whole: list[int], bitmap) -> callable:
-    """Arrow batches (id, row, text) to (id, row, n_words, hits)."""
+    """Arrow batches (id, row, text, body) to (id, row, body, n_words, hits)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = bitmap.value if bitmap is not None else None
@@ -106,10 +106,11 @@ def _scan(kind: str, k: int, span: int, whole: list[int], bitmap) -> callable:
                 [
                     batch.column(0),
                     batch.column(1),
+                    batch.column(3),
                     pa.array(n_words, pa.int64()),
                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), struct),
                 ],
-                names=[batch.schema.names[0], "row", "n_words", "hits"],
+                names=[batch.schema.names[0], "row", "body", "n_words", "hits"],
             )
 
     return run
@@ -117,8 +118,8 @@ def _scan(kind: str, k: int, span: int, whole: list[int], bitmap) -> callable:
 
 def _scanned(table: DataFrame, id_col: str, kind: str, k: int, span: int, whole: list[int], bitmap) -> DataFrame:
     text_batches(table.sparkSession)
-    rows = table.select(id_col, F.monotonically_increasing_id().alias("row"), F.col("text"))
-    kept = f"{id_col} {dict(table.dtypes)[id_col]}, row bigint, n_words bigint, hits {HITS}"
+    rows = table.select(id_col, F.monotonically_increasing_id().alias("row"), "text", F.xxhash64("text").alias("body"))
+    kept = f"`{id_col}` {dict(table.dtypes)[id_col]}, row bigint, body bigint, n_words bigint, hits {HITS}"
     return stage(rows.mapInArrow(_scan(kind, k, span, whole, bitmap), kept), f"{kind}-fingerprints")
 
 
@@ -144,7 +145,7 @@ def contamination(
 
     Words are runs of ASCII letters and digits and of all non-ASCII characters, A-Z read as a-z. A run is hit where
     ``span`` consecutive words of an item occur, or a whole item of fewer words. Returns ``(documents, runs)``:
-    documents (id, row, n_words), runs (row, item, lo, hi) with words counted from 0 and ``hi`` excluded.
+    documents (id, row, body, n_words), runs (row, item, lo, hi) with words counted from 0 and ``hi`` excluded.
 
     Null or empty texts have no words and no hits. An item without words matches nothing. Rows are told apart by
     ``row``, so repeated ids, repeated rows and null ids are documents of their own. Other columns are ignored."""
@@ -170,7 +171,7 @@ def contamination(
         .select("row", "item", (F.col("at") - F.col("l")).alias("lo"), (F.col("at") + F.col("size") + F.col("r")).alias("hi"))
         .distinct()
     )
-    return scanned.select(id_col, "row", "n_words"), stage(runs, "hit-runs")
+    return scanned.select(id_col, "row", "body", "n_words"), stage(runs, "hit-runs")
 
 
 def contaminated_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", item_col: str = "item_id", span: int = 10, k: int = 5) -> DataFrame:
@@ -199,3 +200,11 @@ def contaminated_documents(docs: DataFrame, benchmark: DataFrame, id_col: str =
         F.sha2(F.concat_ws(",", listed), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
     )
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", item_col: str = "item_id", span: int = 10, k: int = 5) -> DataFrame:
+    """``docs`` without the contaminated documents, with all columns. Rows are told apart by id and text."""
+    counted, runs = contamination(docs, benchmark, id_col, item_col, span, k)
+    hit = counted.join(runs.select("row").distinct(), "row", "left_semi").select(F.col(id_col).alias("_id"), F.col("body").alias("_hit")).distinct()
+    marked = docs.withColumn("_body", F.xxhash64("text"))
+    return marked.join(hit, marked[id_col].eqNullSafe(hit["_id"]) & (marked["_body"] == hit["_hit"]), "left_anti").drop("_body")
