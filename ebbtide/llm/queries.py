@@ -14,6 +14,7 @@ from ebbtide.llm.line_dedup import without_repeats
 from ebbtide.llm.packing import packed, vocabulary
 from ebbtide.llm.quality import scored
 from ebbtide.llm.winnowing import contaminated_documents
+from ebbtide.llm.zip_warc import archived
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -45,6 +46,19 @@ def op5(spark, sf_dir):
     return without_repeats(read(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
 
 
+REVISITS = """WITH payloads AS (SELECT page_id, coalesce(html, '') AS payload, sha256(coalesce(html, '')) AS digest FROM pages),
+firsts AS (SELECT digest, min(page_id) AS least FROM payloads WHERE octet_length(encode(payload)) >= 100 GROUP BY digest)
+SELECT page_id, CAST(octet_length(encode(payload)) AS BIGINT) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN page_id > least THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id > least THEN least END AS refers_to
+FROM payloads LEFT JOIN firsts USING (digest)"""
+
+
+@register("op6_zip_packaged_warc", REVISITS)
+def op6(spark, sf_dir):
+    return archived(read(spark, sf_dir, "pages"))
+
+
 @register("op7_vector_best_fit")
 def op7(spark, sf_dir):
     return packed(read(spark, sf_dir, "documents"), *vocabulary())
