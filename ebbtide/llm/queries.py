@@ -11,6 +11,7 @@ from ebbtide.llm.common import read
 from ebbtide.llm.group_join import similar_documents
 from ebbtide.llm.html_text import extracted_pages
 from ebbtide.llm.line_dedup import without_repeats
+from ebbtide.llm.nn_descent import near_duplicates
 from ebbtide.llm.packing import packed, vocabulary
 from ebbtide.llm.quality import scored
 from ebbtide.llm.winnowing import contaminated_documents
@@ -74,6 +75,11 @@ def op9(spark, sf_dir):
     return contaminated_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+@register("op10_nn_descent")
+def op10(spark, sf_dir):
+    return near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 @register("pipeline")
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
