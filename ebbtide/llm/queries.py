@@ -13,6 +13,8 @@ from ebbtide.llm.html_text import extracted_pages
 from ebbtide.llm.line_dedup import without_repeats
 from ebbtide.llm.nn_descent import near_duplicates
 from ebbtide.llm.packing import packed, vocabulary
+from ebbtide.llm.pii import with_pseudonyms
+from ebbtide.llm.preferences import preference_pairs, rendered_pairs
 from ebbtide.llm.quality import scored
 from ebbtide.llm.winnowing import contaminated_documents
 from ebbtide.llm.zip_warc import archived
@@ -47,6 +49,61 @@ def op5(spark, sf_dir):
     return without_repeats(read(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
 
 
+# Stands for the key that a deployment draws at random and keeps; the query only has to give the same result each time.
+DEMONSTRATION_KEY = b"a key for tables of invented data"
+
+
+@register("op1_feistel_pseudonyms")
+def op1(spark, sf_dir):
+    return with_pseudonyms(read(spark, sf_dir, "documents"), DEMONSTRATION_KEY)
+
+
+PREFERENCES = """WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         max(CASE WHEN role = 'assistant' THEN turn END) OVER (PARTITION BY conv_id) AS last_reply
+  FROM conversations),
+chosen AS (SELECT conv_id AS pair_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS i
+           FROM turns WHERE last_reply IS NOT NULL),
+mixed AS (SELECT conv_id AS pair_id, 0 AS part, turn, role, text FROM turns WHERE turn < last_reply
+          UNION ALL
+          SELECT conv_id - 1, 1, turn, role, text FROM turns WHERE turn >= last_reply),
+rejected AS (SELECT pair_id, role, text, row_number() OVER (PARTITION BY pair_id ORDER BY part, turn, role, text) AS i
+             FROM mixed WHERE pair_id IN (SELECT pair_id FROM chosen)),
+sizes AS (SELECT pair_id, (SELECT count(*) FROM chosen c WHERE c.pair_id = p.pair_id) AS n_chosen,
+                 (SELECT count(*) FROM rejected r WHERE r.pair_id = p.pair_id) AS n_rejected
+          FROM (SELECT DISTINCT pair_id FROM chosen) p),
+differ AS (SELECT c.pair_id, min(c.i) AS i FROM chosen c LEFT JOIN rejected r ON r.pair_id = c.pair_id AND r.i = c.i
+           WHERE r.i IS NULL OR r.role <> c.role OR r.text <> c.text GROUP BY c.pair_id),
+shared AS (SELECT s.pair_id, n_chosen, n_rejected, coalesce(d.i - 1, n_chosen) AS n_prompt FROM sizes s LEFT JOIN differ d USING (pair_id)),
+headed AS (SELECT h.*, coalesce(c.role = 'assistant' AND (r.role = 'assistant' OR r.role IS NULL), false) AS opens,
+                  r.role IS NOT NULL AS has_rejected
+           FROM shared h LEFT JOIN chosen c ON c.pair_id = h.pair_id AND c.i = n_prompt + 1
+                         LEFT JOIN rejected r ON r.pair_id = h.pair_id AND r.i = n_prompt + 1),
+prompts AS (SELECT h.pair_id, coalesce(string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '' ORDER BY i)
+                     FILTER (WHERE i <= n_prompt), '') || CASE WHEN any_value(opens) THEN '<|im_start|>assistant' || chr(10) ELSE '' END AS prompt
+            FROM headed h JOIN chosen c USING (pair_id) GROUP BY h.pair_id),
+pieces AS (SELECT side, pair_id, i, role,
+                  CASE WHEN opens AND i = n_prompt + 1 THEN '' ELSE '<|im_start|>' || role || chr(10) END AS head,
+                  text || '<|im_end|>' || chr(10) AS body
+           FROM (SELECT 'chosen' AS side, * FROM chosen UNION ALL SELECT 'rejected', * FROM rejected) JOIN headed USING (pair_id) WHERE i > n_prompt),
+placed AS (SELECT *, coalesce(sum(length(head) + length(body)) OVER (PARTITION BY side, pair_id ORDER BY i
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + length(head) AS start FROM pieces),
+sides AS (SELECT side, pair_id, string_agg(head || body, '' ORDER BY i) AS completion,
+                 coalesce(string_agg(CAST(start AS VARCHAR) || '+' || CAST(length(body) AS VARCHAR), ',' ORDER BY i)
+                          FILTER (WHERE role = 'assistant'), '') AS trained
+          FROM placed GROUP BY side, pair_id)
+SELECT h.pair_id, CAST(n_prompt AS INT) AS n_prompt_turns, prompt, coalesce(a.completion, '') AS chosen, coalesce(a.trained, '') AS chosen_trained,
+       coalesce(b.completion, '') AS rejected, coalesce(b.trained, '') AS rejected_trained
+FROM headed h JOIN prompts p USING (pair_id) LEFT JOIN sides a ON a.pair_id = h.pair_id AND a.side = 'chosen'
+LEFT JOIN sides b ON b.pair_id = h.pair_id AND b.side = 'rejected'"""
+
+
+@register("op4_preference_pairs", PREFERENCES)
+def op4(spark, sf_dir):
+    """Every conversation with a reply is chosen; its rejected side ends with the last reply of the next conversation."""
+    return rendered_pairs(*preference_pairs(read(spark, sf_dir, "conversations")))
+
+
 REVISITS = """WITH payloads AS (SELECT page_id, coalesce(html, '') AS payload, sha256(coalesce(html, '')) AS digest FROM pages),
 firsts AS (SELECT digest, min(page_id) AS least FROM payloads WHERE octet_length(encode(payload)) >= 100 GROUP BY digest)
 SELECT page_id, CAST(octet_length(encode(payload)) AS BIGINT) AS payload_bytes, digest AS payload_digest,
