@@ -6,10 +6,10 @@ threshold are opened.
 
 Which groups a query meets at all is found without comparing documents. The hash range is cut into more parts than
 two linked sets can have different tokens, so some part holds the same tokens on both sides: a key per part is exact.
-Sets that share a key form a bucket. Round one puts each bucket's smallest id in a group of its own and asks the rest
-of the bucket; round two takes the components found so far, in pieces of bounded size, as groups and asks the
-documents of other components that still share a key with one. A query needs one link per group, so a family of n
-near copies costs about n comparisons."""
+Sets that share a key form a bucket. Round one puts each bucket's most central document in a group of its own and asks
+the rest of the bucket. Round two keeps what shares keys with other components than its own, groups it by common keys,
+in pieces of bounded size, and asks the groups in which a query shares a key with a member. A query gets one link
+per component, so a family of n near copies costs about n links."""
 
 from __future__ import annotations
 
@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbtide.llm import common
@@ -25,7 +25,9 @@ from ebbtide.llm.text import SPACED, gram_hashes, mix, utf8, word_hashes
 from ebbtide.session import stage
 
 # Members whose tokens a task holds at once, and queries that one task streams past them.
-GROUP_MEMBERS, GROUP_QUERIES = 256, 2000
+GROUP_MEMBERS, GROUP_TOKENS, GROUP_QUERIES = 1024, 4_000_000, 2000
+PEELS = 3  # times that documents with too few shared keys are put aside
+NEVER = (1 << 31) - 1
 
 
 def shingles(raw: np.ndarray | None, width: int) -> np.ndarray:
@@ -44,16 +46,18 @@ def _band_starts() -> np.ndarray:
 BANDS = _band_starts()  # wider than any threshold from 72 % allows two linked sizes to differ
 
 
-def part_keys(tokens: np.ndarray, percent: int) -> np.ndarray:
-    """Keys of a set of which two sets with Jaccard similarity of ``percent`` or more share one, unless equal.
+def part_keys(tokens: np.ndarray, percent: int) -> tuple[np.ndarray, list[int]]:
+    """Keys of a set of which two sets with Jaccard similarity of ``percent`` or more share some, unless equal; and
+    how many, for bands of even and of odd number (the last bit of a key).
 
     Two linked sets of at most R tokens differ in at most 2R(100-p)/(100+p) of them. There are ``spare`` more parts
-    than that, so ``spare`` parts agree; keys of empty parts are needed only by sets with as many empty parts."""
-    size = len(tokens)
+    than that, so ``spare`` parts agree; keys of empty parts are needed only by sets with as many empty parts. With
+    the sizes that can meet the set at hand, more parts have to agree, of which some may be empty."""
+    size, needs = len(tokens), [NEVER, NEVER]
     if not size:
-        return tokens
+        return tokens, needs
     own = int(np.searchsorted(BANDS, size, "right")) - 1
-    keys = []
+    found = []
     for band in [own, own + 1] if size * 100 // percent >= BANDS[own + 1] else [own]:
         largest = int(BANDS[band + 1]) - 1
         differ = 2 * largest * (100 - percent) // (100 + percent)
@@ -66,23 +70,29 @@ def part_keys(tokens: np.ndarray, percent: int) -> np.ndarray:
         full = part[first]
         sums = np.add.reduceat(mix(tokens ^ np.uint64(0xA0761D6478BD642F)), first)
         tag = np.uint64(band) << np.uint64(40)
-        keys.append(mix(sums ^ mix(full + tag)))
+        keys = mix(sums ^ mix(full + tag))
+        partner = min(size * 100 // percent, largest)
+        agree = parts - (size + partner) * (100 - percent) // (100 + percent)
+        needs[band % 2] = max(1, agree - (parts - len(full)))
         if parts - len(full) >= spare:
             empty = np.setdiff1d(np.arange(parts, dtype=np.uint64), full, assume_unique=True)
-            keys.append(mix(mix(empty + tag) ^ np.uint64(1)))
-    return np.concatenate(keys) if keys else np.zeros(0, np.uint64)
+            keys = np.concatenate([keys, mix(mix(empty + tag) ^ np.uint64(1))])
+        found.append(keys & ~np.uint64(1) | np.uint64(band % 2))
+    return (np.concatenate(found) if found else np.zeros(0, np.uint64)), needs
 
 
 def _sets(width: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, one, two, keys = [], [], [], []
+            sizes, one, two, keys, needs = [], [], [], [], []
             for raw in utf8(batch.column(1)):
                 tokens = shingles(raw, width)
                 sizes.append(len(tokens))
                 one.append(mix(tokens).sum(dtype=np.uint64))
                 two.append(mix(tokens ^ np.uint64(0xE7037ED1A0B428DB)).sum(dtype=np.uint64))
-                keys.append(part_keys(tokens, percent))
+                own, need = part_keys(tokens, percent)
+                keys.append(own)
+                needs.append(need)
             ends = np.cumsum([0, *map(len, keys)])
             yield pa.RecordBatch.from_arrays(
                 [
@@ -91,71 +101,82 @@ def _sets(width: int, percent: int):
                     pa.array(sizes, pa.int64()),
                     pa.array(np.array(one, np.uint64).view(np.int64)),
                     pa.array(np.array(two, np.uint64).view(np.int64)),
+                    *(pa.array([need[i] for need in needs], pa.int32()) for i in range(2)),
                     pa.ListArray.from_arrays(
                         pa.array(ends, pa.int32()), pa.array(np.concatenate(keys).view(np.int64)) if keys else pa.array([], pa.int64())
                     ),
                 ],
-                names=["doc_id", "body", "n_shingles", "one", "two", "keys"],
+                names=["doc_id", "body", "n_shingles", "one", "two", "even", "odd", "keys"],
             )
 
     return run
 
 
-def _open(width: int, percent: int):
-    """Rows (g, piece, salt, role, doc_id, text), sorted so that a group's members come before its queries."""
+class Group:
+    """Members' tokens as one sorted union that knows for each token who holds it: a row of the token-group matrix."""
+
+    def __init__(self, members: list[tuple[int, int, np.ndarray]]):
+        self.ids, self.own = (np.array([m[i] for m in members], np.int64) for i in range(2))
+        self.sizes = np.array([len(m[2]) for m in members])
+        tokens = np.concatenate([m[2] for m in members])
+        holders = np.repeat(np.arange(len(members), dtype=np.int32), self.sizes)
+        order = np.argsort(tokens, kind="stable")
+        tokens, self.holders = tokens[order], holders[order]
+        self.starts = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
+        self.union = tokens[self.starts]
+        self.counts = np.diff(np.append(self.starts, len(tokens)))
+
+    def links(self, own: int, tokens: np.ndarray, percent: int) -> list[int]:
+        """A similar member of each component other than ``own``; the group stays closed if the union rules it out."""
+        at = np.minimum(np.searchsorted(self.union, tokens), len(self.union) - 1)
+        at = at[self.union[at] == tokens]
+        if 100 * len(at) < percent * len(tokens):
+            return []
+        n = self.counts[at]
+        places = np.repeat(self.starts[at] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        both = np.bincount(self.holders[places], minlength=len(self.ids))
+        found = np.flatnonzero((100 * both >= percent * (len(tokens) + self.sizes - both)) & (self.own != own))
+        _, first = np.unique(self.own[found], return_index=True)
+        return self.ids[found[first]].tolist()
+
 
-    def jaccard(a: np.ndarray, b: np.ndarray) -> bool:
-        if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
-            return False
-        small, large = (a, b) if len(a) <= len(b) else (b, a)
-        at = np.searchsorted(large, small)
-        both = int((large[np.minimum(at, len(large) - 1)] == small).sum())
-        return 100 * both >= percent * (len(a) + len(b) - both)
+def _open(width: int, percent: int):
+    """Rows (g, piece, salt, role, doc_id, own, text), sorted so that a group's members come before its queries."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, members, union = None, [], None
+        key, members, group = None, [], None
         for batch in batches:
-            keys = zip(*(batch.column(i).to_pylist() for i in range(5)))
+            rows = zip(*(batch.column(i).to_pylist() for i in range(6)))
             links = []
-            for (g, piece, salt, role, doc), raw in zip(keys, utf8(batch.column(5))):
-                if (g, piece, salt) != group:
-                    group, members, union = (g, piece, salt), [], None
+            for (g, piece, salt, role, doc, own), raw in zip(rows, utf8(batch.column(6))):
+                if (g, piece, salt) != key:
+                    key, members, group = (g, piece, salt), [], None
                 tokens = shingles(raw, width)
                 if not len(tokens):
                     continue
                 if role == 0:
-                    members.append((doc, tokens))
-                    continue
-                if not members:
-                    continue
-                if union is None:
-                    union = np.unique(np.concatenate([t for _, t in members]))
-                at = np.minimum(np.searchsorted(union, tokens), len(union) - 1)
-                if 100 * int((union[at] == tokens).sum()) < percent * len(tokens):
-                    continue
-                other = next((m for m, t in members if m != doc and jaccard(t, tokens)), None)
-                if other is not None:
-                    links.append((doc, other))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x[i] for x in links], pa.int64()) for i in range(2)], names=["a", "b"]
-            )
+                    members.append((doc, own, tokens))
+                elif members:
+                    group = group or Group(members)
+                    links += [(doc, other) for other in group.links(own, tokens, percent)]
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in links], pa.int64()) for i in range(2)], names=["a", "b"])
 
     return run
 
 
 def open_groups(groups: DataFrame, queries: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """A link (a, b) for each query and group (g, piece) of which it is similar to a member, at most one.
+    """Links (a, b) of each query (g, piece, doc_id, own) with members of its group (g, piece, doc_id, own) of other
+    components ``own``, one for each component.
 
-    Groups have at most about GROUP_MEMBERS members; the queries of a group are dealt over as many tasks as they
-    need, each of which gets the members."""
+    The queries of a group are dealt over as many tasks as they need, each of which gets the members."""
     counts = queries.groupBy("g", "piece").agg(F.ceil(F.count("*") / GROUP_QUERIES).cast("int").alias("salts"))
     members = groups.join(counts, ["g", "piece"]).select(
-        "g", "piece", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("role"), "doc_id"
+        "g", "piece", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("role"), "doc_id", "own"
     )
     asked = queries.join(counts, ["g", "piece"]).select(
-        "g", "piece", F.pmod(F.xxhash64("doc_id"), "salts").cast("int").alias("salt"), F.lit(1).alias("role"), "doc_id"
+        "g", "piece", F.pmod(F.xxhash64("doc_id"), "salts").cast("int").alias("salt"), F.lit(1).alias("role"), "doc_id", "own"
     )
-    rows = members.union(asked).join(texts, "doc_id").select("g", "piece", "salt", "role", "doc_id", "text")
+    rows = members.union(asked).join(texts, "doc_id").select("g", "piece", "salt", "role", "doc_id", "own", "text")
     spark = texts.sparkSession
     dealt = rows.repartition(common.width(spark), "g", "piece", "salt").sortWithinPartitions("g", "piece", "salt", "role", "doc_id")
     return dealt.mapInArrow(_open(width, percent), "a bigint, b bigint")
@@ -176,20 +197,21 @@ def similar_documents(docs: DataFrame, width: int = 5, percent: int = 80, id_col
 def _classified(docs: DataFrame, width: int, percent: int, id_col: str) -> DataFrame:
     docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), "text")
     sets = stage(
-        docs.withColumn("body", F.xxhash64("text")).mapInArrow(_sets(width, percent), "doc_id bigint, body bigint, n_shingles bigint, one bigint, two bigint, keys array<bigint>"),
+        docs.withColumn("body", F.xxhash64("text")).mapInArrow(_sets(width, percent), "doc_id bigint, body bigint, n_shingles bigint, one bigint, two bigint, even int, odd int, keys array<bigint>"),
         "shingle-sets",
     )
     same = ["n_shingles", "one", "two"]
     classes = stage(
         sets.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*same).agg(F.min("doc_id").alias("class_id")), "set-classes"
     )
-    leaders = sets.select("doc_id", *same, "keys").where(F.size("keys") > 0)
+    leaders = sets.select("doc_id", *same, "even", "odd", "keys").where(F.size("keys") > 0)
     leaders = leaders.join(classes.withColumnRenamed("class_id", "doc_id"), ["doc_id", *same], "left_semi")
     keyed = leaders.select(F.explode("keys").alias("key"), "doc_id")
-    shared = (
-        keyed.groupBy("key").agg(F.min("doc_id").alias("lead"), F.max("doc_id").alias("last")).where("lead < last").select("key", "lead")
-    )
-    buckets = stage(keyed.join(shared, "key"), "shared-keys")
+    shared = keyed.groupBy("key").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("last")).where("least < last").select("key")
+    needs = sets.select("doc_id", "even", "odd", F.col("n_shingles").alias("size")).where(F.size("keys") > 0)
+    buckets = stage(keyed.join(shared, "key").join(needs.distinct(), "doc_id"), "shared-keys")
+    for _ in range(PEELS):
+        buckets = stage(_peeled(buckets, "doc_id"), "shared-keys")
     found = components(buckets, docs, width, percent)
     return (
         sets.select("doc_id", "body", *same)
@@ -201,38 +223,75 @@ def _classified(docs: DataFrame, width: int, percent: int, id_col: str) -> DataF
 
 
 def components(buckets: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Components (id, component) of the documents in buckets (key, doc_id, lead) that have a link."""
-    wanted = buckets.select("doc_id").distinct()
-    texts = stage(docs.join(wanted, "doc_id", "left_semi"), "bucket-texts")
+    """Components (id, component) of the documents in buckets (key, doc_id) that have a link."""
+    texts = stage(docs.join(buckets.select("doc_id").distinct(), "doc_id", "left_semi"), "bucket-texts")
+    # The document whose keys lie in the largest buckets is in the middle of a family of near copies.
+    sizes = buckets.groupBy("key").agg(F.count("*").alias("n"))
+    central = buckets.join(sizes, "key").groupBy("doc_id").agg(F.sum("n").alias("score"))
+    scored = stage(buckets.select("key", "doc_id").join(central, "doc_id"), "buckets")
+    leads = scored.groupBy("key").agg(F.max_by("doc_id", F.struct("score", -F.col("doc_id"))).alias("g"))
     asked = stage(
-        buckets.where("doc_id <> lead").select(F.col("lead").alias("g"), F.lit(0).alias("piece"), "doc_id").distinct(), "bucket-queries"
-    )
-    stars = asked.select("g", "piece").distinct().withColumn("doc_id", F.col("g"))
-    links = stage(open_groups(stars, asked, texts, width, percent), "bucket-links")
-    found = stage(common.components(links), "first-components")
-
-    named = buckets.select("key", "doc_id").join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left")
-    named = named.select("key", "doc_id", F.coalesce("component", "doc_id").alias("g"))
-    mixed = named.groupBy("key").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo < hi").select("key")
-    open_buckets = stage(named.join(mixed, "key", "left_semi"), "open-buckets")
-    if open_buckets.isEmpty():
+        scored.join(leads, "key").where("doc_id <> g").select("g", F.lit(0).alias("piece"), "doc_id").distinct(), "star-queries"
+    ).withColumn("own", F.col("doc_id"))
+    stars = asked.select("g", "piece").distinct().withColumn("doc_id", F.col("g")).withColumn("own", F.col("g"))
+    links = stage(open_groups(stars, asked, texts, width, percent), "links")
+    found = stage(common.components(links), "components")
+    left = buckets
+    for _ in range(PEELS):
+        left = stage(_peeled(_named(left, found), "g"), "open-buckets")
+    if left.isEmpty():
         return found
-    members = open_buckets.select("g", "doc_id").distinct()
-    pieces = members.groupBy("g").agg(F.ceil(F.count("*") / GROUP_MEMBERS).alias("pieces"))
-    groups = stage(
-        members.join(pieces, "g").select("g", F.pmod(F.xxhash64("doc_id"), "pieces").cast("int").alias("piece"), "doc_id"), "groups"
+    more = _exhaustive(left, texts, width, percent)
+    return common.components(stage(links.union(more), "all-links"))
+
+
+def _peeled(buckets: DataFrame, group: str) -> DataFrame:
+    """What of buckets (key, doc_id, even, odd, ...) can still hold a link between different values of ``group``: keys
+    with two of them, of documents that share as many keys as a link takes."""
+    mixed = buckets.groupBy("key").agg(F.min(group).alias("lo"), F.max(group).alias("hi")).where("lo < hi").select("key")
+    kept = buckets.join(mixed, "key", "left_semi")
+    odd = F.pmod("key", F.lit(2))
+    counts = kept.groupBy("doc_id").agg(F.sum(1 - odd).alias("n_even"), F.sum(odd).alias("n_odd"), F.max("even").alias("e"), F.max("odd").alias("o"))
+    alive = counts.select(
+        "doc_id", (F.col("n_even") >= F.col("e")).alias("keep_even"), (F.col("n_odd") >= F.col("o")).alias("keep_odd")
+    ).where("keep_even OR keep_odd")
+    joined = kept.join(alive, "doc_id").where(F.when(odd == 1, F.col("keep_odd")).otherwise(F.col("keep_even")))
+    return joined.select(*buckets.columns)
+
+
+def _named(buckets: DataFrame, found: DataFrame) -> DataFrame:
+    """Buckets with each document's component ``g``."""
+    named = buckets.drop("g").join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left")
+    return named.select("key", "doc_id", "even", "odd", "size", F.coalesce("component", "doc_id").alias("g"))
+
+
+def _exhaustive(left: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links between components ``g`` that share keys.
+
+    A document that has to share r of its k keys meets every partner on its k - r + 1 rarest ones. Documents are
+    grouped by the most common of these, in pieces of bounded size."""
+    sizes = left.groupBy("key").agg(F.count("*").alias("n"))
+    odd = F.pmod("key", F.lit(2))
+    own = Window.partitionBy("doc_id", odd)
+    need = F.when(odd == 1, F.col("odd")).otherwise(F.col("even"))
+    rare = stage(
+        left.join(sizes, "key")
+        .withColumn("rank", F.row_number().over(own.orderBy("n", "key")))
+        .withColumn("k", F.count("*").over(own))
+        .where(F.col("rank") <= F.col("k") - need + 1)
+        .select("key", "doc_id", "n", "size", F.col("g").alias("own")),
+        "rare-keys",
     )
-    present = open_buckets.join(groups, ["g", "doc_id"]).select("key", "g", "piece").distinct()
-    asked = stage(
-        open_buckets.withColumnRenamed("g", "own")
-        .join(present, "key")
-        .where("own > g")
-        .select("g", "piece", "doc_id")
-        .distinct(),
-        "group-queries",
+    homes = rare.groupBy("doc_id", "own", "size").agg(F.max_by("key", F.struct("n", "key")).alias("g"))
+    pieces = homes.groupBy("g").agg(
+        F.ceil(F.greatest(F.count("*") / GROUP_MEMBERS, F.sum("size") / GROUP_TOKENS)).alias("pieces")
     )
-    more = open_groups(groups, asked, texts, width, percent)
-    return common.components(stage(links.union(more), "all-links"))
+    groups = stage(
+        homes.join(pieces, "g").select("g", F.pmod(F.xxhash64("doc_id"), "pieces").cast("int").alias("piece"), "doc_id", "own"), "groups"
+    )
+    present = rare.select("key", "doc_id").join(groups, "doc_id").select("key", "g", "piece").distinct()
+    asked = stage(rare.select("key", "doc_id", "own").join(present, "key").select("g", "piece", "doc_id", "own").distinct(), "group-queries")
+    return open_groups(groups, asked, texts, width, percent)
 
 
 def representatives(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id") -> DataFrame:
