@@ -20,6 +20,11 @@ def text_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", TEXT_ROWS)
 
 
+def boxed(df: DataFrame) -> DataFrame:
+    """``df`` as one column ``doc`` that holds the whole row, so that no name of its columns meets another."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("doc"))
+
+
 def width(spark: SparkSession) -> int:
     """Partitions for an explicit shuffle: as many as the session's own shuffles have."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -299,6 +299,7 @@ def representatives(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     Rows without an id stay, rows that repeat both id and text stay as often as given. All columns stay."""
     common.text_batches(docs.sparkSession)
     found = _classified(docs, width, percent, id_col)
-    gone = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_id"), F.col("body").alias("_gone")).distinct()
-    marked = docs.withColumn("_body", F.xxhash64("text"))
-    return marked.join(gone, (marked[id_col] == gone["_id"]) & (marked["_body"] == gone["_gone"]), "left_anti").drop("_body")
+    gone = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("gone_id"), F.col("body").alias("gone_body")).distinct()
+    rows = common.boxed(docs).withColumn("body", F.xxhash64("doc.text"))
+    same = (F.col(f"doc.{id_col}") == F.col("gone_id")) & (F.col("body") == F.col("gone_body"))
+    return rows.join(gone, same, "left_anti").select("doc.*")

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.llm.common import text_batches
+from ebbtide.llm.common import boxed, text_batches
 from ebbtide.llm.text import SPACED, _spans, gram_hashes, mix, utf8, word_hashes
 from ebbtide.session import stage
 
@@ -132,14 +132,13 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     own = scanned.where(F.size("again") > 0).select("ord", "body", F.explode("again").alias("at"))
     cuts = later.union(own).groupBy("ord", "body").agg(F.collect_set("at").alias("cuts"))
     lines = scanned.where("n_lines > 0").select("ord", "body", "n_lines").distinct().join(cuts, ["ord", "body"], "left")
-    marked = docs.select("*", *[e.alias(f"_{n}") for n, e in keyed.items()])
-    lines = lines.select(F.col("ord").alias("_ord"), F.col("body").alias("_body"), "n_lines", F.col("cuts").alias("_cuts"))
-    joined = marked.join(lines, ["_ord", "_body"], "left")
+    rows = boxed(docs).select("doc", F.coalesce(F.col(f"doc.{id_col}").cast("bigint"), F.lit(NO_ID)).alias("ord"), F.xxhash64("doc.text").alias("body"))
     rewritten = F.pandas_udf(_rewritten, "text string, n_removed bigint")
-    new = joined.withColumn("_new", rewritten(F.when(F.col("_cuts").isNotNull(), F.col("text")), "_cuts"))
-    text = F.when(F.col("_cuts").isNotNull(), F.col("_new.text")).otherwise(F.col("text"))
+    cut = F.col("cuts").isNotNull()
+    new = rows.join(lines, ["ord", "body"], "left").withColumn("new", rewritten(F.when(cut, F.col("doc.text")), "cuts"))
+    text = F.when(cut, F.col("new.text")).otherwise(F.col("doc.text"))
     return new.select(
-        *[text.alias("text") if c == "text" else F.col(c) for c in docs.columns],
+        *[text.alias("text") if c == "text" else F.col(f"doc.`{c}`") for c in docs.columns],
         F.coalesce("n_lines", F.lit(0)).cast("bigint").alias("n_lines"),
-        F.coalesce("_new.n_removed", F.lit(0)).alias("n_removed"),
+        F.coalesce("new.n_removed", F.lit(0)).alias("n_removed"),
     )

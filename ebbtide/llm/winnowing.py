@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ebbtide.llm.common import text_batches
+from ebbtide.llm.common import boxed, text_batches
 from ebbtide.llm.text import ALNUM, gram_hashes, mix, utf8, word_hashes
 from ebbtide.session import stage
 
@@ -205,6 +205,7 @@ def contaminated_documents(docs: DataFrame, benchmark: DataFrame, id_col: str =
 def clean_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", item_col: str = "item_id", span: int = 10, k: int = 5) -> DataFrame:
     """``docs`` without the contaminated documents, with all columns. Rows are told apart by id and text."""
     counted, runs = contamination(docs, benchmark, id_col, item_col, span, k)
-    hit = counted.join(runs.select("row").distinct(), "row", "left_semi").select(F.col(id_col).alias("_id"), F.col("body").alias("_hit")).distinct()
-    marked = docs.withColumn("_body", F.xxhash64("text"))
-    return marked.join(hit, marked[id_col].eqNullSafe(hit["_id"]) & (marked["_body"] == hit["_hit"]), "left_anti").drop("_body")
+    hit = counted.join(runs.select("row").distinct(), "row", "left_semi").select(F.col(id_col).alias("hit_id"), F.col("body").alias("hit_body")).distinct()
+    rows = boxed(docs).withColumn("body", F.xxhash64("doc.text"))
+    same = F.col(f"doc.{id_col}").eqNullSafe(F.col("hit_id")) & (F.col("body") == F.col("hit_body"))
+    return rows.join(hit, same, "left_anti").select("doc.*")
