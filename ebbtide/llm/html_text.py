@@ -191,6 +191,14 @@ def measure(root: Node) -> list[Node]:
     return order
 
 
+def _whole(node: Node) -> Node:
+    """The article that a subtree is part of, with its thinly worded blocks, or the subtree itself."""
+    outer = node
+    while outer is not None and outer.name not in ("article", "main"):
+        outer = outer.parent
+    return outer or node
+
+
 def _content(root: Node) -> list[Node]:
     """The subtrees that are kept, in page order."""
     order = measure(root)
@@ -210,7 +218,7 @@ def _content(root: Node) -> list[Node]:
     while stack:
         node = stack.pop()
         if node.density >= threshold - 1e-9:
-            kept.add(id(best[id(node)]) if best[id(node)].total > 0 else id(node))
+            kept.add(id(_whole(best[id(node)] if best[id(node)].total > 0 else node)))
             stack.extend(c for c in node.children if isinstance(c, Node))
     found, stack = [], [root]
     while stack:

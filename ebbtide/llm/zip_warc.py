@@ -58,7 +58,7 @@ def members(file: pa.NativeFile) -> list[Member]:
     file.seek(tail_at)
     tail = file.read(size - tail_at)
     at = tail.rfind(struct.pack("<I", END_SIGN))
-    while at >= 0 and at + 22 + struct.unpack_from("<H", tail, at + 20)[0] != len(tail):
+    while at >= 0 and (at + 22 > len(tail) or at + 22 + struct.unpack_from("<H", tail, at + 20)[0] != len(tail)):
         at = tail.rfind(struct.pack("<I", END_SIGN), 0, at)
     if at < 0:
         raise ValueError("no end of central directory record: not a ZIP package")
