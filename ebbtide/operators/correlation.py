@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import math
+from collections.abc import Iterator
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,23 +21,52 @@ PAIRS_SCHEMA = T.StructType(
 )
 
 
+SUMS = ["n", "x", "y", "xx", "yy", "xy"]
+
+
+def _pair_sums(n_columns: int, centres: list[float]):
+    """Arrow batches of ``n_columns`` doubles to one row of sums per pair of columns (i >= j) and task, over the rows
+    in which neither is missing; values are taken from ``centres``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(SUMS), n_columns, n_columns))
+        for batch in batches:
+            values = np.stack([batch.column(i).to_numpy(zero_copy_only=False).astype(float) for i in range(n_columns)], axis=1)
+            there = ~np.isnan(values)
+            x = np.where(there, values - centres, 0.0)
+            m = there.astype(float)
+            total += np.stack([m.T @ m, x.T @ m, m.T @ x, (x * x).T @ m, m.T @ (x * x), x.T @ x])
+        i, j = np.tril_indices(n_columns)
+        yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(j), *(pa.array(t[i, j]) for t in total)], names=["i", "j", *SUMS])
+
+    return run
+
+
 def correlation_pairs(df: DataFrame, columns: list[str], lower_triangle: bool = True) -> DataFrame:
-    """``feature, other, correlation`` for every pair of columns; null where a column is constant.
+    """``feature, other, correlation`` for every pair of columns, each over the rows in which both have a value
+    (null and NaN are none); null where a column is constant there.
 
-    The moments are added up by the executors; the driver sees one number per pair of columns.
+    A task adds up its rows to one number per pair and sum, so what is shuffled follows the tasks, not the rows.
     ``lower_triangle`` gives each pair once and leaves out the diagonal.
     """
-    vectors = VectorAssembler(inputCols=columns, outputCol="_v").transform(
-        df.select([F.col(c).cast("double").alias(c) for c in columns])
+    if not columns:
+        return df.sparkSession.createDataFrame([], PAIRS_SCHEMA)
+    doubles = df.select([F.col(c).cast("double").alias(c) for c in columns])
+    present = long_form(doubles, columns).where(F.col("value").isNotNull() & ~F.isnan("value"))
+    means = {r["column"]: r["mean"] for r in present.groupBy("column").agg(F.avg("value").alias("mean")).collect()}
+    partial = doubles.mapInArrow(
+        _pair_sums(len(columns), [means.get(c, 0.0) for c in columns]),
+        "i bigint, j bigint, " + ", ".join(f"{s} double" for s in SUMS),
     )
-    matrix = Correlation.corr(vectors, "_v", "pearson").first()[0].toArray()
-    rows = [
-        (a, b, None if math.isnan(matrix[i, j]) else float(matrix[i, j]))
-        for i, a in enumerate(columns)
-        for j, b in enumerate(columns)
-        if not lower_triangle or i > j
-    ]
-    return df.sparkSession.createDataFrame(rows, PAIRS_SCHEMA)
+    sums = partial.groupBy("i", "j").agg(*[F.sum(s).alias(s) for s in SUMS])
+    spread = (F.col("n") * F.col("xx") - F.col("x") * F.col("x")) * (F.col("n") * F.col("yy") - F.col("y") * F.col("y"))
+    value = F.when(spread > 0, (F.col("n") * F.col("xy") - F.col("x") * F.col("y")) / F.sqrt(spread))
+    names = F.array(*[F.lit(c) for c in columns])
+    pairs = sums.select(F.get(names, "i").alias("feature"), F.get(names, "j").alias("other"), value.alias("correlation"), (F.col("i") > F.col("j")).alias("below"))
+    if lower_triangle:
+        return pairs.where("below").drop("below")
+    mirrored = pairs.where("below").select(F.col("other").alias("feature"), F.col("feature").alias("other"), "correlation")
+    return pairs.drop("below").unionByName(mirrored)
 
 
 def _correlation(x: Column, y: Column) -> Column:
@@ -46,9 +75,12 @@ def _correlation(x: Column, y: Column) -> Column:
 
 
 def correlation_with_target(df: DataFrame, columns: list[str], target: str) -> DataFrame:
-    """``feature, correlation`` with the target in one pass over the rows."""
+    """``feature, correlation`` with the target in one pass, over the rows in which both have a value; null for a
+    column without any."""
     long = long_form(df.withColumn("_target", F.col(target).cast("double")), columns, ["_target"], "feature")
-    return long.groupBy("feature").agg(_correlation(F.col("value"), F.col("_target")).alias("correlation"))
+    both = F.col("value").isNotNull() & ~F.isnan("value") & F.col("_target").isNotNull()
+    x, y = F.when(both, F.col("value")), F.when(both, F.col("_target"))
+    return long.groupBy("feature").agg(_correlation(x, y).alias("correlation"))
 
 
 def ranked_by_correlation(table: DataFrame) -> DataFrame:

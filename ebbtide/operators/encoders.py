@@ -7,11 +7,12 @@ be saved with it. Output columns keep their names; one-hot columns are called ``
 from __future__ import annotations
 
 import json
+from functools import reduce
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,8 +23,9 @@ from ebbtide.operators.ranking import dense_ranks
 from ebbtide.session import broadcast_if_small, stage
 
 ONE_HOT_CATEGORIES = 5
-INLINE_LABELS = 200
+MISSING = "None"  # names the indicator of missing values
 UNKNOWN_CODE = -1.0
+LABELS_SCHEMA = "column string, label string, code float"
 
 
 def category_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -54,17 +56,21 @@ def route_columns(df: DataFrame, columns: list[str] | None = None) -> tuple[list
 
 
 def one_hot_labels(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
-    """Sorted categories of each column; only for columns routed to one-hot, hence few."""
+    """Sorted categories of each column, None last where a value is missing; only for columns routed to one-hot,
+    hence few."""
     if not columns:
         return {}
-    row = df.agg(*[F.array_sort(F.collect_set(c)).alias(c) for c in columns]).first()
-    return {c: row[c] for c in columns}
+    found = [F.array_sort(F.collect_set(c)).alias(c) for c in columns]
+    gaps = [F.max(F.col(c).isNull()).alias(f"gap_{i}") for i, c in enumerate(columns)]
+    row = df.agg(*found, *gaps).first()
+    return {c: [*row[c], *([None] if row[f"gap_{i}"] else [])] for i, c in enumerate(columns)}
 
 
 def one_hot_columns(labels: dict[str, list[str]]) -> dict[str, Column]:
-    """Indicators of every category but the first. Unknown and null values give zeros."""
+    """Indicators of every category but the first. A missing value is a category where fitting saw one; categories
+    it did not see give zeros."""
     return {
-        f"{c}_{value}": F.coalesce(F.col(c) == F.lit(value), F.lit(False)).cast("float")
+        f"{c}_{MISSING if value is None else value}": F.col(c).eqNullSafe(F.lit(value)).cast("float")
         for c, values in labels.items()
         for value in values[1:]
     }
@@ -138,7 +144,7 @@ class _EncoderParams(Params):
 
 class ColumnEncoder(Estimator, _EncoderParams, DefaultParamsReadable, DefaultParamsWritable):
     """One-hot for strings of few categories, ordinal codes for the others, a scaler for numbers;
-    every other column passes through."""
+    truth values lose their nulls (false), every other column passes through."""
 
     @keyword_only
     def __init__(self, *, scaler="robust", excluded=None, unknown=UNKNOWN_CODE, nullCode=float("nan")):
@@ -154,30 +160,55 @@ class ColumnEncoder(Estimator, _EncoderParams, DefaultParamsReadable, DefaultPar
         fit = {"robust": robust_scale, "standard": standard_scale, "none": lambda *_: {}}
         learned = {
             "one_hot": one_hot_labels(df, one_hot),
-            "ordinal": {c: self._codes(df, c) for c in ordinal},
+            "ordinal": ordinal,
             "scale": fit[self.getOrDefault("scaler")](df, numbers),
         }
         model = ColumnEncoderModel()
         self._copyValues(model)
+        model.labels = stage(self._codes(df, ordinal), "labels")
         return model._set(fitted=json.dumps(learned))
 
     @staticmethod
-    def _codes(df: DataFrame, column: str) -> dict:
-        """Few labels travel inside the model, many as a table it points to."""
-        labels = stage(ordinal_labels(df, column), f"labels-{column}")
-        if labels.limit(INLINE_LABELS + 1).count() > INLINE_LABELS:
-            return {"table": labels.inputFiles()[0].rsplit("/", 1)[0]}
-        return {"labels": [r["label"] for r in labels.orderBy("code").collect()]}
+    def _codes(df: DataFrame, columns: list[str]) -> DataFrame:
+        """``column, label, code`` of all ordinal columns."""
+        parts = [ordinal_labels(df, c).select(F.lit(c).alias("column"), "label", "code") for c in columns]
+        return reduce(DataFrame.unionByName, parts, df.sparkSession.createDataFrame([], LABELS_SCHEMA))
+
+
+class _EncoderWriter(DefaultParamsWriter):
+    """Parameters, and the label table beside them."""
+
+    def saveImpl(self, path: str) -> None:
+        super().saveImpl(path)
+        self.instance.labels.write.parquet(f"{path}/labels")
+
+
+class _EncoderReader(DefaultParamsReader):
+    def load(self, path: str) -> "ColumnEncoderModel":
+        model = super().load(path)
+        model.labels = SparkSession.active().read.schema(LABELS_SCHEMA).parquet(f"{path}/labels")
+        return model
 
 
 class ColumnEncoderModel(Model, _EncoderParams, DefaultParamsReadable, DefaultParamsWritable):
+    """``labels`` holds the codes of all ordinal columns, whatever their number; it is saved with the model."""
+
+    labels: DataFrame
+
+    def write(self) -> _EncoderWriter:
+        return _EncoderWriter(self)
+
+    @classmethod
+    def read(cls) -> _EncoderReader:
+        return _EncoderReader(cls)
+
     def learned(self) -> dict:
         return json.loads(self.getOrDefault("fitted"))
 
     def source_of(self, feature: str) -> str:
         """The input column an output column was made from."""
         for column, values in self.learned()["one_hot"].items():
-            if feature in {f"{column}_{v}" for v in values[1:]}:
+            if feature in {f"{column}_{MISSING if v is None else v}" for v in values[1:]}:
                 return column
         return feature
 
@@ -185,34 +216,18 @@ class ColumnEncoderModel(Model, _EncoderParams, DefaultParamsReadable, DefaultPa
         learned = self.learned()
         excluded = [c for c in self.getOrDefault("excluded") if c in df.columns]
         unknown, null_code = self.getOrDefault("unknown"), self.getOrDefault("nullCode")
-        spark = df.sparkSession
         outputs: dict[str, Column] = dict(one_hot_columns(learned["one_hot"]))
-        for column, codes in learned["ordinal"].items():
-            if "table" in codes:
-                df = ordinal_encode(df, column, self._table(spark, codes["table"]), unknown)
-                code = F.col(column)
-            else:
-                code = self._inline_code(column, codes["labels"], unknown)
+        for column in learned["ordinal"]:
+            df = ordinal_encode(df, column, self.labels.where(F.col("column") == column), unknown)
             keep_null = null_code != null_code
-            outputs[column] = code if keep_null else F.coalesce(code, F.lit(null_code).cast("float"))
+            outputs[column] = F.col(column) if keep_null else F.coalesce(column, F.lit(null_code).cast("float"))
         scales = [scaled_sql(c, *fit) for c, fit in learned["scale"].items()]
         handled = {*learned["one_hot"], *learned["ordinal"], *learned["scale"], *excluded}
-        rest = [c for c in df.columns if c not in handled]
+        flags = {f.name for f in df.schema if isinstance(f.dataType, T.BooleanType)}
+        rest = [F.coalesce(c, F.lit(False)).alias(c) if c in flags else F.col(c) for c in df.columns if c not in handled]
         encoded = [col.alias(name) for name, col in outputs.items()]
         return df.select(*encoded, *map(F.expr, scales), *rest, *excluded)
 
-    @staticmethod
-    def _table(spark: SparkSession, path: str) -> DataFrame:
-        return spark.read.parquet(path)
-
-    @staticmethod
-    def _inline_code(column: str, labels: list[str], unknown: float) -> Column:
-        """Null for null, else the position among the sorted labels."""
-        place = F.array_position(F.array(*[F.lit(v) for v in labels]), F.col(column))
-        return F.when(place > 0, (place - 1).cast("float")).when(
-            F.col(column).isNotNull(), F.lit(unknown).cast("float")
-        )
-
 
 def feature_output_columns(df: DataFrame, excluded: list[str]) -> list[str]:
     """Encoded columns usable in a vector: numbers and booleans."""

@@ -57,21 +57,23 @@ def boosting(rounds: int = BOOSTING_ROUNDS, depth: int = BOOSTING_DEPTH, rate: f
 
 
 def encoded_pipeline(train: DataFrame, estimator, excluded: list[str], scaler: str = "robust") -> PipelineModel:
-    """Encoder, assembler and model fitted together, the encoder on the training rows only."""
+    """Encoder, assembler and model fitted together, the encoder on the training rows only. A missing
+    truth value is read as false."""
     encoder = ColumnEncoder(scaler=scaler, excluded=excluded, nullCode=-2.0).fit(train)
     encoded = encoder.transform(train)
     return _finish(encoder, encoded, estimator, excluded)
 
 
 def native_category_pipeline(train: DataFrame, estimator, excluded: list[str]) -> PipelineModel:
-    """String columns indexed as categories, which trees split as sets; numbers are left unscaled."""
+    """String columns indexed as categories, which trees split as sets; numbers are left unscaled. ``maxBins`` also
+    rules the splits of numbers, so it is never changed here: it has to cover the widest column."""
     strings = [f.name for f in train.schema if isinstance(f.dataType, T.StringType) and f.name not in excluded]
     indexed = [f"{c}_index" for c in strings]
     indexer = StringIndexer(inputCols=strings, outputCols=indexed, stringOrderType="alphabetAsc", handleInvalid="keep")
     encoder = indexer.fit(train)
     widest = max((len(labels) + 1 for labels in encoder.labelsArray), default=2)
     if estimator.getMaxBins() < widest:
-        estimator = estimator.copy({estimator.maxBins: widest})
+        raise ValueError(f"a column has {widest} categories; maxBins is {estimator.getMaxBins()} and must not be less")
     return _finish(encoder, encoder.transform(train), estimator, excluded)
 
 
@@ -164,6 +166,23 @@ def ranking_curves(model: GBTClassificationModel, parts: dict[str, DataFrame], l
     return found.unpivot(by, ["average_precision", "auc"], "metric", "value")
 
 
+def first_rounds(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
+    """The model of the first ``rounds`` trees: what fitting that many rounds with the same seed would give."""
+    gateway = model._java_obj
+    from pyspark import SparkContext
+
+    sc = SparkContext._active_spark_context
+    kind = sc._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel
+    trees = SparkContext._gateway.new_array(kind, rounds)
+    weights = SparkContext._gateway.new_array(sc._jvm.double, rounds)
+    for i, (tree, weight) in enumerate(zip(gateway.trees()[:rounds], gateway.treeWeights()[:rounds])):
+        trees[i], weights[i] = tree, weight
+    uid = f"{model.uid}_{rounds}"
+    short = sc._jvm.org.apache.spark.ml.classification.GBTClassificationModel(uid, trees, weights, model.numFeatures, 2)
+    gateway.copyValues(short, gateway.extractParamMap())
+    return GBTClassificationModel(short)
+
+
 def best_round(losses: list[float], patience: int = PATIENCE) -> int:
     """1-based round of the least loss before ``patience`` rounds without improvement."""
     best = 0

@@ -7,11 +7,15 @@ mapped, never shuffled.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ebbtide.operators.ranking import rank_cuts
+from ebbtide.session import broadcast_if_small
 
 _ORDER = "_order"
 
@@ -48,7 +52,7 @@ def _proportional(counts: DataFrame, label: str, rows: str, wanted: Column, out:
 
 def _assign(df: DataFrame, label: str, order: Column, wanted: DataFrame, part: str) -> DataFrame:
     """``part`` = number of cuts lying before the row. ``wanted`` is ``(label, cut, rank)``; a cut at
-    rank 0 lies before every row of its class."""
+    rank 0 lies before every row of its class. A row without a label has no part (null)."""
     keyed = df.withColumn(_ORDER, order)
     found = rank_cuts(keyed.where(F.col(label).isNotNull()), label, _ORDER, wanted.where(F.col("rank") > 0))
     per_class = (
@@ -56,9 +60,9 @@ def _assign(df: DataFrame, label: str, order: Column, wanted: DataFrame, part: s
         .groupBy(label)
         .agg(F.collect_list(_ORDER).alias("_cuts"), F.count_if(F.col("rank") <= 0).alias("_empty"))
     )
-    passed = F.size(F.filter("_cuts", lambda cut: cut < F.col(_ORDER))) + F.col("_empty")
+    passed = F.when(F.col(label).isNotNull(), F.size(F.filter("_cuts", lambda cut: cut < F.col(_ORDER))) + F.col("_empty"))
     return (
-        keyed.join(F.broadcast(per_class), label)
+        keyed.join(F.broadcast(per_class), label, "left")
         .withColumn(part, passed.cast("int"))
         .select(*df.columns, part)
     )
@@ -76,7 +80,7 @@ def stratified_split(
         label, F.lit(0).alias("cut"), "rank"
     )
     assigned = _assign(df, label, shuffled_order(key, seed), wanted, part)
-    return assigned.withColumn(part, F.when(F.col(part) == 0, "train").otherwise("test"))
+    return assigned.withColumn(part, F.when(F.col(part) == 0, "train").when(F.col(part) > 0, "test"))
 
 
 def three_way_split(
@@ -106,7 +110,7 @@ def three_way_split(
     )
     assigned = _assign(df, label, shuffled_order(key, seed), cuts, part)
     return assigned.withColumn(
-        part, F.when(F.col(part) == 0, "train").when(F.col(part) == 1, "test").otherwise("valid")
+        part, F.when(F.col(part) == 0, "train").when(F.col(part) == 1, "test").when(F.col(part) > 1, "valid")
     )
 
 
@@ -152,14 +156,18 @@ def with_balanced_weights(
     df: DataFrame, label: str, by: list[str] | None = None, weight: str = "weight"
 ) -> DataFrame:
     """Adds rows / (classes * rows of the class), over all rows or inside each ``by`` group (split
-    or fold). The table of weights has one row per class and group and is broadcast."""
+    or fold). The table of weights has one row per class and group; it is broadcast where a count finds it short.
+    A row without a label counts for nothing and has no weight (null); a null ``by`` value is a group."""
     by = by or []
     _require_boolean(df, label)
     inside = Window.partitionBy(*(by or [F.lit(0)]))
-    counts = df.groupBy(*by, label).agg(F.count(F.lit(1)).alias("_class_rows"))
+    counts = df.where(F.col(label).isNotNull()).groupBy(*by, label).agg(F.count(F.lit(1)).alias("_class_rows"))
     weights = counts.select(
         *by,
         label,
         (F.sum("_class_rows").over(inside) / (F.count(F.lit(1)).over(inside) * F.col("_class_rows"))).alias(weight),
     )
-    return df.join(F.broadcast(weights), [*by, label]).select(*df.columns, weight)
+    named = {c: f"_of_{c}" for c in [*by, label]}
+    weights = broadcast_if_small(weights.withColumnsRenamed(named))
+    same = reduce(and_, [df[c].eqNullSafe(weights[n]) for c, n in named.items()])
+    return df.join(weights, same, "left").select(*[df[c] for c in df.columns], weight)

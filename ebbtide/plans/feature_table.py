@@ -55,6 +55,8 @@ def scoring_table(
 ) -> DataFrame:
     """The same features without label, for all users or for the asked ones only. The restriction
     reaches both scans, and a user's row equals the one in the training table."""
+    if isinstance(users, DataFrame):
+        users = stage(users.select(ID).distinct(), "asked-users")
     if users is not None:
         activity, attributes = for_users(activity, users), for_users(attributes, users)
     spans = stage(user_spans(activity), "spans")
@@ -71,10 +73,10 @@ def build_training_table(
     reuse: bool = False,
     **options,
 ) -> DataFrame:
-    """Training table written to ``path`` and read back. With ``reuse`` a table already there is
+    """Training table written to ``path``, ordered by user, and read back. With ``reuse`` a table already there is
     returned as it is."""
     spark = activity.sparkSession
     if reuse and table_exists(spark, path):
         return read_features(spark, path)
-    return write_table(training_table(activity, attributes, holidays, **options), path)
+    return write_table(training_table(activity, attributes, holidays, **options), path, order_by=ID)
 

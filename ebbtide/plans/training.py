@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +26,7 @@ from ebbtide.operators.models import (
     calibrate,
     coefficients,
     encoded_pipeline,
+    first_rounds,
     fit_isotonic,
     importances,
     learning_curve,
@@ -172,11 +174,12 @@ def cross_validate(
     return values, m.fold_summary(values)
 
 
-def weak_columns(result: Training, limit: float, columns: list[str]) -> list[str]:
-    """Columns all of whose encoded features have an importance of at most ``limit``."""
+def weak_columns(importances: DataFrame, limit: float, columns: list[str], source: Callable[[str], str]) -> list[str]:
+    """Columns all of whose encoded features have an importance of at most ``limit``; ``source`` names the column
+    behind a feature."""
     best: dict[str, float] = {}
-    for row in result.importances.collect():
-        column = source_column(result.model, row["feature"])
+    for row in importances.collect():
+        column = source(row["feature"])
         best[column] = max(best.get(column, float("-inf")), row["importance"])
     return [c for c in columns if c in best and best[c] <= limit]
 
@@ -189,7 +192,8 @@ def eliminate(
     dropped: list[str] = []
     while True:
         result = train_evaluate(rows.drop(*dropped), estimator, same_split=True, **options)
-        weak = weak_columns(result, limit, [c for c in rows.columns if c not in [*BOOKKEEPING, *dropped]])
+        columns = [c for c in rows.columns if c not in [*BOOKKEEPING, *dropped]]
+        weak = weak_columns(result.importances, limit, columns, partial(source_column, result.model))
         if not weak:
             return result, dropped
         dropped += weak
@@ -198,16 +202,32 @@ def eliminate(
 def fit_boosting(
     train: DataFrame, valid: DataFrame, rounds: int, depth: int, rate: float, patience: int, max_bins: int = 64
 ) -> tuple[PipelineModel, DataFrame]:
-    """Boosting with early stopping: all rounds once, the best round from the validation loss, then
-    the model of that many rounds (the same trees, since the seed is the same). Also returns the
-    learning curves."""
+    """Boosting with early stopping: one fit of all rounds, the best round by the validation loss with ``patience``,
+    and the model of the trees up to it. Also returns the learning curves. ``max_bins`` has to cover the column of
+    most categories."""
     full = native_category_pipeline(train, boosting(rounds, depth, rate, max_bins=max_bins), BOOKKEEPING)
     curve = learning_curve(full.stages[-1], {"train": assembled(full, train), "valid": assembled(full, valid)})
     losses = [r["value"] for r in curve.where("split = 'valid'").orderBy("iteration").collect()]
     best = best_round(losses, patience)
     if best == rounds:
         return full, curve
-    return native_category_pipeline(train, boosting(best, depth, rate, max_bins=max_bins), BOOKKEEPING), curve
+    return PipelineModel([*full.stages[:-1], first_rounds(full.stages[-1], best)]), curve
+
+
+def above_noise(rows: DataFrame, limit: float, max_bins: int = 64, **boosted) -> list[str]:
+    """The columns of split ``rows`` that stay when boosting is fitted again and again next to a noise column and what
+    is not more important than the noise (or than ``limit``) goes; at least one column stays."""
+    columns = [c for c in rows.columns if c not in [*BOOKKEEPING, NOISE]]
+    while True:
+        current = rows.select(*[c for c in rows.columns if c in [*BOOKKEEPING, NOISE, *columns]])
+        train, valid = (weighted_part(current, F.col("split") == part) for part in ("train", "test"))
+        model, _ = fit_boosting(train, valid, max_bins=max_bins, **boosted)
+        found = importances(model)
+        table = importance_table(rows.sparkSession, found)
+        weak = weak_columns(table, max(limit, found[NOISE]), columns, partial(source_column, model))
+        if not weak or len(weak) == len(columns):
+            return columns
+        columns = [c for c in columns if c not in weak]
 
 
 def eliminate_by_noise(
@@ -220,45 +240,28 @@ def eliminate_by_noise(
     same_split: bool = True,
     seed: int = 42,
 ) -> tuple[Training, list[str], list[str]]:
-    """Boosting with a noise column: drop every column not more important than the noise (or than
-    ``limit``), refit until none is left, then fit once more without the noise. Returns the final
-    training, the kept and the dropped columns."""
-    rows = stage(
-        with_noise(
-            stratified_split(rows, CHURNED, ID, seed=seed)
-            if same_split
-            else three_way_split(rows, CHURNED, ID, valid_size=0.1, test_size=0.2, seed=seed),
-            NOISE,
-            seed,
-        ),
-        "noise-rows",
-    )
-    dropped: list[str] = []
-    while True:
-        current = rows.drop(*dropped)
-        train = weighted_part(current, F.col("split") == "train")
-        valid = weighted_part(current, F.col("split") == "test")
-        model, curve = fit_boosting(train, valid, rounds, depth, rate, patience)
-        found = importances(model)
-        if NOISE in dropped:
-            break
-        table = importance_table(rows.sparkSession, found)
-        bar = max(limit, found[NOISE])
-        candidates = [c for c in current.columns if c not in [*BOOKKEEPING, NOISE]]
-        weak = weak_columns(Training(model, 0.5, table, table, table), bar, candidates)
-        # Never drop everything: a noise column that beats all others ends the search.
-        dropped += weak if weak and len(weak) < len(candidates) else [NOISE]
+    """Boosting on the columns that :func:`above_noise` leaves, calibrated. Returns the training, the kept and the
+    dropped columns."""
+    if same_split:
+        parted = stratified_split(rows, CHURNED, ID, seed=seed)
+    else:
+        parted = three_way_split(rows, CHURNED, ID, valid_size=0.1, test_size=0.2, seed=seed)
+    parted = stage(with_noise(parted, NOISE, seed), "noise-rows")
+    boosted = {"rounds": rounds, "depth": depth, "rate": rate, "patience": patience}
+    kept = above_noise(parted, limit, **boosted)
+    final = parted.select(*[c for c in parted.columns if c in [*BOOKKEEPING, *kept]])
+    train, valid = (weighted_part(final, F.col("split") == part) for part in ("train", "test"))
+    model, curve = fit_boosting(train, valid, **boosted)
     scored = _scores(model, valid)
-    base = scored if same_split else _scores(model, weighted_part(current, F.col("split") == "valid"))
+    base = scored if same_split else _scores(model, weighted_part(final, F.col("split") == "valid"))
     calibrator = fit_isotonic(base, CHURNED, PROBABILITY, WEIGHT)
     scored = stage(calibrate(scored, calibrator, PROBABILITY, PROBABILITY), "scores")
     threshold = pick_threshold(scored)
     result = Training(
-        model, threshold, evaluate_scores(scored, threshold), importance_table(rows.sparkSession, found), scored,
+        model, threshold, evaluate_scores(scored, threshold), importance_table(rows.sparkSession, importances(model)), scored,
         calibrator, {"learning_curve": curve},
     )
-    kept = [source_column(model, f) for f in vector_features(model)]
-    return result, kept, [c for c in dropped if c != NOISE]
+    return result, kept, [c for c in rows.columns if c not in [*BOOKKEEPING, *kept]]
 
 
 def train(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,8 +13,9 @@ from ebbtide.operators import attribution, correlation, encoders, metrics, split
 from ebbtide.operators.attributes import clean_attributes
 from ebbtide.operators.features import feature_users, user_features
 from ebbtide.operators.holidays import add_holiday_counts, holidays_by_week_start
-from ebbtide.plans.feature_table import scoring_table, training_table
+from ebbtide.plans.feature_table import build_training_table, scoring_table, training_table
 from ebbtide.plans.scoring import decide, with_message
+from ebbtide.plans.training import LEAST_IMPORTANCE, weak_columns
 from ebbtide.queries import views_sql as sql
 from ebbtide.schemas import (
     ATTRIBUTES,
@@ -26,9 +28,9 @@ from ebbtide.schemas import (
     lifetime_feature_names,
     numeric_feature_names,
 )
-from ebbtide.session import stage
+from ebbtide.session import stage, work_folder
 from ebbtide.sources import retail_views as views
-from ebbtide.sources.readers import for_users
+from ebbtide.sources.readers import for_users, read_activity, read_attributes, read_holidays, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -268,8 +270,34 @@ def feature_table(spark, sf_dir):
 
 @register("feature_table_written", TRAINING_SQL)
 def feature_table_written(spark, sf_dir):
-    """The feature table after a round trip through its parquet form."""
-    return rounded(stage(training_table(*inputs(spark, sf_dir)), "features"), ALL_NAMES)
+    """The whole job: inputs from files, features to a file and back."""
+    folder = f"{work_folder(spark)}/files-{uuid.uuid4().hex}"
+    activity, people, days = inputs(spark, sf_dir)
+    people.write.option("header", True).csv(f"{folder}/attributes")
+    write_table(days, f"{folder}/holidays")
+    read = read_attributes(spark, f"{folder}/attributes"), read_holidays(spark, f"{folder}/holidays")
+    return rounded(build_training_table(activity, *read, f"{folder}/features"), ALL_NAMES)
+
+
+@register("activity_read_from_files", f"WITH {sql.ACTIVITY} SELECT * FROM activity")
+def activity_read_from_files(spark, sf_dir):
+    path = f"{work_folder(spark)}/files-{uuid.uuid4().hex}/activity"
+    views.activity(spark, sf_dir).write.option("header", True).csv(path)
+    return read_activity(spark, path)
+
+
+@register("attributes_read_from_files", f"WITH {sql.ATTRIBUTES} SELECT * FROM attributes")
+def attributes_read_from_files(spark, sf_dir):
+    path = f"{work_folder(spark)}/files-{uuid.uuid4().hex}/attributes"
+    views.attributes(spark, sf_dir).write.option("header", True).csv(path)
+    return clean_attributes(read_attributes(spark, path))
+
+
+@register("holidays_written_and_read", f"WITH {sql.HOLIDAYS} SELECT DISTINCT country, holiday FROM holidays")
+def holidays_written_and_read(spark, sf_dir):
+    path = f"{work_folder(spark)}/files-{uuid.uuid4().hex}/holidays"
+    write_table(views.holidays(spark, sf_dir), path, order_by="country")
+    return read_holidays(spark, path)
 
 
 @register(
@@ -844,9 +872,10 @@ def importance_filter(spark, sf_dir):
     """Features not above a reference feature, as in the noise-referenced elimination."""
     train, valid = _linear_rows(spark, sf_dir)
     ranked = stage(attribution.linear_attribution(train, valid, LINEAR), "importances")
-    bar = ranked.where(F.col("feature") == "bids_places_average").select("importance").scalar()
-    weak = (F.col("importance") <= 1e-4) | (F.col("importance") <= bar)
-    return ranked.where((F.col("feature") != "bids_places_average") & weak).select("feature")
+    bar = ranked.where(F.col("feature") == "bids_places_average").first()["importance"]
+    others = [c for c in LINEAR if c != "bids_places_average"]
+    weak = weak_columns(ranked, max(LEAST_IMPORTANCE, bar), others, lambda feature: feature)
+    return spark.createDataFrame([(c,) for c in weak], "feature string")
 
 
 @register(

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from ebbtide.operators import attribution, models
 from ebbtide.operators.splits import stratified_split
 from ebbtide.plans import training
-from ebbtide.plans.feature_table import training_table
-from ebbtide.plans.scoring import load_model, score, with_message
+from ebbtide.plans.feature_table import scoring_table, training_table
+from ebbtide.plans.scoring import Bundle, with_message
 from ebbtide.queries.catalog import (
     LABELS,
     SCORED,
@@ -27,8 +27,10 @@ from ebbtide.schemas import CHURNED, ID
 from ebbtide.session import stage, work_folder
 from ebbtide.sources.runs import RunLog
 
-# Small budgets: the queries show the job, not the best model.
-TREES, TREE_DEPTH, ROUNDS, ROUND_DEPTH, ITERATIONS = 20, 8, 8, 4, 25
+# Forests, regressions and folds have their full budgets. Boosting stops after PATIENCE rounds without gain; its most
+# rounds are an argument of the job, set here to what a query can wait for.
+TREES, TREE_DEPTH, ITERATIONS = 100, 30, 100
+ROUNDS, ROUND_DEPTH, PATIENCE = 24, 5, 6
 
 
 def rows_for_models(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,7 +68,7 @@ def forest_importances(spark, sf_dir):
 
 
 def _boosted(train: DataFrame, valid: DataFrame):
-    return training.fit_boosting(train, valid, ROUNDS, ROUND_DEPTH, 0.1, patience=ROUNDS)
+    return training.fit_boosting(train, valid, ROUNDS, ROUND_DEPTH, 0.1, patience=PATIENCE)
 
 
 @register("boosting_learning_curves")
@@ -166,7 +168,7 @@ def linear_training(spark, sf_dir):
 
 @register("cross_validation_summary")
 def cross_validation(spark, sf_dir):
-    return training.cross_validate(rows_for_models(spark, sf_dir), logistic, folds=3)[1]
+    return training.cross_validate(rows_for_models(spark, sf_dir), logistic)[1]
 
 
 def _column_fates(spark: SparkSession, kept: list[str], dropped: list[str]) -> DataFrame:
@@ -177,7 +179,7 @@ def _column_fates(spark: SparkSession, kept: list[str], dropped: list[str]) -> D
 @register("elimination_by_importance")
 def elimination(spark, sf_dir):
     rows = rows_for_models(spark, sf_dir)
-    _, dropped = training.eliminate(rows, lambda train: models.random_forest(trees=5, depth=3))
+    _, dropped = training.eliminate(rows, forest)
     kept = [c for c in rows.columns if c not in [*training.BOOKKEEPING, *dropped]]
     return _column_fates(spark, kept, dropped)
 
@@ -185,7 +187,7 @@ def elimination(spark, sf_dir):
 @register("elimination_by_noise")
 def noise_elimination(spark, sf_dir):
     _, kept, dropped = training.eliminate_by_noise(
-        rows_for_models(spark, sf_dir), rounds=ROUNDS, depth=ROUND_DEPTH, patience=ROUNDS
+        rows_for_models(spark, sf_dir), rounds=ROUNDS, depth=ROUND_DEPTH, patience=PATIENCE
     )
     return _column_fates(spark, kept, dropped)
 
@@ -195,7 +197,7 @@ def training_run_log(spark, sf_dir):
     """The whole training job on a written feature table; the result is its metric log."""
     folder = f"{work_folder(spark)}/training-{uuid.uuid4().hex}"
     training_table(*inputs(spark, sf_dir)).write.parquet(f"{folder}/features")
-    training.train(spark, f"{folder}/features", f"{folder}/log", folds=3, max_iter=ITERATIONS)
+    training.train(spark, f"{folder}/features", f"{folder}/log", max_iter=ITERATIONS)
     log = RunLog(spark, f"{folder}/log")
     return log.read("metrics").join(log.read("runs").select("run_id", "name"), "run_id").select("name", "metric", "value")
 
@@ -203,7 +205,7 @@ def training_run_log(spark, sf_dir):
 @register("batch_scoring_with_saved_model")
 def batch_scoring(spark, sf_dir):
     rows = rows_for_models(spark, sf_dir)
-    result = training.train_evaluate(rows, logistic)
+    result = training.train_evaluate(rows, logistic, calibrated=True)
     path = f"{work_folder(spark)}/saved-{uuid.uuid4().hex}"
-    result.model.write().save(path)
-    return with_message(score(rows, load_model(path), result.threshold))
+    Bundle(result.model, result.threshold, result.calibrator).save(path)
+    return with_message(Bundle.load(path).score(scoring_table(*inputs(spark, sf_dir))))

@@ -4,6 +4,7 @@ import math
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
@@ -48,14 +49,14 @@ def mixed(spark, n=60):
     return spark.createDataFrame(rows, "ID bigint, many string, few string, flag boolean, x double")
 
 
-@pytest.mark.parametrize("inline", [200, 3])
-def test_encoder_in_a_saved_pipeline(spark, tmp_path, monkeypatch, inline):
-    monkeypatch.setattr(encoders, "INLINE_LABELS", inline)
+def test_encoder_in_a_saved_pipeline(spark, tmp_path):
     frame = mixed(spark)
     model = Pipeline(stages=[encoders.ColumnEncoder(excluded=["ID"], nullCode=-2.0)]).fit(frame)
     model.write().save(str(tmp_path / "m"))
     unseen = spark.createDataFrame([(100, "zz", "q", True, 1.0), (101, None, None, False, 2.0)], frame.schema)
-    after = PipelineModel.load(str(tmp_path / "m")).transform(frame.union(unseen)).toPandas().set_index("ID")
+    loaded = PipelineModel.load(str(tmp_path / "m"))
+    assert all(str(tmp_path) in f for f in loaded.stages[0].labels.inputFiles())  # not where fitting kept its tables
+    after = loaded.transform(frame.union(unseen)).toPandas().set_index("ID")
     assert list(after.columns) == ["few_y", "few_z", "many", "x", "flag"]
     assert after.loc[100, "many"] == -1 and after.loc[101, "many"] == -2
     assert after.loc[100, ["few_y", "few_z"]].sum() == 0
@@ -67,6 +68,46 @@ def test_encoder_in_a_saved_pipeline(spark, tmp_path, monkeypatch, inline):
     assert model.stages[0].source_of("few_y") == "few" and model.stages[0].source_of("x") == "x"
 
 
+def test_many_labels_are_saved_with_the_model(spark, tmp_path):
+    frame = spark.createDataFrame([(i, f"v{i:04d}") for i in range(700)], "ID bigint, many string")
+    model = Pipeline(stages=[encoders.ColumnEncoder(excluded=["ID"])]).fit(frame)
+    model.write().save(str(tmp_path / "m"))
+    codes = PipelineModel.load(str(tmp_path / "m")).transform(frame).collect()
+    assert len(codes) == 700 and all(r.many == r.ID for r in codes)
+
+
+def test_a_missing_value_is_a_category_where_fitting_saw_one(spark):
+    frame = spark.createDataFrame([(1, "a", "x"), (2, "b", "y"), (3, None, "x")], "ID bigint, gaps string, full string")
+    model = encoders.ColumnEncoder(excluded=["ID"]).fit(frame)
+    asked = spark.createDataFrame([(1, "b", "y"), (2, None, None), (3, "zz", "q")], frame.schema)
+    found = model.transform(asked).orderBy("ID").drop("ID")
+    assert found.columns == ["gaps_b", "gaps_None", "full_y"]
+    assert [tuple(r) for r in found.collect()] == [(1, 0, 1), (0, 1, 0), (0, 0, 0)]
+    assert model.source_of("gaps_None") == "gaps"
+
+
+def test_correlations_take_complete_pairs(spark):
+    draw = np.random.default_rng(6)
+    data = pd.DataFrame({c: draw.normal(size=120) for c in "abc"}) + 1e6
+    data["c"] += data["a"]
+    holes = data.mask(draw.random(data.shape) < 0.3)
+    holes["none"] = np.nan
+    holes["churned"] = [None if draw.random() < 0.2 else bool(x > 1e6) for x in data["a"]]
+    rows = [tuple(None if pd.isna(v) else v for v in r) for r in holes.itertuples(index=False)]
+    frame = spark.createDataFrame(rows, "a double, b double, c double, none double, churned boolean")
+    want = holes[["a", "b", "c"]].corr()
+    pairs = correlation.correlation_pairs(frame, ["a", "b", "c", "none"], lower_triangle=False).collect()
+    assert len(pairs) == 16
+    for r in pairs:
+        if "none" in (r.feature, r.other):
+            assert r.correlation is None
+        else:
+            assert r.correlation == pytest.approx(want.loc[r.feature, r.other], abs=1e-6)
+    target = holes["churned"].astype("float")
+    for r in correlation.correlation_with_target(frame, ["a", "b", "none"], "churned").collect():
+        assert r.correlation is None if r.feature == "none" else r.correlation == pytest.approx(holes[r.feature].corr(target), abs=1e-6)
+
+
 def test_correlations(spark):
     draw = np.random.default_rng(5)
     x = draw.normal(size=200)
