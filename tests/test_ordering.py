@@ -140,3 +140,25 @@ def test_splits_want_a_boolean_label(spark):
     frame = spark.createDataFrame([(1, 1)], "ID bigint, churned int")
     with pytest.raises(TypeError):
         stratified_split(frame, "churned", "ID")
+
+
+def test_rows_without_a_label_stay_without_part_and_weight(spark):
+    rows = [(i, None if i % 5 == 0 else i % 3 == 0, None if i % 7 == 0 else i % 2) for i in range(200)]
+    frame = spark.createDataFrame(rows, "ID bigint, churned boolean, part int")
+    unlabelled = {i for i, y, _ in rows if y is None}
+    known = frame.where("churned IS NOT NULL")
+    jobs = {
+        "split": lambda f: stratified_split(f, "churned", "ID"),
+        "three": lambda f: three_way_split(f, "churned", "ID", part="three"),
+        "fold": lambda f: stratified_folds(f, "churned", "ID"),
+        "weight": lambda f: with_balanced_weights(f, "churned"),
+    }
+    for column, job in jobs.items():
+        found = {r.ID: r[column] for r in job(frame).collect()}
+        assert len(found) == 200 and {i for i, v in found.items() if v is None} == unlabelled
+        assert {i: v for i, v in found.items() if v is not None} == {r.ID: r[column] for r in job(known).collect()}
+    grouped = {r.ID: r.weight for r in with_balanced_weights(frame, "churned", ["part"]).collect()}
+    for part in (None, 0, 1):
+        inside = [(i, y) for i, y, p in rows if p == part and y is not None]
+        sizes = Counter(y for _, y in inside)
+        assert all(grouped[i] == pytest.approx(len(inside) / (2 * sizes[y])) for i, y in inside)
