@@ -211,7 +211,8 @@ def _sampled(df: DataFrame, id_col: str, rows: int) -> DataFrame:
 def abuse_words(docs: DataFrame, labels: DataFrame, id_col: str, training: Training) -> np.ndarray:
     """Hashes of words that occur almost only in documents labelled toxic, from a bounded sample of labelled rows."""
     known = _sampled(labels.where("toxic IS NOT NULL").select(id_col, "toxic"), id_col, training.labelled_rows)
-    rows = docs.select(id_col, "text").join(known, id_col).select("toxic", "text")
+    # The sample's size is bounded by a parameter, so it can go to every task, and no text is shuffled.
+    rows = docs.select(id_col, "text").join(F.broadcast(known), id_col).select("toxic", "text")
     words = rows.mapInArrow(_distinct_words, f"toxic {dict(labels.dtypes)['toxic']}, word bigint")
     found = (
         words.groupBy("word")
