@@ -269,20 +269,19 @@ def _exhaustive(left: DataFrame, texts: DataFrame, width: int, percent: int) ->
     """Links between components ``g`` that share keys.
 
     A document that has to share r of its k keys meets every partner on its k - r + 1 rarest ones. Documents are
-    grouped by the most common of these, in pieces of bounded size."""
-    sizes = left.groupBy("key").agg(F.count("*").alias("n"))
+    grouped by their most common key, which most of a family have, in pieces of bounded size."""
+    counted = left.join(left.groupBy("key").agg(F.count("*").alias("n")), "key").withColumn("own", F.col("g"))
     odd = F.pmod("key", F.lit(2))
-    own = Window.partitionBy("doc_id", odd)
+    each = Window.partitionBy("doc_id", odd)
     need = F.when(odd == 1, F.col("odd")).otherwise(F.col("even"))
     rare = stage(
-        left.join(sizes, "key")
-        .withColumn("rank", F.row_number().over(own.orderBy("n", "key")))
-        .withColumn("k", F.count("*").over(own))
+        counted.withColumn("rank", F.row_number().over(each.orderBy("n", "key")))
+        .withColumn("k", F.count("*").over(each))
         .where(F.col("rank") <= F.col("k") - need + 1)
-        .select("key", "doc_id", "n", "size", F.col("g").alias("own")),
+        .select("key", "doc_id", "own"),
         "rare-keys",
     )
-    homes = rare.groupBy("doc_id", "own", "size").agg(F.max_by("key", F.struct("n", "key")).alias("g"))
+    homes = counted.groupBy("doc_id", "own", "size").agg(F.max_by("key", F.struct("n", "key")).alias("g"))
     pieces = homes.groupBy("g").agg(
         F.ceil(F.greatest(F.count("*") / GROUP_MEMBERS, F.sum("size") / GROUP_TOKENS)).alias("pieces")
     )
