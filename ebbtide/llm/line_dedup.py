@@ -1,8 +1,7 @@
 """Removal of repeated passages by overlapping three-line windows.
 
-A line is a line of the text, cut further after a sentence once it has ``LINE_WORDS[0]`` words and at
-``LINE_WORDS[1]`` words, so that a passage of a few sentences has several lines even where the text has no line
-breaks. Every three consecutive lines are hashed; a window that occurs before (in a document with a smaller id, or
+A line is a line of the text, cut further after each sentence and, within one, after every ``LINE_WORDS`` words, so
+that a passage of a few sentences has several lines even where the text has no line breaks. Every three consecutive lines are hashed; a window that occurs before (in a document with a smaller id, or
 further up in the same one) covers its three lines, and covered lines go."""
 
 from __future__ import annotations
@@ -19,9 +18,9 @@ from ebbtide.llm.common import boxed, text_batches
 from ebbtide.llm.text import SPACED, _spans, gram_hashes, mix, utf8, word_hashes
 from ebbtide.session import stage
 
-LINE_WORDS = (6, 16)
+LINE_WORDS = 16
 SENTENCE_ENDS = b".!?"
-WINDOW, WINDOW_WORDS = 3, 12  # lines of a window, and the least number of words it has
+WINDOW, WINDOW_WORDS = 3, 8  # lines of a window, and the least number of words it has
 NO_ID = (1 << 63) - 1  # rows without an id come last
 
 _ENDS = np.zeros(256, bool)
@@ -40,16 +39,12 @@ def line_ends(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     hard = np.ones(n, bool)
     hard[:-1] = breaks[starts[1:]] > breaks[ends[:-1]]
     marks = np.flatnonzero(hard | _ENDS[raw[ends - 1]])
-    least, most = LINE_WORDS
-    found, at = [], 0
-    for mark, is_hard in zip((marks + 1).tolist(), hard[marks].tolist()):
-        while mark - at > most:
-            at += most
-            found.append(at)
-        if is_hard or mark - at >= least:
-            at = mark
-            found.append(at)
-    words = np.array(found)
+    # Parts of a sentence are counted from its start, so equal sentences have equal lines wherever they stand.
+    sentences = np.append(0, marks + 1)
+    sizes = np.diff(sentences)
+    parts = -(-sizes // LINE_WORDS)
+    part = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts) + 1
+    words = np.repeat(sentences[:-1], parts) + np.minimum(part * LINE_WORDS, np.repeat(sizes, parts))
     return words, np.append(starts, len(raw))[words]
 
 

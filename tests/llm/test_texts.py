@@ -141,7 +141,7 @@ def brute_lines(value: str) -> list[tuple[tuple, str]]:
         words.append(m.group().translate(LOWER))
         after = found[i + 1].start() if i + 1 < len(found) else len(value)
         hard = i + 1 == len(found) or "\n" in value[m.end() : after]
-        if hard or len(words) == line_dedup.LINE_WORDS[1] or m.group()[-1] in ".!?" and len(words) >= line_dedup.LINE_WORDS[0]:
+        if hard or len(words) == line_dedup.LINE_WORDS or m.group()[-1] in ".!?":
             out.append((tuple(words), value[begin:after]))
             words, begin = [], after
     return out
