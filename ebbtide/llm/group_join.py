@@ -26,7 +26,7 @@ from ebbtide.session import stage
 
 # Members whose tokens a task holds at once, and queries that one task streams past them.
 GROUP_MEMBERS, GROUP_TOKENS, GROUP_QUERIES = 1024, 4_000_000, 2000
-PEELS = 3  # times that documents with too few shared keys are put aside
+PEELS = 1  # times that documents with too few shared keys are put aside; more find little and write each table again
 NEVER = (1 << 31) - 1
 
 
