@@ -24,7 +24,7 @@ from ebbtide.session import stage
 BITMAP_BITS = 1 << 26
 _WHOLE = np.uint64(0x5851F42D4C957F2D)  # keeps whole short items apart from k-grams
 
-HITS = "array<struct<fp: bigint, at: int, size: int, around: array<bigint>>>"
+HITS = "array<struct<fp: bigint, at: int, size: int, gram: boolean, around: array<bigint>>>"
 
 
 def _best(values: np.ndarray, width: int, pick) -> np.ndarray:
@@ -61,14 +61,15 @@ def _around(words: np.ndarray, at: np.ndarray, k: int, span: int, outside: int)
 
 def _hits(words: np.ndarray, k: int, span: int, whole: list[int], outside: int) -> tuple[np.ndarray, ...]:
     at, fps = fingerprints(words, k, span)
-    sizes = np.full(len(at), k)
+    sizes, is_gram = np.full(len(at), k), np.ones(len(at), bool)
     around = _around(words, at, k, span, outside)
     for length in whole:
         grams = gram_hashes(words, length) ^ _WHOLE
         at = np.concatenate([at, np.arange(len(grams))])
         fps, sizes = np.concatenate([fps, grams]), np.concatenate([sizes, np.full(len(grams), length)])
+        is_gram = np.concatenate([is_gram, np.zeros(len(grams), bool)])
         around = np.concatenate([around, np.zeros((len(grams), around.shape[1]), np.uint64)])
-    return fps, at, sizes, around
+    return fps, at, sizes, is_gram, around
 
 
 def _scan(kind: str, k: int, span: int, whole: list[int], bitmap) -> callable:
@@ -91,7 +92,7 @@ def _scan(kind: str, k: int, span: int, whole: list[int], bitmap) -> callable:
                     hits = tuple(part[keep] for part in hits)
                 found.append(hits)
                 ends.append(ends[-1] + len(hits[0]))
-            fps, at, sizes, around = (np.concatenate(parts) for parts in zip(*found)) if found else _hits(
+            fps, at, sizes, is_gram, around = (np.concatenate(parts) for parts in zip(*found)) if found else _hits(
                 np.zeros(0, np.uint64), k, span, [], 0
             )
             width = around.shape[1]
@@ -99,8 +100,8 @@ def _scan(kind: str, k: int, span: int, whole: list[int], bitmap) -> callable:
                 pa.array(np.arange(len(fps) + 1) * width, pa.int32()), pa.array(around.ravel().view(np.int64))
             )
             struct = pa.StructArray.from_arrays(
-                [pa.array(fps.view(np.int64)), pa.array(at, pa.int32()), pa.array(sizes, pa.int32()), inner],
-                names=["fp", "at", "size", "around"],
+                [pa.array(fps.view(np.int64)), pa.array(at, pa.int32()), pa.array(sizes, pa.int32()), pa.array(is_gram), inner],
+                names=["fp", "at", "size", "gram", "around"],
             )
             yield pa.RecordBatch.from_arrays(
                 [
@@ -163,10 +164,9 @@ def contamination(
         return sum((F.get("around", F.lit(first + j)) == F.get("other", F.lit(first + j))).cast("int") for j in range(reach))
 
     left, right = (equal(0), equal(reach)) if reach else (F.lit(0), F.lit(0))
-    is_gram = F.get("around", F.lit(0)) != 0 if reach else F.col("size") == k
     runs = (
         ours.join(theirs, "fp")
-        .select("row", "item", "at", "size", F.when(is_gram, left).otherwise(0).alias("l"), F.when(is_gram, right).otherwise(0).alias("r"), is_gram.alias("gram"))
+        .select("row", "item", "at", "size", F.when(F.col("gram"), left).otherwise(0).alias("l"), F.when(F.col("gram"), right).otherwise(0).alias("r"), "gram")
         .where(~F.col("gram") | (F.col("l") + F.col("r") + k >= span))
         .select("row", "item", (F.col("at") - F.col("l")).alias("lo"), (F.col("at") + F.col("size") + F.col("r")).alias("hi"))
         .distinct()

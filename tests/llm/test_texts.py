@@ -239,6 +239,15 @@ def test_every_shared_span_is_found(spark, odd, none):
     assert not winnowing.contaminated_documents(docs, items.where("false")).where("contaminated").count()
 
 
+def test_documents_that_open_with_item_words(spark):
+    items = [(i, " ".join(f"i{i}x{j}" for j in range(14))) for i in range(40)] + [(40, "five words make an item")]
+    rows = [(100 * n + i, " ".join(value.split()[:n]) + " then other words follow here") for n in range(5, 12) for i, value in items]
+    frames = spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    want = brute_contamination(rows, items, 10)
+    assert sorted(map(tuple, winnowing.contaminated_documents(*frames).collect())) == sorted(want)
+    assert {r.doc_id for r in winnowing.clean_documents(*frames).collect()} == {r[0] for r in want if not r[5]}
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.integers(0, 3), min_size=10, max_size=40), st.lists(st.integers(0, 3), max_size=10), st.lists(st.integers(0, 3), max_size=10))
 def test_a_shared_span_shares_a_fingerprint(span, before, after):
