@@ -1,8 +1,13 @@
 """Removal of repeated passages by overlapping three-line windows.
 
 A line is a line of the text, cut further after each sentence and, within one, after every ``LINE_WORDS`` words, so
-that a passage of a few sentences has several lines even where the text has no line breaks. Every three consecutive lines are hashed; a window that occurs before (in a document with a smaller id, or
-further up in the same one) covers its three lines, and covered lines go."""
+that a passage of a few sentences has several lines even where the text has no line breaks. Every three consecutive
+lines are hashed; a window that occurs before (in a document with a smaller id, or further up in the same one) covers
+its three lines, and what is covered goes.
+
+Lines depend on where a sentence begins, so a passage from the middle of one may have others than its first occurrence.
+Therefore runs of ``RUN_WORDS`` words are hashed too, at places chosen by their content alone: any ``SPAN_WORDS`` equal
+words hold an equal run, and the runs of a longer passage overlap. A run that occurs before covers its words."""
 
 from __future__ import annotations
 
@@ -11,16 +16,20 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.llm.common import boxed, text_batches
 from ebbtide.llm.text import SPACED, _spans, gram_hashes, mix, utf8, word_hashes
+from ebbtide.llm.winnowing import bitmap, fingerprints, marked
 from ebbtide.session import stage
 
 LINE_WORDS = 16
 SENTENCE_ENDS = b".!?"
 WINDOW, WINDOW_WORDS = 3, 8  # lines of a window, and the least number of words it has
+SPAN_WORDS = 50
+RUN_WORDS = 26  # of the runs that begin at 25 neighbouring words one is chosen, so chosen ones overlap
 NO_ID = (1 << 63) - 1  # rows without an id come last
 
 _ENDS = np.zeros(256, bool)
@@ -49,16 +58,19 @@ def line_ends(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def window_hashes(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
-    """Positions and hashes of the windows with enough words, and the number of lines."""
+    """Places and hashes of the windows with enough words and of the chosen runs, and the number of lines.
+
+    The place of a window is its first line, that of a run from word i is -1 - i."""
     words, _ = line_ends(raw)
+    hashes = word_hashes(raw, SPACED)
+    runs, chosen = fingerprints(hashes, RUN_WORDS, SPAN_WORDS)
     if len(words) < WINDOW:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64), len(words)
+        return -1 - runs, chosen, len(words)
     first = np.concatenate([[0], words[:-1]])
-    hashes = word_hashes(raw, SPACED)
     place = np.arange(len(hashes)) - np.repeat(first, words - first)
     lines = mix(np.add.reduceat(hashes * _FACTORS[place], first))
     at = np.flatnonzero(words[WINDOW - 1 :] - first[: len(first) - WINDOW + 1] >= WINDOW_WORDS)
-    return at, gram_hashes(lines, WINDOW)[at], len(words)
+    return np.concatenate([at, -1 - runs]), np.concatenate([gram_hashes(lines, WINDOW)[at], chosen]), len(words)
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,15 +97,41 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _repeated(sent):
+    """(ord, body, places, windows) to (ord, body, at, h) of the windows whose bit is set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = sent.value
+        for batch in batches:
+            places, windows = batch.column(2), batch.column(3)
+            owner = np.repeat(np.arange(len(batch)), pa.compute.list_value_length(windows).to_numpy(zero_copy_only=False))
+            hashes = windows.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            keep = np.flatnonzero(marked(bits, hashes))
+            row = pa.array(owner[keep])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(row), batch.column(1).take(row), places.flatten().take(pa.array(keep)), pa.array(hashes[keep].view(np.int64))],
+                names=["ord", "body", "at", "h"],
+            )
+
+    return run
+
+
 def _without(text: str, cuts) -> tuple[str, int]:
     raw = np.frombuffer(text.encode(), np.uint8)
-    _, ends = line_ends(raw)
-    covered = np.zeros(len(ends), bool)
-    for j in range(WINDOW):
-        covered[np.asarray(cuts) + j] = True
-    starts = np.concatenate([[0], ends[:-1]])
-    kept = b"".join(raw[a:b].tobytes() for a, b, gone in zip(starts, ends, covered) if not gone).decode()
-    return (kept.rstrip() if covered[-1] else kept), int(covered.sum())
+    words, _ = line_ends(raw)
+    first = np.concatenate([[0], words[:-1]])
+    cuts = np.asarray(cuts)
+    edges = np.zeros(words[-1] + 1, np.int64)
+    at, runs = cuts[cuts >= 0], -1 - cuts[cuts < 0]
+    np.add.at(edges, np.concatenate([first[at], runs]), 1)
+    np.add.at(edges, np.concatenate([words[at + WINDOW - 1], runs + RUN_WORDS]), -1)
+    covered = np.cumsum(edges[:-1]) > 0
+    starts = _spans(raw, SPACED)[0]
+    starts[0] = 0
+    change = np.flatnonzero(np.diff(covered, prepend=True))  # kept and covered stretches take turns, a kept one first
+    places = np.append(starts[change], len(raw))
+    kept = b"".join(raw[a:b].tobytes() for a, b in zip(places[:-1:2], places[1::2])).decode()
+    return (kept.rstrip() if covered[-1] else kept), int(np.logical_and.reduceat(covered, first).sum())
 
 
 def _rewritten(texts: pd.Series, cuts: pd.Series) -> pd.DataFrame:
@@ -105,7 +143,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """``docs`` with ``text`` freed of later occurrences of windows, plus n_lines and n_removed (replaced if present).
 
     Windows are compared by words, A-Z as a-z, whatever the white space between them; those under WINDOW_WORDS words
-    do not count. Texts under three lines, empty and null texts stay as they are. Rows with the same id are one
+    do not count. ``n_removed`` counts the lines of which nothing is left; a run may also take a part of a line. Texts under three lines, empty and null texts stay as they are. Rows with the same id are one
     document: none is a repeat of the other. Rows without an id come last and count as one document. Of what is kept,
     nothing changes; white space left at the end by a removed last line goes too."""
     text_batches(docs.sparkSession)
@@ -119,10 +157,11 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
         "line-windows",
     )
     windows = scanned.select("ord", F.explode("windows").alias("h"))
-    repeated = windows.groupBy("h").agg(F.min("ord").alias("first"), F.max("ord").alias("last")).where("first < last").select("h", "first")
-    each = scanned.select("ord", "body", F.explode(F.arrays_zip("places", "windows")).alias("w")).select(
-        "ord", "body", F.col("w.places").alias("at"), F.col("w.windows").alias("h")
-    )
+    least, most = F.min("ord").alias("first"), F.max("ord").alias("last")
+    repeated = stage(windows.groupBy("h").agg(least, most).where("first < last").select("h", "first"), "repeated-windows")
+    # The bits keep most of what is not repeated out of the shuffle; the join decides.
+    sent = bitmap(repeated.select(F.col("h").alias("fp")))
+    each = scanned.select("ord", "body", "places", "windows").mapInArrow(_repeated(sent), "ord bigint, body bigint, at int, h bigint")
     later = each.join(repeated, "h").where("ord > first").select("ord", "body", "at")
     own = scanned.where(F.size("again") > 0).select("ord", "body", F.explode("again").alias("at"))
     cuts = later.union(own).groupBy("ord", "body").agg(F.collect_set("at").alias("cuts"))

@@ -72,11 +72,11 @@ def _hits(words: np.ndarray, k: int, span: int, whole: list[int], outside: int)
     return fps, at, sizes, is_gram, around
 
 
-def _scan(kind: str, k: int, span: int, whole: list[int], bitmap) -> callable:
+def _scan(kind: str, k: int, span: int, whole: list[int], sent) -> callable:
     """Arrow batches (id, row, text, body) to (id, row, body, n_words, hits)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = bitmap.value if bitmap is not None else None
+        bits = sent.value if sent is not None else None
         for batch in batches:
             n_words, ends, found = [], [0], []
             for raw in utf8(batch.column(2)):
@@ -87,8 +87,7 @@ def _scan(kind: str, k: int, span: int, whole: list[int], bitmap) -> callable:
                     hits = _hits(words, k, span, lengths, outside=1)
                 else:
                     hits = _hits(words, k, span, whole, outside=0)
-                    bit = hits[0] % np.uint64(BITMAP_BITS)
-                    keep = bits[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8) & 1 == 1
+                    keep = marked(bits, hits[0])
                     hits = tuple(part[keep] for part in hits)
                 found.append(hits)
                 ends.append(ends[-1] + len(hits[0]))
@@ -117,26 +116,31 @@ def _scan(kind: str, k: int, span: int, whole: list[int], bitmap) -> callable:
     return run
 
 
-def _scanned(table: DataFrame, id_col: str, kind: str, k: int, span: int, whole: list[int], bitmap) -> DataFrame:
+def _scanned(table: DataFrame, id_col: str, kind: str, k: int, span: int, whole: list[int], sent) -> DataFrame:
     text_batches(table.sparkSession)
     rows = table.select(id_col, F.monotonically_increasing_id().alias("row"), "text", F.xxhash64("text").alias("body"))
     kept = f"`{id_col}` {dict(table.dtypes)[id_col]}, row bigint, body bigint, n_words bigint, hits {HITS}"
-    return stage(rows.mapInArrow(_scan(kind, k, span, whole, bitmap), kept), f"{kind}-fingerprints")
+    return stage(rows.mapInArrow(_scan(kind, k, span, whole, sent), kept), f"{kind}-fingerprints")
 
 
-def _bitmap(items: DataFrame):
-    """The items' fingerprints as bits; at most BITMAP_BITS / 64 rows reach the driver."""
+def marked(bits: np.ndarray, fps: np.ndarray) -> np.ndarray:
+    """Which hashes have their bit set."""
+    bit = fps % np.uint64(BITMAP_BITS)
+    return bits[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8) & 1 == 1
+
+
+def bitmap(fingerprints: DataFrame):
+    """The hashes in column ``fp`` as bits, sent out; at most BITMAP_BITS / 64 rows reach the driver."""
     bit = F.pmod(F.col("fp"), F.lit(BITMAP_BITS))
     words = (
-        items.select(F.explode("hits.fp").alias("fp"))
-        .select(F.floor(bit / 64).alias("word"), F.expr(f"shiftleft(1L, cast(pmod(fp, {BITMAP_BITS}) % 64 as int))").alias("bits"))
+        fingerprints.select(F.floor(bit / 64).alias("word"), F.expr(f"shiftleft(1L, cast(pmod(fp, {BITMAP_BITS}) % 64 as int))").alias("bits"))
         .groupBy("word")
         .agg(F.bit_or("bits").alias("bits"))
         .toArrow()
     )
     bits = np.zeros(BITMAP_BITS // 64, np.int64)
     bits[words["word"].to_numpy()] = words["bits"].to_numpy()
-    return items.sparkSession.sparkContext.broadcast(bits.view(np.uint8))
+    return fingerprints.sparkSession.sparkContext.broadcast(bits.view(np.uint8))
 
 
 def contamination(
@@ -152,7 +156,7 @@ def contamination(
     ``row``, so repeated ids, repeated rows and null ids are documents of their own. Other columns are ignored."""
     items = _scanned(benchmark, item_col, "item", k, span, [], None)
     whole = [r[0] for r in items.where(f"n_words between 1 and {span - 1}").select("n_words").distinct().collect()]
-    scanned = _scanned(docs, id_col, "document", k, span, sorted(whole), _bitmap(items))
+    scanned = _scanned(docs, id_col, "document", k, span, sorted(whole), bitmap(items.select(F.explode("hits.fp").alias("fp"))))
 
     theirs = items.select(F.col(item_col).alias("item"), F.explode("hits").alias("h")).select(
         "item", "h.fp", F.col("h.around").alias("other")

@@ -193,6 +193,17 @@ def test_repeats_inside_a_text(spark):
     assert found[1].text == f"{part}\nbetween them\nend" and found[2].n_removed == 0
 
 
+def test_passages_from_the_middle_of_a_sentence_go(spark):
+    passage = [f"p{i}" for i in range(70)]
+    rows = [(0, " ".join(["head", *passage, "tail"]))]
+    rows += [(n, " ".join([*(f"own{n}x{i}" for i in range(n)), *passage, f"end{n}", "and", f"more{n}."])) for n in range(2, 40)]
+    rows += [(50, " ".join([f"v{i}" for i in range(20)] + passage[5:55] + [f"u{i}" for i in range(20)]))]
+    for r in line_dedup.without_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).where("doc_id > 0").collect():
+        kept, before = spaced(r.text), spaced(dict(rows)[r.doc_id])
+        assert [w for w in kept if w not in passage] == [w for w in before if w not in passage]
+        assert 50 not in [len(list(g)) for k, g in itertools.groupby(kept, lambda w: w in passage) if k] and len(kept) <= len(before) - line_dedup.RUN_WORDS
+
+
 # ---- winnowing ------------------------------------------------------------------------------------
 
 
