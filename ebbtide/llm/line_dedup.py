@@ -27,7 +27,7 @@ from ebbtide.session import stage
 
 LINE_WORDS = 16
 SENTENCE_ENDS = b".!?"
-WINDOW, WINDOW_WORDS = 3, 8  # lines of a window, and the least number of words it has
+WINDOW, WINDOW_WORDS = 3, 8  # lines of a window, and the least number of words that go at once
 SPAN_WORDS = 50
 RUN_WORDS = 26  # of the runs that begin at 25 neighbouring words one is chosen, so chosen ones overlap
 NO_ID = (1 << 63) - 1  # rows without an id come last
@@ -58,7 +58,7 @@ def line_ends(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def window_hashes(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
-    """Places and hashes of the windows with enough words and of the chosen runs, and the number of lines.
+    """Places and hashes of the windows and of the chosen runs, and the number of lines.
 
     The place of a window is its first line, that of a run from word i is -1 - i."""
     words, _ = line_ends(raw)
@@ -69,8 +69,8 @@ def window_hashes(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     first = np.concatenate([[0], words[:-1]])
     place = np.arange(len(hashes)) - np.repeat(first, words - first)
     lines = mix(np.add.reduceat(hashes * _FACTORS[place], first))
-    at = np.flatnonzero(words[WINDOW - 1 :] - first[: len(first) - WINDOW + 1] >= WINDOW_WORDS)
-    return np.concatenate([at, -1 - runs]), np.concatenate([gram_hashes(lines, WINDOW)[at], chosen]), len(words)
+    windows = gram_hashes(lines, WINDOW)
+    return np.concatenate([np.arange(len(windows)), -1 - runs]), np.concatenate([windows, chosen]), len(words)
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,7 +122,13 @@ def _without(text: str, cuts) -> tuple[str, int]:
     first = np.concatenate([[0], words[:-1]])
     cuts = np.asarray(cuts)
     edges = np.zeros(words[-1] + 1, np.int64)
-    at, runs = cuts[cuts >= 0], -1 - cuts[cuts < 0]
+    at, runs = np.sort(cuts[cuts >= 0]), -1 - cuts[cuts < 0]
+    if len(at):
+        # Windows that follow each other count together, so short lines go where enough of them are repeated.
+        lead = np.flatnonzero(np.diff(at, prepend=-2) != 1)
+        last = np.append(lead[1:], len(at)) - 1
+        enough = words[at[last] + WINDOW - 1] - first[at[lead]] >= WINDOW_WORDS
+        at = at[np.repeat(enough, last - lead + 1)]
     np.add.at(edges, np.concatenate([first[at], runs]), 1)
     np.add.at(edges, np.concatenate([words[at + WINDOW - 1], runs + RUN_WORDS]), -1)
     covered = np.cumsum(edges[:-1]) > 0
@@ -142,8 +148,8 @@ def _rewritten(texts: pd.Series, cuts: pd.Series) -> pd.DataFrame:
 def without_repeats(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """``docs`` with ``text`` freed of later occurrences of windows, plus n_lines and n_removed (replaced if present).
 
-    Windows are compared by words, A-Z as a-z, whatever the white space between them; those under WINDOW_WORDS words
-    do not count. ``n_removed`` counts the lines of which nothing is left; a run may also take a part of a line. Texts under three lines, empty and null texts stay as they are. Rows with the same id are one
+    Windows are compared by words, A-Z as a-z, whatever the white space between them; where
+    those that follow each other cover under WINDOW_WORDS words, they stay. ``n_removed`` counts the lines of which nothing is left; a run may also take a part of a line. Texts under three lines, empty and null texts stay as they are. Rows with the same id are one
     document: none is a repeat of the other. Rows without an id come last and count as one document. Of what is kept,
     nothing changes; white space left at the end by a removed last line goes too."""
     text_batches(docs.sparkSession)

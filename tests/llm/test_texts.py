@@ -204,6 +204,14 @@ def test_passages_from_the_middle_of_a_sentence_go(spark):
         assert 50 not in [len(list(g)) for k, g in itertools.groupby(kept, lambda w: w in passage) if k] and len(kept) <= len(before) - line_dedup.RUN_WORDS
 
 
+def test_repeated_short_lines_go(spark):
+    menu, small, four = ("\n".join(f"{c}{i} x{i}!!" for i in range(n)) for c, n in (("a", 12), ("b", 3), ("c", 4)))
+    own = ["Its own start of some words here.", "Between the lists one more sentence.", "Something else in this place.", "Its own end."]
+    rows = [(1, f"{menu}\n"), (2, f"{small}\n"), (3, f"{four}\n"), (4, "\n".join([own[0], menu, own[1], small, own[2], four, own[3]]))]
+    found = {r.doc_id: r.text for r in line_dedup.without_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert found == {**dict(rows), 4: "\n".join([own[0], own[1], small, own[2], own[3]])}
+
+
 # ---- winnowing ------------------------------------------------------------------------------------
 
 
