@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ebbtide.llm.common import text_batches
 from ebbtide.llm.text import ALNUM, SPACED, _spans, gram_hashes, mix, utf8, word_hashes
+from ebbtide.session import stage
 
 KEEP, REJECT, ABSTAIN = "0", "1", "-"
 LABELLERS = (
@@ -35,12 +36,13 @@ _KIND[list(b".,;:?'\"()-")] = 4
 
 @dataclass(frozen=True)
 class Training:
-    """Bounds and settings of what is fitted: labelled rows for the word list of abuse, documents for the scorer."""
+    """Bounds and settings of what is fitted: labelled rows for the word list of abuse, documents for the scorer.
+
+    ``abuse_share`` is the least share of toxic documents of a listed word, one more document at the base rate counted."""
 
     labelled_rows: int = 50_000
     sample_rows: int = 10_000
-    abuse_documents: int = 6
-    abuse_share: float = 0.95
+    abuse_share: float = 0.8
     epochs: int = 6
     rate: float = 0.3
     decay: float = 1e-5
@@ -209,15 +211,25 @@ def _sampled(df: DataFrame, id_col: str, rows: int) -> DataFrame:
 
 
 def abuse_words(docs: DataFrame, labels: DataFrame, id_col: str, training: Training) -> np.ndarray:
-    """Hashes of words that occur almost only in documents labelled toxic, from a bounded sample of labelled rows."""
+    """Hashes of words that occur mostly in documents labelled toxic, from a bounded sample of labelled rows.
+
+    A wrong label may fall on any word, so the share is one that a single label does not decide at small counts. And
+    the counts must be so far from the base rate (their likelihood ratio at least the number of words) that less than
+    one word is expected on the list by chance."""
     known = _sampled(labels.where("toxic IS NOT NULL").select(id_col, "toxic"), id_col, training.labelled_rows)
     # The sample's size is bounded by a parameter, so it can go to every task, and no text is shuffled.
     rows = docs.select(id_col, "text").join(F.broadcast(known), id_col).select("toxic", "text")
     words = rows.mapInArrow(_distinct_words, f"toxic {dict(labels.dtypes)['toxic']}, word bigint")
+    counted = stage(words.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.count("*").alias("n")), "labelled-words")
+    base, total = known.agg(F.avg("toxic")).first()[0] or 0.0, counted.count()
+    if not 0 < base < 1 or not total:
+        return np.zeros(0, np.uint64)
+    share = F.col("toxic") / F.col("n")
+    clean = F.when(share < 1, (F.col("n") - F.col("toxic")) * F.log((1 - share) / (1 - base))).otherwise(0)
     found = (
-        words.groupBy("word")
-        .agg(F.sum("toxic").alias("toxic"), F.count("*").alias("n"))
-        .where((F.col("toxic") >= training.abuse_documents) & (F.col("toxic") >= training.abuse_share * F.col("n")))
+        counted.where("toxic > 0")
+        .where((F.col("toxic") + base) / (F.col("n") + 1) >= training.abuse_share)
+        .where(F.col("toxic") * F.log(share / base) + clean >= float(np.log(total)))
         .select("word")
         .toArrow()
     )

@@ -372,6 +372,25 @@ def test_held_out_documents_are_judged_as_labelled(spark, small):
     assert bad.where("NOT kept").count() >= 0.95 * bad.count()
 
 
+def test_one_wrong_label_keeps_no_word_off_the_abuse_list(spark):
+    texts = [(i, " ".join(f"plain{(i * j) % 97}" for j in range(1, 30)) + (" often" if i < 11 else " seldom" if i < 16 else "")) for i in range(400)]
+    labels = [(i, int(i < 10 or 11 <= i < 16 or i % 20 == 3)) for i in range(400)]
+    docs, known = spark.createDataFrame(texts, "doc_id bigint, text string"), spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    found = quality.abuse_words(docs, known, "doc_id", quality.Training())
+    assert set(found.tolist()) == set(text.word_hashes(raw("often seldom"), text.ALNUM).tolist())
+
+
+def test_abuse_is_found_in_every_language(spark, small):
+    docs, labels = (spark.read.parquet(f"{small.replace('0.001', '0.1')}/{t}.parquet") for t in ("documents", "labels"))
+    rows = docs.join(labels.where("toxic IS NOT NULL"), "doc_id").select("lang", "toxic", "text").collect()
+    listed = quality.abuse_words(docs, labels, "doc_id", quality.Training())
+    hit = collections.defaultdict(list)
+    for r in rows:
+        hit[r.toxic, r.lang if r.toxic else ""].append(bool(np.isin(text.word_hashes(raw(r.text or ""), text.ALNUM), listed).any()))
+    share = {k: np.mean(v) for k, v in hit.items()}
+    assert share.pop((0, "")) <= 0.01 and len(share) == 4 and min(share.values()) >= 0.9, share
+
+
 def test_odd_documents_are_judged(spark, odd, none):
     labels = spark.createDataFrame([(1, 0, None), (None, 1, 1)], "doc_id bigint, quality int, toxic int")
     for given_labels in (None, labels, labels.where("false")):
