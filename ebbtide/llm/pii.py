@@ -174,6 +174,18 @@ REPLACE: dict[str, Callable[[str, bytes, bool], str | None]] = {
     "email": _email, "iban": _iban, "address": _address, "ssn": _ssn, "date": _date, "card": _card, "phone": _phone, "secret": _secret,
 }
 
+# The length of an IBAN by country.
+_IBAN_LENGTH = {
+    country: size
+    for size, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+        26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+        31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
+
 _EMAIL = re.compile(r"(?<![\w.%+-])(?P<email>[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})(?![\w-])")
 _NUMBERS = re.compile(
     r"(?<![\w.@-])(?:"
@@ -192,6 +204,13 @@ _SECRET = re.compile(
 )
 
 
+def _iban_ends(text: str) -> list[str]:
+    """What may be the IBAN at the start of a match: up to the country's length, then up to each space, longest first."""
+    tokens = text.split(" ")
+    parts = [" ".join(tokens[:n]) for n in range(len(tokens), 0, -1)]
+    return sorted(parts, key=lambda part: len(part.replace(" ", "")) != _IBAN_LENGTH.get(text[:2]))
+
+
 def pseudonymised(text: str, key: bytes, back: bool = False) -> tuple[str, list[int]]:
     """The text with every checked value replaced, and how many of each of KINDS; ``back`` undoes it."""
     counts = dict.fromkeys(KINDS, 0)
@@ -206,12 +225,27 @@ def pseudonymised(text: str, key: bytes, back: bool = False) -> tuple[str, list[
         at = match.start(name) - match.start()
         return whole[:at] + new + whole[at + len(match.group(name)) :]
 
+    def numbers(text: str) -> str:
+        """After a failed check the search goes on behind the first character, so no value inside a match is passed over."""
+        out, done, at = [], 0, 0
+        while match := _NUMBERS.search(text, at):
+            kind, value = match.lastgroup, match.group()
+            for value in _iban_ends(value) if kind == "iban" else [value]:
+                if (new := REPLACE[kind](value, key, back)) is not None:
+                    counts[kind] += 1
+                    out += [text[done : match.start()], new]
+                    done = at = match.start() + len(value)
+                    break
+            else:
+                at = match.start() + 1
+        return "".join([*out, text[done:]])
+
     if "@" in text:
         text = _EMAIL.sub(put, text)
     if "=" in text or ":" in text or "AKIA" in text:
         text = _SECRET.sub(put, text)
     if _DIGITS.search(text):
-        text = _NUMBERS.sub(put, text)
+        text = numbers(text)
     return text, list(counts.values())
 
 

@@ -280,3 +280,15 @@ def test_arrow_views_start_anywhere():
     for kind in (pa.string(), pa.large_string()):
         part = pa.array(["a", None, "bcd", ""], kind).slice(1)
         assert [None if x is None else x.tobytes() for x in utf8(part)] == [None, b"bcd", b""]
+
+
+def test_an_iban_before_other_tokens_is_found():
+    key = b"key"
+    for iban in ("DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "GB29 NWBK 6016 1331 9268 19", "NO9386011117947"):
+        for tail in (" BIC COBADEFF", " 2024", " 12 EUR", " X", ", end", " 4111 1111 1111 1111", ""):
+            value = f"Pay {iban}{tail}"
+            new, counts = pii.pseudonymised(value, key)
+            assert counts[pii.KINDS.index("iban")] == 1 and iban not in new, value
+            assert counts[pii.KINDS.index("card")] == ("4111" in tail) and pii.pseudonymised(new, key, True)[0] == value
+    new, counts = pii.pseudonymised("AB12 CDEF GHIJ KLMN DE89 3704 0044 0532 0130 00 and so on", key)
+    assert counts[pii.KINDS.index("iban")] == 1 and new.startswith("AB12 CDEF GHIJ KLMN DE") and "3704" not in new
