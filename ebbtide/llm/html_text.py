@@ -36,9 +36,9 @@ CLOSES = {
         "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 "
         "h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section summary table ul"
     ).split()},
-    "li": ({"li"}, {"ul", "ol", "menu"}),
-    "dt": ({"dt", "dd"}, {"dl"}),
-    "dd": ({"dt", "dd"}, {"dl"}),
+    "li": ({"li"}, {"ul", "ol", *HIDDEN}),
+    "dt": ({"dt", "dd"}, {"dl", *HIDDEN}),
+    "dd": ({"dt", "dd"}, {"dl", *HIDDEN}),
     "tr": ({"tr", "td", "th"}, {"table"}),
     "td": ({"td", "th"}, {"tr", "table"}),
     "th": ({"td", "th"}, {"tr", "table"}),
@@ -65,13 +65,14 @@ _SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("name", "parent", "children", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("name", "parent", "children", "chars", "tags", "link_chars", "link_tags", "density", "total", "hidden")
 
-    def __init__(self, name: str, parent: Node | None):
-        self.name, self.parent, self.children = name, parent, []
+    def __init__(self, name: str, parent: Node | None, hidden: bool = False):
+        """A hidden element knows its parent, whose end ends it too, but is not among its children."""
+        self.name, self.parent, self.children, self.hidden = name, parent, [], hidden
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
-        if parent is not None:
+        if parent is not None and not hidden:
             parent.children.append(self)
 
 
@@ -98,7 +99,7 @@ def _is_furniture(name: str, attributes: str, by_attributes: bool) -> bool:
 def parse(page: str, by_attributes: bool = True) -> Node:
     """A tree of elements and strings without page furniture. Missing end tags are supplied as HTML does."""
     root = Node("body", None)
-    here, hidden, at, opened = root, [], 0, Counter()
+    here, at, opened = root, 0, Counter()
 
     def leave(names: set[str], barrier: set[str]) -> Node:
         if not any(opened[name] for name in names):
@@ -114,7 +115,7 @@ def parse(page: str, by_attributes: bool = True) -> Node:
 
     while at < len(page):
         token = _TOKEN.search(page, at)
-        if not hidden and (text := page[at : token.start() if token else len(page)]):
+        if not here.hidden and (text := page[at : token.start() if token else len(page)]):
             here.children.append(html.unescape(text))
         if not token:
             break
@@ -126,35 +127,25 @@ def parse(page: str, by_attributes: bool = True) -> Node:
         if name in ("html", "body"):
             continue
         if closing:
-            if hidden:
-                if name in hidden:
-                    while hidden.pop() != name:
-                        pass
-            else:
-                outer = leave({name}, set())
-                if outer is here and name == "p":
-                    Node("br", here)
-                here = outer
+            outer = leave({name}, set())
+            if outer is here and name == "p" and not here.hidden:
+                Node("br", here)
+            here = outer
             continue
         single = name in VOID or attributes.rstrip().endswith("/") and name not in INLINE and name not in CLOSES
         if name in RAW and not single:
             done = re.compile(rf"</{re.escape(name)}\s*>?", re.I).search(page, at)
             at = done.end() if done else len(page)
-            if not hidden and name not in INLINE:
+            if not here.hidden and name not in INLINE:
                 Node("br", here)
             continue
-        if hidden:
-            if not single:
-                hidden.append(name)
-            continue
         if name in CLOSES:
             here = leave(*CLOSES[name])
-        if _is_furniture(name, attributes, by_attributes):
+        hidden = here.hidden
+        if not hidden and _is_furniture(name, attributes, by_attributes):
             Node("br", here)
-            if not single:
-                hidden.append(name)
-            continue
-        node = Node(name, here)
+            hidden = True
+        node = Node(name, here, hidden)
         if not single:
             opened[name] += 1
             here = node

@@ -292,3 +292,20 @@ def test_an_iban_before_other_tokens_is_found():
             assert counts[pii.KINDS.index("card")] == ("4111" in tail) and pii.pseudonymised(new, key, True)[0] == value
     new, counts = pii.pseudonymised("AB12 CDEF GHIJ KLMN DE89 3704 0044 0532 0130 00 and so on", key)
     assert counts[pii.KINDS.index("iban")] == 1 and new.startswith("AB12 CDEF GHIJ KLMN DE") and "3704" not in new
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div><p class=ad>Buy now<p>{0}</div>",
+        "<ul><li class=menu-item>Buy now<li>{0}</ul>",
+        "<table><tr><td class=sidebar>Buy now<td>{0}</table>",
+        "<dl><dt class=promo>Buy now<dd>{0}</dl>",
+        "<div><nav><ul><li>Buy now<li><a href=x>Shop</a></div><article><p>{0}</article>",
+        "<section><aside><p>Buy now<p>More</section><p>{0}",
+        "<ul><li><nav><li>Buy now</nav>{0}</ul>",
+    ],
+)
+def test_furniture_without_an_end_tag_hides_only_itself(page):
+    article = "The article goes on with a long sentence, and with another one, so that its text is dense enough."
+    assert html_text.main_text(page.format(article)) == article
