@@ -20,6 +20,27 @@ def text_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", TEXT_ROWS)
 
 
+def sample_cut(df: DataFrame, digest, rows: int) -> int:
+    """The value up to which ``digest`` (a 64-bit hash) of the rows of ``df`` has at most ``rows`` distinct values.
+
+    Whatever the size of the input, and however often a value repeats, the bound holds, and something is drawn
+    wherever there is something: the share of the hash range that is looked at follows the number of rows and widens
+    until it holds enough values."""
+    total, most = df.count(), (1 << 63) - 1
+    if total <= rows:
+        return most
+    share = min(1.0, 2.0 * rows / total)
+    while True:
+        top = most if share >= 1 else int((2.0 * share - 1.0) * float(1 << 63))
+        drawn = df.select(digest.alias("drawn")).where(F.col("drawn") <= top).distinct().orderBy("drawn").limit(rows)
+        n, cut = drawn.agg(F.count("*"), F.max("drawn")).first()
+        if n >= rows:
+            return cut
+        if share >= 1:
+            return most
+        share = min(1.0, share * 16)
+
+
 def boxed(df: DataFrame) -> DataFrame:
     """``df`` as one column ``doc`` that holds the whole row, so that no name of its columns meets another."""
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("doc"))

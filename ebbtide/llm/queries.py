@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ebbtide.llm.common import read
@@ -13,11 +14,15 @@ from ebbtide.llm.html_text import extracted_pages
 from ebbtide.llm.line_dedup import without_repeats
 from ebbtide.llm.nn_descent import near_duplicates
 from ebbtide.llm.packing import packed, vocabulary
+from ebbtide.llm.periodic_runs import periodic_runs, run_digests, with_planted_tails
 from ebbtide.llm.pii import with_pseudonyms
 from ebbtide.llm.preferences import preference_pairs, rendered_pairs
+from ebbtide.llm.prefix_trie import conversation_trie, distinct_conversations, ordered_turns, with_shared_starts
 from ebbtide.llm.quality import scored
+from ebbtide.llm.toxicity import toxicity
 from ebbtide.llm.winnowing import contaminated_documents
 from ebbtide.llm.zip_warc import archived
+from ebbtide.session import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -137,6 +142,60 @@ def op10(spark, sf_dir):
     return near_duplicates(read(spark, sf_dir, "embeddings"))
 
 
+@register("op11_recompression_runs")
+def op11(spark, sf_dir):
+    return run_digests(periodic_runs(with_planted_tails(read(spark, sf_dir, "documents"))))
+
+
+# The CRC-32 of each id is taken bit by bit, and every node meets all its ancestors.
+TRIE = """WITH own AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i, role, text
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)),
+convs AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base, xor(list_reduce(
+           list_concat([4294967295], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+           lambda s, b: list_reduce(list_concat([xor(s, b)], [0, 0, 0, 0, 0, 0, 0, 0]), lambda t, z: xor(t >> 1, 3988292384 * (t & 1)))),
+         4294967295) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM own)),
+rebuilt AS (
+  SELECT c.conv_id, 0 AS part, i, role, text FROM convs c JOIN own o ON o.conv_id = c.base AND i <= h
+  UNION ALL SELECT conv_id, 1, i, role, text FROM own JOIN convs USING (conv_id) WHERE i > h),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY part, i) AS depth FROM rebuilt),
+prefixes AS (
+  SELECT conv_id, depth, length(text) AS chars,
+         string_agg(sha256(length(role) || ':' || role || text), '') OVER (PARTITION BY conv_id ORDER BY depth) AS p FROM placed
+  UNION ALL SELECT conv_id, 0, 0, '' FROM convs),
+members AS (SELECT conv_id AS member, depth, chars, min(conv_id) OVER (PARTITION BY depth, p) AS owner FROM prefixes),
+nodes AS (SELECT owner, depth, count(*) AS n_convs, (count(*) - 1) * any_value(chars) AS saved FROM members GROUP BY owner, depth),
+parents AS (SELECT n.*, m.owner AS parent FROM nodes n LEFT JOIN members m ON m.member = n.owner AND m.depth = n.depth - 1),
+children AS (SELECT parent AS owner, depth - 1 AS depth, count(*) AS n_children FROM parents WHERE depth > 0 GROUP BY ALL),
+full_nodes AS (SELECT p.*, coalesce(n_children, 0) AS n_children FROM parents p LEFT JOIN children c USING (owner, depth)),
+totals AS (
+  SELECT a.owner, a.depth, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(n.saved) AS saved_tokens
+  FROM full_nodes n JOIN members a ON a.member = n.owner AND a.depth <= n.depth GROUP BY a.owner, a.depth),
+ends AS (
+  SELECT owner, depth, string_agg(CAST(member AS VARCHAR), ',' ORDER BY member) AS ids
+  FROM (SELECT *, max(depth) OVER (PARTITION BY member) AS last FROM members) WHERE depth = last GROUP BY owner, depth)
+SELECT owner AS conv_id, CAST(depth AS BIGINT) AS depth, parent AS parent_conv_id, n_convs, CAST(n_children AS BIGINT) AS n_children,
+       CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM full_nodes JOIN totals USING (owner, depth) LEFT JOIN ends USING (owner, depth)"""
+
+
+@register("op12_centroid_trie", TRIE)
+def op12(spark, sf_dir):
+    conversations = read(spark, sf_dir, "conversations")
+    turns = stage(ordered_turns(conversations), "ordered-turns")
+    return conversation_trie(*with_shared_starts(turns, distinct_conversations(conversations)))
+
+
+@register("op13_factorization_machine")
+def op13(spark, sf_dir):
+    """Labels of a fifth of the ids, by their CRC-32, are held out."""
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    scored = toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels").where(~held_out))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 @register("pipeline")
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)

@@ -34,13 +34,9 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def _codes() -> np.ndarray:
-    codes = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
-    codes[0x41:0x5B] = codes[0x61:0x7B]
-    return codes
-
-
-_CODES = _codes()
+_EXACT = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
+_CODES = _EXACT.copy()  # upper case A-Z has the code of its lower case
+_CODES[0x41:0x5B] = _CODES[0x61:0x7B]
 _POWERS: list[np.ndarray] = []
 
 
@@ -75,22 +71,37 @@ def _blocks(raw: np.ndarray, is_word: np.ndarray) -> Iterator[np.ndarray]:
         at = end
 
 
-def word_hashes(raw: np.ndarray, is_word: np.ndarray = SPACED) -> np.ndarray:
-    """A 64-bit hash for each word of a UTF-8 text, upper case A-Z read as lower case.
+def _hashed_spans(raw: np.ndarray, is_word: np.ndarray, codes: np.ndarray, pick) -> np.ndarray:
+    """Hashes of the spans that ``pick(starts, ends)`` gives for the words of each block of a text.
 
-    Prefix sums of ``code(byte) * radix**place`` give every word's polynomial hash at once."""
+    Prefix sums of ``code(byte) * radix**place`` give every span's polynomial hash at once."""
     found = []
     for block in _blocks(raw, is_word):
-        starts, ends = _spans(block, is_word)
+        starts, ends = pick(*_spans(block, is_word))
         if not len(starts):
             continue
         up, down = _powers(len(block) + 1)
         sums = np.zeros(len(block) + 1, np.uint64)
-        np.cumsum(_CODES[block] * up[: len(block)], out=sums[1:])
+        np.cumsum(codes[block] * up[: len(block)], out=sums[1:])
         found.append(mix((sums[ends] - sums[starts]) * down[starts]))
     return np.concatenate(found) if found else np.zeros(0, np.uint64)
 
 
+def word_hashes(raw: np.ndarray, is_word: np.ndarray = SPACED, exact_case: bool = False) -> np.ndarray:
+    """A 64-bit hash for each word of a UTF-8 text, upper case A-Z read as lower case unless ``exact_case``."""
+    return _hashed_spans(raw, is_word, _EXACT if exact_case else _CODES, lambda starts, ends: (starts, ends))
+
+
+def prefix_hashes(raw: np.ndarray, is_word: np.ndarray, size: int) -> np.ndarray:
+    """A hash for the first ``size`` bytes of each longer word, A-Z read as a-z."""
+
+    def pick(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        long = starts[ends - starts > size]
+        return long, long + size
+
+    return _hashed_spans(raw, is_word, _CODES, pick)
+
+
 def gram_hashes(words: np.ndarray, width: int) -> np.ndarray:
     """A hash for each run of ``width`` consecutive words."""
     n = len(words) - width + 1
