@@ -50,6 +50,17 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(staged: DataFrame) -> None:
+    """Delete a table of :func:`stage`, once all that was made of it has been written itself."""
+    spark = staged.sparkSession
+    folders = {file.rsplit("/", 1)[0] for file in staged.inputFiles()}
+    for folder in folders:
+        if "/ebbtide/" not in folder:
+            raise ValueError(f"{folder} is not a staged table")
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint when a count proves it short, else unchanged (shuffle join)."""
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
