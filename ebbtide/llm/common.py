@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.session import stage
 
 # Rows of whole texts that a task hands to Python at once.
-TEXT_ROWS = "1000"
+TEXT_ROWS, TEXT_BYTES = "1000", str(16 << 20)
+
+# Hashes of which a filter is sent to the tasks; of more, none is. It has 16 to 32 bits a hash.
+FILTER_HASHES = 1 << 23
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -16,8 +20,38 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def text_batches(spark: SparkSession) -> None:
-    """Small Arrow batches, so that long texts do not add up in a worker. Holds for the session."""
+    """Small Arrow batches, by rows and by bytes, so that long texts do not add up in a worker. Holds for the session."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", TEXT_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", TEXT_BYTES)
+
+
+def hash_filter(hashes: DataFrame):
+    """The hashes in column ``h`` as a table of bits, sent out, or None where there are more than FILTER_HASHES.
+
+    Its size follows the number of hashes. What it lets through has to be joined; without it everything has."""
+    n = hashes.count()
+    if n > FILTER_HASHES:
+        return None
+    bits = 1 << max(16, (16 * n - 1).bit_length() if n else 0)
+    bit = F.pmod(F.col("h"), F.lit(bits))
+    words = (
+        hashes.select(F.floor(bit / 64).alias("word"), F.expr(f"shiftleft(1L, cast(pmod(h, {bits}L) % 64 as int))").alias("bits"))
+        .groupBy("word")
+        .agg(F.bit_or("bits").alias("bits"))
+        .toArrow()
+    )
+    table = np.zeros(bits // 64, np.int64)
+    table[words["word"].to_numpy()] = words["bits"].to_numpy()
+    return hashes.sparkSession.sparkContext.broadcast(table.view(np.uint8))
+
+
+def passing(sent, hashes: np.ndarray) -> np.ndarray:
+    """Which of ``hashes`` (unsigned) a sent filter lets through: all that are in it and a few more."""
+    if sent is None:
+        return np.ones(len(hashes), bool)
+    table = sent.value
+    bit = hashes % np.uint64(len(table) * 8)
+    return table[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8) & 1 == 1
 
 
 def sample_cut(df: DataFrame, digest, rows: int) -> int:

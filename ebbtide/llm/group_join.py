@@ -16,18 +16,20 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbtide.llm import common
 from ebbtide.llm.text import SPACED, gram_hashes, mix, utf8, word_hashes
-from ebbtide.session import stage
+from ebbtide.session import release, stage
 
 # Members whose tokens a task holds at once, and queries that one task streams past them.
 GROUP_MEMBERS, GROUP_TOKENS, GROUP_QUERIES = 1024, 4_000_000, 2000
 PEELS = 1  # times that documents with too few shared keys are put aside; more find little and write each table again
 NEVER = (1 << 31) - 1
+CODE_SHIFT = 24  # bits that a key's code leaves out
 
 
 def shingles(raw: np.ndarray | None, width: int) -> np.ndarray:
@@ -82,10 +84,12 @@ def part_keys(tokens: np.ndarray, percent: int) -> tuple[np.ndarray, list[int]]:
 
 
 def _sets(width: int, percent: int):
+    """(row, doc_id, body, text) to the size and two digests of each text's set, how many keys a link takes, and keys."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, one, two, keys, needs = [], [], [], [], []
-            for raw in utf8(batch.column(1)):
+            for raw in utf8(batch.column(3)):
                 tokens = shingles(raw, width)
                 sizes.append(len(tokens))
                 one.append(mix(tokens).sum(dtype=np.uint64))
@@ -96,8 +100,7 @@ def _sets(width: int, percent: int):
             ends = np.cumsum([0, *map(len, keys)])
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0),
-                    batch.column(2),
+                    *(batch.column(i) for i in range(3)),
                     pa.array(sizes, pa.int64()),
                     pa.array(np.array(one, np.uint64).view(np.int64)),
                     pa.array(np.array(two, np.uint64).view(np.int64)),
@@ -106,7 +109,24 @@ def _sets(width: int, percent: int):
                         pa.array(ends, pa.int32()), pa.array(np.concatenate(keys).view(np.int64)) if keys else pa.array([], pa.int64())
                     ),
                 ],
-                names=["doc_id", "body", "n_shingles", "one", "two", "even", "odd", "keys"],
+                names=["row", "doc_id", "body", "n_shingles", "one", "two", "even", "odd", "keys"],
+            )
+
+    return run
+
+
+def _shared(sent):
+    """(doc_id, even, odd, size, keys) to (key, doc_id, even, odd, size) for the keys that the filter lets through."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(4)
+            counts = lists.value_lengths().to_numpy(zero_copy_only=False)
+            keys = lists.flatten().to_numpy(zero_copy_only=False)
+            keep = np.flatnonzero(common.passing(sent, keys.view(np.uint64) >> np.uint64(CODE_SHIFT)))
+            owner = pa.array(np.repeat(np.arange(len(batch)), counts)[keep])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys[keep]), *(batch.column(i).take(owner) for i in range(4))], names=["key", "doc_id", "even", "odd", "size"]
             )
 
     return run
@@ -188,43 +208,73 @@ def similar_documents(docs: DataFrame, width: int = 5, percent: int = 80, id_col
 
     Words are runs of anything but ASCII white space, A-Z read as a-z. A text of fewer words than ``width`` is one
     shingle. Null texts and texts without words have an empty set, are linked with nothing and are their own
-    component. Ids are integers; a row without an id gets no component. Repeated ids are documents of their own and
-    equal sets are one class whose smallest id stands for it. Other columns are ignored."""
-    common.text_batches(docs.sparkSession)
-    return _classified(docs, width, percent, id_col).drop("body")
+    component. Ids are integers; a row without an id gets no component. Rows of one id are documents of their own:
+    each has the component of its own text. Equal sets are one class. Other columns are ignored."""
+    return _classified(docs, width, percent, id_col).select(F.col("doc_id").alias(id_col), "n_shingles", "component_id")
 
 
 def _classified(docs: DataFrame, width: int, percent: int, id_col: str) -> DataFrame:
-    docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), "text")
-    sets = stage(
-        docs.withColumn("body", F.xxhash64("text")).mapInArrow(_sets(width, percent), "doc_id bigint, body bigint, n_shingles bigint, one bigint, two bigint, even int, odd int, keys array<bigint>"),
-        "shingle-sets",
-    )
+    """Each row (doc_id, body, n_shingles, component_id, best), ``best`` being the document (class_id, class_body) that
+    stands for its component: one with the smallest id."""
+    if not 72 <= percent <= 99:
+        raise ValueError("percent must be from 72 to 99")
+    common.text_batches(docs.sparkSession)
+    docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64("text").alias("body"), "text")
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "body", "text")
+    keyed = "row bigint, doc_id bigint, body bigint, n_shingles bigint, one bigint, two bigint, even int, odd int, keys array<bigint>"
+    full = stage(rows.mapInArrow(_sets(width, percent), keyed), "keyed-sets")
     same = ["n_shingles", "one", "two"]
-    classes = stage(
-        sets.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*same).agg(F.min("doc_id").alias("class_id")), "set-classes"
+    sets = stage(full.select("row", "doc_id", "body", *same), "shingle-sets")
+    # A class of equal sets goes by its first document's row, which is written and so the same for all that follows.
+    first = F.min(F.struct("doc_id", "row", "body")).alias("first")
+    classes = sets.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*same).agg(first, F.count("*").alias("n"))
+    classes = stage(classes.select(*same, "n", F.col("first.row").alias("lead"), F.col("first.doc_id").alias("class_id"), F.col("first.body").alias("class_body")), "set-classes")
+    buckets = _buckets(full, classes, same)
+    release(full)
+    # Texts of the documents in buckets, by the rows that lead their classes.
+    leads = classes.select(F.col("lead").alias("node"), F.col("class_id").alias("doc_id"), F.col("class_body").alias("body"))
+    wanted = leads.join(buckets.select(F.col("doc_id").alias("node")).distinct(), "node", "left_semi")
+    texts = docs.join(wanted, ["doc_id", "body"]).select(F.col("node").alias("doc_id"), "text")
+    if not sets.groupBy("doc_id", "body").count().where("count > 1").isEmpty():
+        texts = texts.dropDuplicates(["doc_id"])
+    found = components(buckets, texts, width, percent)
+    named = classes.join(found.withColumnRenamed("id", "lead"), "lead", "left").withColumn("component", F.coalesce("component", "lead"))
+    best = named.groupBy("component").agg(F.min(F.struct("class_id", "class_body")).alias("best"))
+    named = stage(named.join(best, "component").select(*same, "best"), "class-components")
+    judged = sets.join(named, same, "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("best.class_id", "doc_id"))
+    return judged.select("doc_id", "body", "n_shingles", component.alias("component_id"), "best")
+
+
+def _buckets(full: DataFrame, classes: DataFrame, same: list[str]) -> DataFrame:
+    """The keys (key, doc_id, even, odd, size) that documents of different classes share, ``doc_id`` being the row that
+    leads a class, of documents that share as many as a link takes.
+
+    Most keys are one document's alone. Codes of 40 bits are counted first, and a filter of the repeated ones stops
+    the others before they are shuffled with their documents."""
+    own = ["doc_id", "even", "odd", "size", "keys"]
+    named = full.where((F.size("keys") > 0) & F.col("doc_id").isNotNull()).select(
+        F.col("row").alias("doc_id"), "even", "odd", F.col("n_shingles").alias("size"), "keys", F.xxhash64(*same).alias("h"), *same
     )
-    leaders = sets.select("doc_id", *same, "even", "odd", "keys").where(F.size("keys") > 0)
-    leaders = leaders.join(classes.withColumnRenamed("class_id", "doc_id"), ["doc_id", *same], "left_semi")
-    keyed = leaders.select(F.explode("keys").alias("key"), "doc_id")
-    shared = keyed.groupBy("key").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("last")).where("least < last").select("key")
-    needs = sets.select("doc_id", "even", "odd", F.col("n_shingles").alias("size")).where(F.size("keys") > 0)
-    buckets = stage(keyed.join(shared, "key").join(needs.distinct(), "doc_id"), "shared-keys")
+    # Of the rows of a class one is taken. Rows that cannot share theirs skip the join.
+    sent = common.hash_filter(classes.where("n > 1").select(F.xxhash64(*same).alias("h")))
+    several = F.pandas_udf(lambda h: pd.Series(common.passing(sent, h.to_numpy().view(np.uint64))), "boolean")
+    marked = named.withColumn("several", several("h"))
+    copies = marked.where("several").join(classes.select("lead", *same), same).where("doc_id = lead").select(*own)
+    taken = marked.where("NOT several").select(*own).union(copies)
+    codes = taken.select(F.explode("keys").alias("key")).groupBy(F.shiftrightunsigned("key", CODE_SHIFT).alias("h")).count()
+    repeated = stage(codes.where("count > 1").select("h"), "repeated-codes")
+    shared = taken.select(*own).mapInArrow(_shared(common.hash_filter(repeated)), "key bigint, doc_id bigint, even int, odd int, size bigint")
+    unpruned = buckets = stage(shared, "shared-keys")
     for _ in range(PEELS):
         buckets = stage(_peeled(buckets, "doc_id"), "shared-keys")
-    found = components(buckets, docs, width, percent)
-    return (
-        sets.select("doc_id", "body", *same)
-        .join(classes, same, "left")
-        .withColumn("class_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")))
-        .join(found.withColumnRenamed("id", "class_id"), "class_id", "left")
-        .select(F.col("doc_id").alias(id_col), "body", "n_shingles", F.coalesce("component", "class_id").alias("component_id"))
-    )
+    release(unpruned)
+    return buckets
 
 
-def components(buckets: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Components (id, component) of the documents in buckets (key, doc_id) that have a link."""
-    texts = stage(docs.join(buckets.select("doc_id").distinct(), "doc_id", "left_semi"), "bucket-texts")
+def components(buckets: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Components (id, component) of the documents in buckets (key, doc_id) that have a link; ``texts`` (doc_id, text)."""
+    texts = stage(texts, "bucket-texts")
     # The document whose keys lie in the largest buckets is in the middle of a family of near copies.
     sizes = buckets.groupBy("key").agg(F.count("*").alias("n"))
     central = buckets.join(sizes, "key").groupBy("doc_id").agg(F.sum("n").alias("score"))
@@ -294,11 +344,11 @@ def _exhaustive(left: DataFrame, texts: DataFrame, width: int, percent: int) ->
 
 
 def representatives(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id") -> DataFrame:
-    """``docs`` with one document of each component of :func:`similar_documents`: the one with the smallest id.
+    """``docs`` with one document of each component of :func:`similar_documents`: one with the smallest id.
     Rows without an id stay, rows that repeat both id and text stay as often as given. All columns stay."""
-    common.text_batches(docs.sparkSession)
-    found = _classified(docs, width, percent, id_col)
-    gone = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("gone_id"), F.col("body").alias("gone_body")).distinct()
+    judged = _classified(docs, width, percent, id_col)
+    other = (F.col("doc_id") != F.col("best.class_id")) | (F.col("body") != F.col("best.class_body"))
+    gone = judged.where(other).select(F.col("doc_id").alias("gone_id"), F.col("body").alias("gone_body")).distinct()
     rows = common.boxed(docs).withColumn("body", F.xxhash64("doc.text"))
-    same = (F.col(f"doc.{id_col}") == F.col("gone_id")) & (F.col("body") == F.col("gone_body"))
+    same = (F.col(f"doc.`{id_col}`") == F.col("gone_id")) & (F.col("body") == F.col("gone_body"))
     return rows.join(gone, same, "left_anti").select("doc.*")
