@@ -20,14 +20,14 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.llm.common import boxed, text_batches
+from ebbtide.llm.common import boxed, hash_filter, passing, text_batches
 from ebbtide.llm.text import SPACED, _spans, gram_hashes, mix, utf8, word_hashes
-from ebbtide.llm.winnowing import bitmap, fingerprints, marked
+from ebbtide.llm.winnowing import fingerprints
 from ebbtide.session import stage
 
 LINE_WORDS = 16
 SENTENCE_ENDS = b".!?"
-WINDOW, WINDOW_WORDS = 3, 8  # lines of a window, and the least number of words that go at once
+WINDOW = 3  # lines of a window
 SPAN_WORDS = 50
 RUN_WORDS = 26  # of the runs that begin at 25 neighbouring words one is chosen, so chosen ones overlap
 NO_ID = (1 << 63) - 1  # rows without an id come last
@@ -98,15 +98,14 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _repeated(sent):
-    """(ord, body, places, windows) to (ord, body, at, h) of the windows whose bit is set."""
+    """(ord, body, places, windows) to (ord, body, at, h) of the windows that the filter lets through."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = sent.value
         for batch in batches:
             places, windows = batch.column(2), batch.column(3)
             owner = np.repeat(np.arange(len(batch)), pa.compute.list_value_length(windows).to_numpy(zero_copy_only=False))
             hashes = windows.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-            keep = np.flatnonzero(marked(bits, hashes))
+            keep = np.flatnonzero(passing(sent, hashes))
             row = pa.array(owner[keep])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(row), batch.column(1).take(row), places.flatten().take(pa.array(keep)), pa.array(hashes[keep].view(np.int64))],
@@ -116,7 +115,7 @@ def _repeated(sent):
     return run
 
 
-def _without(text: str, cuts) -> tuple[str, int]:
+def _without(text: str, cuts, least_words: int) -> tuple[str, int]:
     raw = np.frombuffer(text.encode(), np.uint8)
     words, _ = line_ends(raw)
     first = np.concatenate([[0], words[:-1]])
@@ -127,7 +126,7 @@ def _without(text: str, cuts) -> tuple[str, int]:
         # Windows that follow each other count together, so short lines go where enough of them are repeated.
         lead = np.flatnonzero(np.diff(at, prepend=-2) != 1)
         last = np.append(lead[1:], len(at)) - 1
-        enough = words[at[last] + WINDOW - 1] - first[at[lead]] >= WINDOW_WORDS
+        enough = words[at[last] + WINDOW - 1] - first[at[lead]] >= least_words
         at = at[np.repeat(enough, last - lead + 1)]
     np.add.at(edges, np.concatenate([first[at], runs]), 1)
     np.add.at(edges, np.concatenate([words[at + WINDOW - 1], runs + RUN_WORDS]), -1)
@@ -140,16 +139,20 @@ def _without(text: str, cuts) -> tuple[str, int]:
     return (kept.rstrip() if covered[-1] else kept), int(np.logical_and.reduceat(covered, first).sum())
 
 
-def _rewritten(texts: pd.Series, cuts: pd.Series) -> pd.DataFrame:
-    rows = [(None, 0) if t is None or c is None else _without(t, c) for t, c in zip(texts, cuts)]
-    return pd.DataFrame(rows, columns=["text", "n_removed"]).astype({"n_removed": "int64"})
+def _rewritten(least_words: int):
+    def run(texts: pd.Series, cuts: pd.Series) -> pd.DataFrame:
+        rows = [(None, 0) if t is None or c is None else _without(t, c, least_words) for t, c in zip(texts, cuts)]
+        return pd.DataFrame(rows, columns=["text", "n_removed"]).astype({"n_removed": "int64"})
+
+    return run
 
 
-def without_repeats(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", least_words: int = 1) -> DataFrame:
     """``docs`` with ``text`` freed of later occurrences of windows, plus n_lines and n_removed (replaced if present).
 
-    Windows are compared by words, A-Z as a-z, whatever the white space between them; where
-    those that follow each other cover under WINDOW_WORDS words, they stay. ``n_removed`` counts the lines of which nothing is left; a run may also take a part of a line. Texts under three lines, empty and null texts stay as they are. Rows with the same id are one
+    Windows are compared by words, A-Z as a-z, whatever the white space between them. With ``least_words``, repeated
+    windows that follow each other stay where they cover fewer words than that; by default all go. ``n_removed`` counts
+    the lines of which nothing is left; a run may also take a part of a line. Texts under three lines, empty and null texts stay as they are. Rows with the same id are one
     document: none is a repeat of the other. Rows without an id come last and count as one document. Of what is kept,
     nothing changes; white space left at the end by a removed last line goes too."""
     text_batches(docs.sparkSession)
@@ -165,15 +168,15 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     windows = scanned.select("ord", F.explode("windows").alias("h"))
     least, most = F.min("ord").alias("first"), F.max("ord").alias("last")
     repeated = stage(windows.groupBy("h").agg(least, most).where("first < last").select("h", "first"), "repeated-windows")
-    # The bits keep most of what is not repeated out of the shuffle; the join decides.
-    sent = bitmap(repeated.select(F.col("h").alias("fp")))
+    # The filter keeps most of what is not repeated out of the shuffle; the join decides.
+    sent = hash_filter(repeated.select("h"))
     each = scanned.select("ord", "body", "places", "windows").mapInArrow(_repeated(sent), "ord bigint, body bigint, at int, h bigint")
     later = each.join(repeated, "h").where("ord > first").select("ord", "body", "at")
     own = scanned.where(F.size("again") > 0).select("ord", "body", F.explode("again").alias("at"))
     cuts = later.union(own).groupBy("ord", "body").agg(F.collect_set("at").alias("cuts"))
     lines = scanned.where("n_lines > 0").select("ord", "body", "n_lines").distinct().join(cuts, ["ord", "body"], "left")
     rows = boxed(docs).select("doc", F.coalesce(F.col(f"doc.{id_col}").cast("bigint"), F.lit(NO_ID)).alias("ord"), F.xxhash64("doc.text").alias("body"))
-    rewritten = F.pandas_udf(_rewritten, "text string, n_removed bigint")
+    rewritten = F.pandas_udf(_rewritten(least_words), "text string, n_removed bigint")
     cut = F.col("cuts").isNotNull()
     new = rows.join(lines, ["ord", "body"], "left").withColumn("new", rewritten(F.when(cut, F.col("doc.text")), "cuts"))
     text = F.when(cut, F.col("new.text")).otherwise(F.col("doc.text"))
