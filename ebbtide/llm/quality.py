@@ -16,7 +16,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.llm.common import text_batches
+from ebbtide.llm.common import sample_cut, text_batches
 from ebbtide.llm.text import ALNUM, SPACED, _spans, gram_hashes, mix, utf8, word_hashes
 from ebbtide.session import stage
 
@@ -204,20 +204,16 @@ def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield pa.RecordBatch.from_arrays([batch.column(0).take(taken), pa.array(np.concatenate(words).view(np.int64))], names=["toxic", "word"])
 
 
-def _sampled(df: DataFrame, id_col: str, rows: int) -> DataFrame:
-    """About ``rows`` rows at most, chosen by a digest of the id."""
-    total = df.count()
-    return df if total <= rows else df.where(F.pmod(F.xxhash64(id_col), F.lit(1_000_000)) < int(1_000_000 * rows / total))
-
-
 def abuse_words(docs: DataFrame, labels: DataFrame, id_col: str, training: Training) -> np.ndarray:
     """Hashes of words that occur mostly in documents labelled toxic, from a bounded sample of labelled rows.
 
     A wrong label may fall on any word, so the share is one that a single label does not decide at small counts. And
     the counts must be so far from the base rate (their likelihood ratio at least the number of words) that less than
     one word is expected on the list by chance."""
-    known = _sampled(labels.where("toxic IS NOT NULL").select(id_col, "toxic"), id_col, training.labelled_rows)
-    # The sample's size is bounded by a parameter, so it can go to every task, and no text is shuffled.
+    marked = labels.where(F.col("toxic").isNotNull() & F.col(id_col).isNotNull()).groupBy(id_col).agg(F.max("toxic").alias("toxic"))
+    drawn = F.xxhash64(id_col)
+    known = marked.where(drawn <= sample_cut(marked, drawn, training.labelled_rows))
+    # At most labelled_rows distinct ids, so they can go to every task, and no text is shuffled.
     rows = docs.select(id_col, "text").join(F.broadcast(known), id_col).select("toxic", "text")
     words = rows.mapInArrow(_distinct_words, f"toxic {dict(labels.dtypes)['toxic']}, word bigint")
     counted = stage(words.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.count("*").alias("n")), "labelled-words")
@@ -256,13 +252,17 @@ def fit(docs: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id"
     # At most 3 ** len(LABELLERS) patterns, whatever the number of documents; in practice some dozens.
     counts = {r["votes"]: r["count"] for r in patterns.collect()}
     posterior, _ = label_model({p: n for p, n in counts.items() if p != ABSTAIN * len(LABELLERS)})
-    sample = _sampled(texts, id_col, training.sample_rows)
+    # Texts that repeat teach once, so their number is bounded however often one repeats and whatever the ids are.
+    digest = F.xxhash64("text")
+    sample = texts.where(digest <= sample_cut(texts, digest, training.sample_rows)).withColumn("digest", digest).dropDuplicates(["digest"]).drop("digest")
     features = sample.mapInArrow(_scan(abuse, None, "features"), f"`{id_col}` {kind}, votes string, index array<bigint>, value array<double>")
     taught = [
         (np.array(r["index"]), np.array(r["value"]), posterior[r["votes"]])
         for r in features.select("votes", "index", "value").toLocalIterator()
         if r["votes"] in posterior
     ]
+    if posterior and not taught:
+        raise ValueError("no document of the sample has a vote, so there is nothing to learn a scorer from")
     return Fitted(abuse, posterior, spark.sparkContext.broadcast(fit_scorer(taught, training)))
 
 
@@ -270,7 +270,9 @@ def scored(docs: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_
     """(id, votes, p_weak, p_bad, kept) for each document: the labellers' votes in the order of LABELLERS, the
     posterior of bad by the label model, the scorer's probability of bad, and whether that is below one half.
 
-    Null texts and texts without words get no votes and are rejected (p_bad 1). ``labels`` (id, toxic) only teach the
+    The scorer learns from at most ``training.sample_rows`` distinct texts and the word list from at most
+    ``training.labelled_rows`` labelled ids, drawn by digest at any size of the input; an id labelled twice has its
+    largest label. Null texts and texts without words get no votes and are rejected (p_bad 1). ``labels`` (id, toxic) only teach the
     word list of two labellers; without it, or where it is empty, these abstain. Rows are judged one by one: repeated
     ids, repeated rows and null ids do no harm. Other columns are ignored. An empty table gives an empty result."""
     found = fit(docs, labels, id_col, training)
