@@ -5,8 +5,9 @@ a leader form a cell with it: all of them are linked for certain, whatever their
 cell's pivot, takes part in the search. The pivots' neighbour graph starts from buckets of random hyperplanes and is
 refined round by round: every pivot's neighbours meet and each takes the closest it sees. Lists whose last neighbour
 still lies close enough to matter are saturated and are enlarged. The recall of the edges that matter is audited by
-exact search for a bounded set of pivots, and rounds go on until it is reached. Pairs of cells that lie close enough
-are opened: their members are compared, counted and linked."""
+exact search for a bounded set of pivots, and rounds go on until it is reached or nothing changes. Labels in which
+it still isn't reached are searched exactly, block by block of pivots. Pairs of cells that lie close enough are opened:
+their members are compared, counted and linked."""
 
 from __future__ import annotations
 
@@ -28,16 +29,17 @@ SLACK = 1e-9  # radians by which bounds are widened, for rounding
 @dataclass(frozen=True)
 class Search:
     """Settings: length of neighbour lists, tables of hyperplanes and pivots per bucket to start from, most rounds,
-    recall to reach, pivots the audit asks exactly (a bound on what it sends to every task), and members of a cell or
+    recall to reach, pivots the audit asks exactly (a bound on what it sends to every task), and members of a cell and
     of a block that one task holds."""
 
     neighbours: int = 10
     tables: int = 4
     bucket: int = 48
-    rounds: int = 4
+    rounds: int = 6
     recall: float = 0.97
     audit: int = 2000
     cell: int = 4096
+    block: int = 1024
 
 
 def _vectors(batch: pa.RecordBatch, at: int) -> np.ndarray:
@@ -229,8 +231,8 @@ def near_duplicates(
     Null, empty and zero vectors, vectors with a null or non-finite component, and vectors without a label link with
     nothing; vectors of different lengths do not link. Repeated vectors link with each other. Ids are integers and
     are expected once; a row without an id links with nothing and has no component. Other columns are ignored. No
-    reported link lies below the threshold; those found are at least ``search.recall`` of all by the audit's figures,
-    or what ``search.rounds`` rounds give."""
+    reported link lies below the threshold; those found are at least ``search.recall`` of all by the audit's figures
+    for each label it asks, whatever ``search.rounds``."""
     spark = vectors.sparkSession
     half = math.acos(min(1.0, threshold)) / 2
     rows = vectors.select(F.col(id_col).cast("bigint").alias("vec_id"), F.col(label_col).cast("bigint").alias("label"), vector_col)
@@ -270,7 +272,12 @@ def _graph(pivots: DataFrame, keep: float, search: Search) -> DataFrame:
     first = placed.join(blocks, where).select(hub.alias("hub"), "vec_id").join(sizes, "vec_id")
     graph = stage(_closest(_meetings(first, pivots, keep), sizes, keep), "graph")
     truth = _exact(pivots, keep, search)
+    low, known = _below(graph, truth, search), -1
     for _ in range(search.rounds):
+        now = graph.where(F.col("cos") >= keep).count()
+        if not low or now == known:
+            break
+        known = now
         full = graph.where(F.col("cos") >= keep).groupBy("a").count().where(F.col("count") >= search.neighbours)
         sizes = sizes.join(full.select(F.col("a").alias("vec_id"), F.lit(True).alias("saturated")), "vec_id", "left").select(
             "vec_id", F.when(F.col("saturated"), F.col("size") * 2).otherwise(F.col("size")).alias("size")
@@ -281,29 +288,82 @@ def _graph(pivots: DataFrame, keep: float, search: Search) -> DataFrame:
         counts = both.groupBy("hub").agg(F.ceil(F.count("*") / (8 * search.bucket)).alias("parts"))
         hubs = both.join(counts, "hub").select(F.xxhash64("hub", F.pmod(F.xxhash64("vec_id"), "parts")).alias("hub"), "vec_id").join(sizes, "vec_id")
         graph = stage(_closest(graph.union(_meetings(hubs, pivots, keep)), sizes, keep), "graph")
-        if _recall(graph, truth) >= search.recall:
-            break
+        low = _below(graph, truth, search)
     near = graph.where(F.col("cos") >= keep).select("a", "b")
+    if low:
+        near = near.union(stage(_blockwise(pivots.join(_below_rows(graph, truth, search), ["label", "dim"], "left_semi"), keep, search), "exact-edges"))
     return near.union(near.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
 
 
 def _exact(pivots: DataFrame, keep: float, search: Search) -> DataFrame:
-    """Exact edges of at most about ``search.audit`` pivots, chosen by a digest of their ids."""
+    """Exact edges (a, b, label, dim) of at most ``search.audit`` pivots, chosen by a digest of their ids."""
     spark = pivots.sparkSession
-    total = pivots.count()
-    chosen = pivots if total <= search.audit else pivots.where(F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(1_000_000)) < int(1e6 * search.audit / total))
+    drawn = F.xxhash64("vec_id", F.lit(3))
+    chosen = pivots.where(drawn <= common.sample_cut(pivots, drawn, search.audit))
     groups: dict[tuple[int, int], list] = {}
     for r in chosen.select("vec_id", "label", "dim", "unit").toLocalIterator():
         groups.setdefault((r["label"], r["dim"]), []).append((r["vec_id"], np.frombuffer(r["unit"], np.float64)))
     sent = spark.sparkContext.broadcast({k: (np.array([i for i, _ in v]), np.stack([x for _, x in v])) for k, v in groups.items()})
     truth = pivots.select("vec_id", "label", "dim", "unit").mapInArrow(_audit(sent, keep), "a bigint, b bigint")
-    return stage(truth, "audit")
+    return stage(truth.join(pivots.select(F.col("vec_id").alias("a"), "label", "dim"), "a"), "audit")
 
 
-def _recall(graph: DataFrame, truth: DataFrame) -> float:
+def _below_rows(graph: DataFrame, truth: DataFrame, search: Search) -> DataFrame:
+    """The (label, dim) of which the graph holds less than the wanted share of the audited edges."""
     found = graph.select("a", "b").union(graph.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    row = truth.join(found.withColumn("hit", F.lit(1)), ["a", "b"], "left").agg(F.count("*").alias("n"), F.sum("hit").alias("hit")).first()
-    return 1.0 if not row["n"] else (row["hit"] or 0) / row["n"]
+    marked = truth.join(found.withColumn("hit", F.lit(1)), ["a", "b"], "left").groupBy("label", "dim")
+    return marked.agg((F.coalesce(F.sum("hit"), F.lit(0)) / F.count("*")).alias("recall")).where(F.col("recall") < search.recall)
+
+
+def _below(graph: DataFrame, truth: DataFrame, search: Search) -> bool:
+    return not _below_rows(graph, truth, search).isEmpty()
+
+
+def _grown(block: np.ndarray | None, held: list[np.ndarray]) -> np.ndarray:
+    """``held`` as rows of an array with room for more."""
+    if block is not None and len(held) <= len(block):
+        block[len(held) - 1] = held[-1]
+        return block
+    return np.concatenate([np.stack(held), np.zeros((len(held), len(held[0])))])
+
+
+def _met(keep: float):
+    """Rows (label, dim, i, j, side, vec_id, unit), block i of a pair before block j: edges (a, b) between the blocks, or
+    inside the block where there is one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, ids, held, block = None, [], [], None
+        for batch in batches:
+            a, b = [], []
+            for *own, side, vec, unit in zip(*(batch.column(i).to_pylist() for i in range(7))):
+                if own != key:
+                    key, ids, held, block = own, [], [], None
+                x = np.frombuffer(unit, np.float64)
+                if key[2] == key[3] or side == 1:
+                    if held and key[2] == key[3]:
+                        block = _grown(block, held)
+                    elif held and block is None:
+                        block = np.stack(held)
+                    near = np.flatnonzero(block[: len(held)] @ x >= keep) if held else []
+                    a += [ids[k] for k in near]
+                    b += [vec] * len(near)
+                if side == 0:
+                    ids.append(vec)
+                    held.append(x)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return run
+
+
+def _blockwise(pivots: DataFrame, keep: float, search: Search) -> DataFrame:
+    """All edges (a, b) of at least ``keep`` among pivots of the same label: every block of pivots meets every block."""
+    spark, group, pair = pivots.sparkSession, ["label", "dim"], ["label", "dim", "i", "j"]
+    sizes = pivots.groupBy(*group).agg(F.ceil(F.count("*") / search.block).cast("int").alias("blocks"))
+    own = pivots.join(sizes, group).withColumn("own", F.pmod(F.xxhash64("vec_id"), "blocks").cast("int"))
+    dealt = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        *group, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"), "vec_id", "unit"
+    )
+    return dealt.repartition(common.width(spark), *pair).sortWithinPartitions(*pair, "side", "vec_id").mapInArrow(_met(keep), "a bigint, b bigint")
 
 
 def _counted(units: DataFrame, signed: DataFrame, cells: DataFrame, edges: DataFrame, threshold: float) -> DataFrame:
