@@ -92,12 +92,12 @@ def word_hashes(raw: np.ndarray, is_word: np.ndarray = SPACED, exact_case: bool
     return _hashed_spans(raw, is_word, _EXACT if exact_case else _CODES, lambda starts, ends: (starts, ends))
 
 
-def prefix_hashes(raw: np.ndarray, is_word: np.ndarray, size: int) -> np.ndarray:
-    """A hash for the first ``size`` bytes of each longer word, A-Z read as a-z."""
+def stem_hashes(raw: np.ndarray, is_word: np.ndarray, sizes: tuple[int, ...]) -> np.ndarray:
+    """A hash for each word, and for the first bytes of each longer word, as many as each of ``sizes``; A-Z as a-z."""
 
     def pick(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        long = starts[ends - starts > size]
-        return long, long + size
+        long = [starts[ends - starts > size] for size in sizes]
+        return np.concatenate([starts, *long]), np.concatenate([ends, *(s + size for s, size in zip(long, sizes))])
 
     return _hashed_spans(raw, is_word, _CODES, pick)
 

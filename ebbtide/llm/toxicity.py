@@ -1,8 +1,8 @@
 """Toxicity by a factorization machine over hashed terms.
 
 A term is a word or the beginning of a longer word, by 64-bit hash, so that forms of one stem share terms. Terms that
-occur about as often in toxic as in other labelled texts are screened out by a likelihood ratio over distinct labelled
-texts. Of the rest every document has a set; its margin is a constant, a weight for each term, and for each pair of
+occur about as often in toxic as in other labelled texts are screened out, by a likelihood ratio over distinct labelled
+texts and by how much they raise the share of toxic ones (which length alone, the lot of common words, hardly does). Of the rest every document has a set; its margin is a constant, a weight for each term, and for each pair of
 terms the product of their factors: a pair such as an insult and the mention of a group can count for more, or less,
 than the sum of both."""
 
@@ -17,10 +17,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.llm.common import sample_cut, text_batches
-from ebbtide.llm.text import ALNUM, prefix_hashes, utf8, word_hashes
+from ebbtide.llm.text import ALNUM, stem_hashes, utf8
 from ebbtide.session import stage
 
-PREFIXES = (3, 4, 5, 6, 7, 8)  # bytes; a prefix is a term of words that are longer
+PREFIXES = (4, 5, 6, 7)  # bytes; a prefix is a term of words that are longer
 _FILTER_BITS = 20
 
 
@@ -28,14 +28,15 @@ _FILTER_BITS = 20
 class Training:
     """Bounds and settings of what is fitted: labelled ids (a bound on what is sent to the tasks), documents that the
     machine learns from and terms it knows (bounds on what reaches the driver), least number of texts of a term, about
-    how many terms may pass the likelihood ratio by chance, length of a factor, passes, step and penalties of weights
-    and of factors."""
+    how many terms may pass the likelihood ratio by chance, least odds of toxic with a term against all, length of a
+    factor, passes, step and penalties of weights and of factors."""
 
     labelled_ids: int = 200_000
     sample_rows: int = 100_000
     terms: int = 50_000
     least_texts: int = 3
     by_chance: float = 30.0
+    odds: float = 1.5
     factors: int = 8
     epochs: int = 12
     batch: int = 256
@@ -68,7 +69,7 @@ def probability(margin: np.ndarray) -> np.ndarray:
 
 def terms_of(raw: np.ndarray) -> np.ndarray:
     """Hashes of all words and prefixes of a text, repeated ones included."""
-    return np.concatenate([word_hashes(raw, ALNUM), *(prefix_hashes(raw, ALNUM, size) for size in PREFIXES)])
+    return stem_hashes(raw, ALNUM, PREFIXES)
 
 
 def fit_machine(terms: np.ndarray, rows: list[np.ndarray], toxic: np.ndarray, training: Training) -> Machine:
@@ -184,11 +185,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", training: Tr
     base, share = toxic / n, F.col("toxic") / F.col("n")
     clean = F.when(F.col("toxic") < F.col("n"), (F.col("n") - F.col("toxic")) * F.log((1 - share) / (1 - base))).otherwise(0.0)
     ratio = F.when(F.col("toxic") > 0, F.col("toxic") * F.log(share / base)).otherwise(0.0) + clean
-    rated = stage(counts.where(F.col("n") >= training.least_texts).select("term", ratio.alias("ratio")), "rated-terms")
+    odds = (F.col("toxic") + base) * (1 - base) / ((F.col("n") - F.col("toxic") + 1 - base) * base)
+    rated = stage(counts.where(F.col("n") >= training.least_texts).select("term", ratio.alias("ratio"), odds.alias("odds")), "rated-terms")
     # A ratio of r nats comes by chance about once in exp(r) terms.
     least = float(np.log(max(rated.count() / training.by_chance, 20.0)))
     chosen = (
-        rated.where(F.col("ratio") >= least)
+        rated.where((F.col("ratio") >= least) & (F.col("odds") >= training.odds))
         .orderBy(F.desc("ratio"), "term")
         .limit(training.terms)
         .toArrow()
