@@ -10,7 +10,7 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -65,20 +65,21 @@ _SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("name", "parent", "children", "chars", "tags", "link_chars", "link_tags", "density", "total", "hidden")
+    __slots__ = ("name", "parent", "children", "chars", "tags", "link_chars", "link_tags", "density", "total", "hidden", "article")
 
     def __init__(self, name: str, parent: Node | None, hidden: bool = False):
         """A hidden element knows its parent, whose end ends it too, but is not among its children."""
         self.name, self.parent, self.children, self.hidden = name, parent, [], hidden
+        self.article = self if name in ("article", "main") else parent.article if parent is not None else None
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
         if parent is not None and not hidden:
             parent.children.append(self)
 
 
-def _is_furniture(name: str, attributes: str, by_attributes: bool) -> bool:
+def _is_furniture(name: str, attributes: str, by_attributes: bool, open_form: bool) -> bool:
     if name in HIDDEN:
-        return True
+        return not (open_form and name == "form")
     if not by_attributes:
         return False
     for key, value in _ATTRIBUTE.findall(attributes):
@@ -96,22 +97,23 @@ def _is_furniture(name: str, attributes: str, by_attributes: bool) -> bool:
     return False
 
 
-def parse(page: str, by_attributes: bool = True) -> Node:
-    """A tree of elements and strings without page furniture. Missing end tags are supplied as HTML does."""
+def parse(page: str, by_attributes: bool = True, open_form: bool = False) -> Node:
+    """A tree of elements and strings without page furniture. Missing end tags are supplied as HTML does.
+
+    Open elements are kept with their depths by name, so that one is found, or found missing, without a climb."""
     root = Node("body", None)
-    here, at, opened = root, 0, Counter()
-
-    def leave(names: set[str], barrier: set[str]) -> Node:
-        if not any(opened[name] for name in names):
-            return here
-        node, passed = here, Counter()
-        while node is not root and node.name not in barrier:
-            passed[node.name] += 1
-            if node.name in names:
-                opened.subtract(passed)
-                return node.parent
+    here, at, depth = root, 0, 0
+    opened: dict[str, list[int]] = defaultdict(list)
+
+    def leave(names: set[str], barrier: set[str]) -> tuple[Node, int]:
+        target = max((opened[name][-1] for name in names if opened[name]), default=0)
+        if target <= max((opened[name][-1] for name in barrier if opened[name]), default=0):
+            return here, depth
+        node = here
+        for _ in range(depth - target + 1):
+            opened[node.name].pop()
             node = node.parent
-        return here
+        return node, target - 1
 
     while at < len(page):
         token = _TOKEN.search(page, at)
@@ -127,7 +129,7 @@ def parse(page: str, by_attributes: bool = True) -> Node:
         if name in ("html", "body"):
             continue
         if closing:
-            outer = leave({name}, set())
+            outer, depth = leave({name}, set())
             if outer is here and name == "p" and not here.hidden:
                 Node("br", here)
             here = outer
@@ -140,14 +142,15 @@ def parse(page: str, by_attributes: bool = True) -> Node:
                 Node("br", here)
             continue
         if name in CLOSES:
-            here = leave(*CLOSES[name])
+            here, depth = leave(*CLOSES[name])
         hidden = here.hidden
-        if not hidden and _is_furniture(name, attributes, by_attributes):
+        if not hidden and _is_furniture(name, attributes, by_attributes, open_form):
             Node("br", here)
             hidden = True
         node = Node(name, here, hidden)
         if not single:
-            opened[name] += 1
+            depth += 1
+            opened[name].append(depth)
             here = node
     return root
 
@@ -182,14 +185,6 @@ def measure(root: Node) -> list[Node]:
     return order
 
 
-def _whole(node: Node) -> Node:
-    """The article that a subtree is part of, with its thinly worded blocks, or the subtree itself."""
-    outer = node
-    while outer is not None and outer.name not in ("article", "main"):
-        outer = outer.parent
-    return outer or node
-
-
 def _content(root: Node) -> list[Node]:
     """The subtrees that are kept, in page order."""
     order = measure(root)
@@ -209,7 +204,9 @@ def _content(root: Node) -> list[Node]:
     while stack:
         node = stack.pop()
         if node.density >= threshold - 1e-9:
-            kept.add(id(_whole(best[id(node)] if best[id(node)].total > 0 else node)))
+            # A subtree of an article stands for all of it, with its thinly worded blocks.
+            chosen = best[id(node)] if best[id(node)].total > 0 else node
+            kept.add(id(chosen.article or chosen))
             stack.extend(c for c in node.children if isinstance(c, Node))
     found, stack = [], [root]
     while stack:
@@ -244,12 +241,27 @@ def _blocks(nodes: list[Node]) -> Iterator[str]:
         text = []
 
 
+def _has_article(root: Node) -> bool:
+    """Whether there is an element that articles have and mere forms don't need."""
+    stack = [root]
+    while stack:
+        node = stack.pop()
+        if node.name in ("article", "main", "p", "h1"):
+            return True
+        stack.extend(c for c in node.children if isinstance(c, Node))
+    return False
+
+
 def main_text(page: str | None) -> str:
     """The article of a page: blocks in page order joined by line breaks, white space inside a block as one space."""
     if not page:
         return ""
-    for by_attributes in (True, False):  # where class names leave nothing, they do not mean what they seem to
-        blocks = (_SPACE.sub(" ", block).strip() for block in _blocks(_content(parse(page, by_attributes))))
+    # Where class names leave nothing, they do not mean what they seem to; and then a form may hold the whole page.
+    for by_attributes, open_form in ((True, False), (False, False), (True, True)):
+        root = parse(page, by_attributes, open_form)
+        if open_form and not _has_article(root):
+            continue
+        blocks = (_SPACE.sub(" ", block).strip() for block in _blocks(_content(root)))
         if text := "\n".join(block for block in blocks if block):
             return text
     return ""
@@ -267,7 +279,8 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def extracted_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(id, url, text, n_chars): the main text of each page and its number of code points.
 
-    Null and empty pages give an empty text. Text without any element is its own article. Nothing is cut: a page is
+    Null and empty pages give an empty text. A page all of which stands in a form is read as if it had none, if it has
+    an article, a paragraph or a main heading. Text without any element is its own article. Nothing is cut: a page is
     read whole, a broken last tag is dropped, missing end tags are supplied. Ids and urls pass through, nulls and
     repeats too; other columns are ignored."""
     text_batches(pages.sparkSession)
