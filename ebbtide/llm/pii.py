@@ -154,7 +154,8 @@ def _date(text: str, key: bytes, back: bool) -> str | None:
 
 
 def _phone(text: str, key: bytes, back: bool) -> str | None:
-    """The country code stays; first digits of area and exchange stay what a number may begin with."""
+    """The country code and the zero before an area code stay; first digits of area and exchange stay what a number may
+    begin with."""
     digits = re.sub(r"\D", "", text)
     if not 8 <= len(digits) <= 15:
         return None
@@ -162,10 +163,15 @@ def _phone(text: str, key: bytes, back: bool) -> str | None:
     body = digits[code:]
     first = "23456789"
     alphabets = [first if i in (0, 3) and len(body) == 10 and c in first else DIGITS if c in DIGITS else c for i, c in enumerate(body)]
+    if "/" in text:
+        alphabets[0] = "0"
     return _filled(text, digits[:code] + _by_class(body, key, "phone", back, alphabets))
 
 
 def _secret(text: str, key: bytes, back: bool) -> str | None:
+    """Plain words are no secrets: there has to be a digit, or a capital behind a small letter."""
+    if not re.search(r"\d|[a-z][^a-z]*[A-Z]", text):
+        return None
     hexadecimal = all(c in "0123456789abcdef" for c in text)
     return _by_class(text, key, "secret", back, ["0123456789abcdef"] * len(text) if hexadecimal else None)
 
@@ -186,15 +192,15 @@ _IBAN_LENGTH = {
     for country in countries.split()
 }
 
-_EMAIL = re.compile(r"(?<![\w.%+-])(?P<email>[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})(?![\w-])")
+_EMAIL = re.compile(r"(?<![\w.%+-])(?P<email>[\w.%+-]+@[^\W_](?:[\w-]*[^\W_])?(?:\.[\w-]+)*\.[A-Za-z]{2,})(?![\w-])")
 _NUMBERS = re.compile(
     r"(?<![\w.@-])(?:"
     r"(?P<iban>[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30})(?![A-Za-z0-9])"
     r"|(?P<address>\d{1,3}(?:\.\d{1,3}){3})(?![\w-]|\.\d)"
     r"|(?P<ssn>\d{3}-\d{2}-\d{4})(?![\w-])"
-    r"|(?P<date>\d{4}-\d{2}-\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?![\w-]|[./]\d)"
+    r"|(?P<date>\d{4}-\d{2}-\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?:(?=T\d\d:)|(?![\w-]|[./]\d))"
     r"|(?P<card>\d{13,19}|\d{4}(?P<gap>[ -])\d{4}(?P=gap)\d{4}(?P=gap)\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5})(?![\w-])"
-    r"|(?P<phone>\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d(?:[ .-]?\d){5,12}|\(?\d{3}\)?[ .-]\d{3}[.-]\d{4})(?![\w-])"
+    r"|(?P<phone>\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d(?:[ .-]?\d){5,12}|\(?\d{3}\)?[ .-]\d{3}[.-]\d{4}|0\d{2,4}/\d{5,8}(?!/))(?![\w-])"
     r")"
 )
 _SECRET = re.compile(

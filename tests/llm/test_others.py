@@ -5,6 +5,7 @@ from __future__ import annotations
 import gzip
 import io
 import re
+import time
 import zipfile
 
 import duckdb
@@ -309,3 +310,74 @@ def test_an_iban_before_other_tokens_is_found():
 def test_furniture_without_an_end_tag_hides_only_itself(page):
     article = "The article goes on with a long sentence, and with another one, so that its text is dense enough."
     assert html_text.main_text(page.format(article)) == article
+
+
+@pytest.mark.parametrize("unit", ["<div><b>", "<ul><li>", "<div>", "<p><table><tr><td><p>", "<li><i>", "<article><section>", "</b></p><dl><dt>"])
+def test_deep_pages_take_linear_time(unit):
+    page = unit * (100_000 // unit.count("<")) + "The text at the bottom of it all, and some more of it."
+    began = time.process_time()
+    assert "The text at the bottom of it all" in html_text.main_text(page)
+    assert time.process_time() - began < 15
+
+
+def test_a_page_inside_a_form_has_its_article():
+    article = "The article goes on with a long sentence, and with another one, so that its text is dense enough."
+    page = f"<body><form action=x><nav><a href=y>Menu</a></nav><input name=q><div><p>{article}</p></div><footer>About</footer></form>"
+    assert html_text.main_text(page) == article
+    assert html_text.main_text("<body><nav>Menu</nav><form>Your name <input name=q><button>Send</button></form>") == ""
+    assert html_text.main_text(f"<p>{article}</p><form><p>Your name</p></form>") == article
+
+
+def test_plain_words_are_no_secrets():
+    key = b"key"
+    for value in ("The secret: government officials", "token: something else", "Password: Government issue", "secret: well-known-fact"):
+        assert pii.pseudonymised(value, key) == (value, [0] * len(pii.KINDS))
+    for value in ("password: hunter22secret", "api_key=aBcDefghIJ", "token: deadbeef0123"):
+        new, counts = pii.pseudonymised(value, key)
+        assert counts[pii.KINDS.index("secret")] == 1 and new != value and pii.pseudonymised(new, key, True)[0] == value
+
+
+def test_dates_before_a_time_slashed_phones_and_other_letters_in_addresses():
+    key = b"key"
+    cases = [("at 2001-12-31T10:00:00Z", "date"), ("Tel. 030/1234567", "phone"), ("to jürgen@example.de", "email"), ("to jane@bücher.de now", "email")]
+    for value, kind in cases:
+        new, counts = pii.pseudonymised(value, key)
+        assert counts[pii.KINDS.index(kind)] == 1 and sum(counts) == 1 and new != value and pii.pseudonymised(new, key, True)[0] == value
+    assert pii.pseudonymised("1/2 and 2001-12-31Text", key)[1] == [0] * len(pii.KINDS)
+
+
+PLAIN_KINDS = {"email": r"\S+@\S+", "ssn": r"\d{3}-\d{2}-\d{4}", "address": r"\d+\.\d+\.\d+\.\d+", "date": r"\d{4}-\d\d-\d\d"}
+
+
+def test_pseudonyms_are_a_permutation_of_their_format(spark):
+    """By brute force over words: equal values get equal pseudonyms, different ones different ones, in the same format,
+    and everything else stays."""
+    rng = np.random.default_rng(4)
+    values = [f"u{i}@host{i % 7}.org" for i in range(80)] + [f"{i % 600 + 1:03d}-{i % 90 + 1:02d}-{i + 1:04d}" for i in range(80)]
+    values += [f"10.{i % 3}.{i}.7" for i in range(80)] + [f"19{i % 90 + 10}-0{i % 9 + 1}-1{i % 9}" for i in range(80)]
+    rows = [(i, " ".join(values[j] if j < len(values) else f"word{j}" for j in rng.integers(0, 600, 30))) for i in range(200)]
+    seen = {}
+    for r in pii.with_pseudonyms(spark.createDataFrame(rows, "doc_id bigint, text string"), b"key").collect():
+        for old, new in zip(rows[r.doc_id][1].split(" "), r.text.split(" "), strict=True):
+            kind = next((k for k, shape in PLAIN_KINDS.items() if re.fullmatch(shape, old)), None)
+            assert seen.setdefault(old, new) == new
+            assert new == old if kind is None else re.fullmatch(PLAIN_KINDS[kind], new)
+    assert len(set(seen.values())) == len(seen)
+
+
+def test_labels_below_the_recall_are_searched_exactly(spark):
+    rng = np.random.default_rng(6)
+    rows = []
+    for family in range(150):
+        base = rng.standard_normal(16)
+        for _ in range(4):
+            x = base / np.linalg.norm(base) + 0.25 * rng.standard_normal(16) / 4
+            rows.append((len(rows), [float(np.float32(v)) for v in x], family % 2))
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int")
+    want = brute_links(rows, 0.93)
+    poor = nn_descent.Search(neighbours=1, tables=1, bucket=4, rounds=0, block=64)
+    found = {r.vec_id: (r.n_links, r.component_id) for r in nn_descent.near_duplicates(frame, search=poor).collect()}
+    assert sum(n for n, _ in want.values()) > 100 and found == want
+    few = nn_descent.Search(neighbours=1, tables=1, bucket=4, rounds=0, block=64, audit=1)
+    assert all(r.n_links <= want[r.vec_id][0] for r in nn_descent.near_duplicates(frame, search=few).collect())
+

@@ -13,6 +13,7 @@ import pytest
 from conftest import PASSAGE, SENTENCES, docs_rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from ebbtide.llm import common, group_join, line_dedup, packing, quality, text, winnowing
 
@@ -93,6 +94,25 @@ def test_components_are_those_of_all_pairs(spark, width, percent):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found.collect()} == brute_components(rows, width, percent)
 
 
+@pytest.mark.parametrize("filtered", [True, False])
+def test_rows_of_one_id_are_documents_of_their_own(spark, monkeypatch, filtered):
+    if not filtered:
+        monkeypatch.setattr(common, "FILTER_HASHES", 0)
+    one, two = (" ".join(f"{c}{i}" for i in range(200)) for c in "xy")
+    rows = [(1, one), (7, one + " end"), (7, two + " end"), (3, two), (7, "apart from them"), (7, "apart from them"), (9, two.replace(" ", "  ")), (3, one)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = group_join.similar_documents(docs, 3, 90).collect()
+    assert sorted(r.component_id for r in found) == [1, 1, 1, 3, 3, 3, 7, 7]
+    kept = sorted(map(tuple, group_join.representatives(docs, 3, 90).collect()))
+    assert kept == sorted([(1, one), (3, two), (7, "apart from them"), (7, "apart from them")])
+
+
+def test_other_thresholds_are_refused(none):
+    for percent in (60, 100):
+        with pytest.raises(ValueError):
+            group_join.similar_documents(none, 5, percent)
+
+
 def test_part_keys_meet_for_every_linked_pair():
     rng = np.random.default_rng(5)
     for percent in (80, 90):
@@ -134,46 +154,70 @@ def test_components_of_chains_and_stars(spark):
 # ---- line windows ---------------------------------------------------------------------------------
 
 
-def brute_lines(value: str) -> list[tuple[tuple, str]]:
-    out, words, begin = [], [], 0
+def brute_words(value: str) -> tuple[list[tuple], list[tuple[int, int]], set[int]]:
+    """Words with their stretch of the text, the lines as ranges of words, and the first words of the chosen runs."""
     found = list(SPACED.finditer(value))
+    after = [m.start() for m in found[1:]] + [len(value)]
+    words = [(m.group().translate(LOWER), value[0 if i == 0 else m.start() : after[i]]) for i, m in enumerate(found)]
+    lines, begin = [], 0
     for i, m in enumerate(found):
-        words.append(m.group().translate(LOWER))
-        after = found[i + 1].start() if i + 1 < len(found) else len(value)
-        hard = i + 1 == len(found) or "\n" in value[m.end() : after]
-        if hard or len(words) == line_dedup.LINE_WORDS or m.group()[-1] in ".!?":
-            out.append((tuple(words), value[begin:after]))
-            words, begin = [], after
-    return out
-
-
-def brute_without_repeats(rows) -> list[tuple]:
+        hard = i + 1 == len(found) or "\n" in value[m.end() : after[i]]
+        if hard or i + 1 - begin == line_dedup.LINE_WORDS or m.group()[-1] in ".!?":
+            lines.append((begin, i + 1))
+            begin = i + 1
+    grams = text.gram_hashes(text.word_hashes(raw(value)), line_dedup.RUN_WORDS).tolist()
+    width = line_dedup.SPAN_WORDS - line_dedup.RUN_WORDS + 1
+    windows = [range(j, j + width) for j in range(len(grams) - width + 1)]
+    chosen = {i for w in windows for i in w if grams[i] == min(grams[w.start : w.stop])}
+    return words, lines, chosen
+
+
+def brute_without_repeats(rows, least_words: int = 1) -> list[tuple]:
     """Rows of one id come together and do not repeat each other; those without an id come last."""
     seen, out = set(), []
     order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0))
     for _, group in itertools.groupby(order, key=lambda i: rows[i][0]):
         before, new = set(seen), set()
         for i in group:
-            lines, own = brute_lines(rows[i][1] or ""), set()
-            gone = [False] * len(lines)
+            words, lines, chosen = brute_words(rows[i][1] or "")
+            own, repeated, covered = set(), [], set()
+            plain = [w for w, _ in words]
             for p in range(len(lines) - 2):
-                window = tuple(w for w, _ in lines[p : p + 3])
-                if sum(map(len, window)) < line_dedup.WINDOW_WORDS:
-                    continue
+                window = ("lines", *(tuple(plain[a:b]) for a, b in lines[p : p + 3]))
                 if window in before or window in own:
-                    gone[p : p + 3] = [True] * 3
+                    repeated.append(p)
                 own.add(window)
+            for p in sorted(chosen):
+                run = ("run", *plain[p : p + line_dedup.RUN_WORDS])
+                if run in before or run in own:
+                    covered |= set(range(p, p + line_dedup.RUN_WORDS))
+                own.add(run)
+            for _, part in itertools.groupby(enumerate(repeated), lambda x: x[1] - x[0]):
+                part = [p for _, p in part]
+                first, last = lines[part[0]][0], lines[part[-1] + 2][1]
+                if last - first >= least_words:
+                    covered |= set(range(first, last))
             new |= own
-            kept = "".join(t for (_, t), g in zip(lines, gone) if not g)
-            if not any(gone):
+            kept = "".join(piece for j, (_, piece) in enumerate(words) if j not in covered)
+            if not covered:
                 kept = rows[i][1]
-            elif gone[-1]:
+            elif len(words) - 1 in covered:
                 kept = kept.rstrip()
-            out.append((rows[i][0], kept, len(lines), sum(gone)))
+            out.append((rows[i][0], kept, len(lines), sum(covered >= set(range(a, b)) for a, b in lines)))
         seen |= new
     return out
 
 
+@pytest.mark.parametrize("least_words", [1, 8])
+def test_repeats_are_those_of_all_windows_and_runs(spark, least_words):
+    pick = np.random.default_rng(3)
+    parts = [" ".join(f"p{k}w{i}" + ".\n"[: int(pick.random() < 0.2)] for i in range(int(pick.integers(1, 70)))) for k in range(12)]
+    parts += ["a.\nb.\nc.", "x y.\nz.\nq.\nr.\ns.\nt u v."]
+    rows = [(int(pick.integers(0, 40)), " ".join(parts[j] for j in pick.integers(0, len(parts), int(pick.integers(1, 6))))) for _ in range(60)]
+    found = line_dedup.without_repeats(spark.createDataFrame(rows, "doc_id bigint, text string"), least_words=least_words)
+    assert sorted(map(tuple, found.collect())) == sorted(brute_without_repeats(rows, least_words))
+
+
 def test_repeated_windows_go(odd, none):
     want = brute_without_repeats([r[:2] for r in docs_rows()])
     found = line_dedup.without_repeats(odd)
@@ -208,8 +252,10 @@ def test_repeated_short_lines_go(spark):
     menu, small, four = ("\n".join(f"{c}{i} x{i}!!" for i in range(n)) for c, n in (("a", 12), ("b", 3), ("c", 4)))
     own = ["Its own start of some words here.", "Between the lists one more sentence.", "Something else in this place.", "Its own end."]
     rows = [(1, f"{menu}\n"), (2, f"{small}\n"), (3, f"{four}\n"), (4, "\n".join([own[0], menu, own[1], small, own[2], four, own[3]]))]
-    found = {r.doc_id: r.text for r in line_dedup.without_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
-    assert found == {**dict(rows), 4: "\n".join([own[0], own[1], small, own[2], own[3]])}
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for least_words, left in ((8, [own[0], own[1], small, own[2], own[3]]), (1, own)):
+        found = {r.doc_id: r.text for r in line_dedup.without_repeats(docs, least_words=least_words).collect()}
+        assert found == {**dict(rows), 4: "\n".join(left)}
 
 
 # ---- winnowing ------------------------------------------------------------------------------------
@@ -399,3 +445,15 @@ def test_odd_documents_are_judged(spark, odd, none):
         assert all(not r.kept and r.p_bad == 1 for r in rows if r.doc_id in (5, 6, 7))
     assert quality.kept_documents(odd).columns == odd.columns
     assert quality.scored(none, labels).count() == 0 and quality.kept_documents(none).count() == 0
+
+
+@pytest.mark.parametrize("ids", ["cast(null as bigint)", "7", "id"])
+def test_the_sample_is_bounded_whatever_the_ids(spark, ids):
+    """Neither null nor repeated ids, nor a share of one in ten million, change how many documents teach."""
+    docs = spark.range(4000).selectExpr(f"{ids} as doc_id", "concat('Some plain words about number ', id % 3000, ' stand here. It is fine.') as text")
+    digest = F.xxhash64("text")
+    for rows in (1, 50, 2999):
+        taken = docs.where(digest <= common.sample_cut(docs, digest, rows)).select(digest).distinct().count()
+        assert taken == rows
+    found = quality.scored(docs, training=quality.Training(sample_rows=40))
+    assert found.count() == 4000 and found.where("kept").count() == 4000
