@@ -162,7 +162,7 @@ def _phone(text: str, key: bytes, back: bool) -> str | None:
     code = len(re.match(r"\+?(\d{0,3}?)(?=[ .(-])|\+?(\d)", text).group().lstrip("+")) if text.startswith("+") else 0
     body = digits[code:]
     first = "23456789"
-    alphabets = [first if i in (0, 3) and len(body) == 10 and c in first else DIGITS if c in DIGITS else c for i, c in enumerate(body)]
+    alphabets = [(first if c in first else "01") if i in (0, 3) and len(body) == 10 else DIGITS for i, c in enumerate(body)]
     if "/" in text:
         alphabets[0] = "0"
     return _filled(text, digits[:code] + _by_class(body, key, "phone", back, alphabets))
