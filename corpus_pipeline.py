@@ -22,8 +22,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later occurrences of passages go; a document of which nothing else is left goes too."""
-    kept = without_repeats(docs).where("n_removed = 0 OR n_removed < n_lines")
+    """Later occurrences of passages of eight words or more go; a document of which nothing else is left goes too."""
+    kept = without_repeats(docs, least_words=8).where("n_removed = 0 OR n_removed < n_lines")
     return kept.select(*[F.char_length("text").cast("bigint").alias(c) if c == "n_chars" else c for c in docs.columns])
 
 
