@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from ebbtide.operators.attribution import staged_scores
 from ebbtide.operators.encoders import ColumnEncoder, feature_output_columns
+from ebbtide.operators.isotonic import isotonic_blocks
 from ebbtide.operators.metrics import ranking_metrics
 
 LABEL = "label"
@@ -115,15 +116,20 @@ def coefficients(model: PipelineModel) -> dict[str, float]:
 
 def fit_isotonic(scored: DataFrame, label: str, probability: str, weight: str) -> IsotonicRegressionModel:
     """Isotonic calibration on scored rows. Rows of one score are merged beforehand, which leaves the
-    fit unchanged and keeps a hot score from travelling row by row."""
+    fit unchanged and keeps a hot score from travelling row by row. Violators are pooled in parallel; the
+    model is made of the two ends of each block that is left, so the driver gets the steps of the result."""
     w = F.col(weight)
     merged = scored.groupBy(F.col(probability).alias("raw_probability")).agg(
         (F.sum(w * F.col(label).cast("double")) / F.sum(w)).alias("_share"), F.sum(w).alias("_weight")
     )
+    known = merged.where("raw_probability IS NOT NULL AND _share IS NOT NULL AND _weight > 0")
+    ends = isotonic_blocks(known, "raw_probability", "_share", "_weight").select(
+        F.explode(F.array_distinct(F.array("lo", "hi"))).alias("raw_probability"), F.col("mean").alias("_share"), F.col("weight").alias("_weight")
+    )
     return IsotonicRegression(
         featuresCol="raw_probability", labelCol="_share", weightCol="_weight",
         predictionCol="calibrated_probability",
-    ).fit(merged)
+    ).fit(ends)
 
 
 def calibrate(scored: DataFrame, calibrator: IsotonicRegressionModel, probability: str, output: str) -> DataFrame:
