@@ -3,7 +3,8 @@
 ``percentile`` and ``median`` hold every distinct value of a group in one buffer, which a group with a
 third of all rows would burst. Here a mergeable sketch first brackets each wanted quantile; then only
 the values inside a bracket are counted one by one, all others being counted under the bracket edge
-before them. The answer is exact: the sketch only decides which values may be lumped together.
+before them. The answer is exact: the sketch only decides which values may be lumped together. The
+counts are added up by range buckets, so no group's values have to be ordered in one task.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ebbtide.operators.ranking import running_sums
 from ebbtide.session import broadcast_if_small, stage
 
 # Groups up to this size are ranked whole; larger ones only inside their brackets.
@@ -77,11 +79,12 @@ def exact_quantiles(
     if largest_group <= whole_group_rows:
         counted = known.groupBy(*by, F.col(value).alias("_point")).agg(F.count(F.lit(1)).alias("_count"))
         counted = counted.withColumn("_n", F.sum("_count").over(Window.partitionBy(*by)))
+        upward = Window.partitionBy(*by).orderBy("_point").rowsBetween(Window.unboundedPreceding, 0)
+        ranked = counted.withColumn("_until", F.sum("_count").over(upward))
     else:
         accuracy = accuracy or sketch_accuracy(largest_group)
         counted = _counted_in_brackets(known, by, value, probabilities, accuracy, whole_group_rows)
-    upward = Window.partitionBy(*by).orderBy("_point").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counted.withColumn("_until", F.sum("_count").over(upward))
+        ranked = running_sums(counted, "_point", {"_until": "_count"}, by)
     last = F.col("_n") - 1
     picks = []
     for i, p in enumerate(probabilities):

@@ -1,8 +1,9 @@
 """Running sums and rank cuts over a global order without a single-task window.
 
-Edges sampled from the values cut the order into buckets. A bucket is a pure function of the value,
-so a lost executor recomputes the same buckets. Windows run inside one bucket; only one total per
-bucket is ordered globally. Any edges give right results, better ones only balance better.
+Edges sampled from the values cut the order into buckets, as many as the number of rows asks for. A
+bucket is a pure function of the value, found by halving the sorted edges, so a lost executor
+recomputes the same buckets. Windows run inside one bucket; only one total per bucket is ordered
+globally. Any edges give right results, better ones only balance better.
 """
 
 from __future__ import annotations
@@ -12,28 +13,50 @@ from pyspark.sql import functions as F
 
 from ebbtide.session import stage
 
-BUCKETS = 256
+BUCKETS = 256  # least number of buckets
+BUCKET_ROWS = 1_000_000  # rows of a bucket from which on there are more of them
+SAMPLE = 1 << 14  # values that edges are taken from, and so the most buckets
 _BUCKET = "_bucket"
 _EDGES = "_edges"
 
 
-def sampled_edges(df: DataFrame, order: str, buckets: int = BUCKETS) -> Column:
-    """Sorted array of about ``buckets`` values: from each hash class the value of least hash, that
-    is a uniform sample of the distinct values made by one combining aggregate."""
+def sampled_edges(df: DataFrame, order: str, buckets: int = BUCKETS, bucket_rows: int = BUCKET_ROWS) -> Column:
+    """Sorted array of ``buckets`` values, or of one for every ``bucket_rows`` rows if that is more: evenly
+    spaced values of a uniform sample of the distinct ones, which is made by one combining aggregate (from
+    each of SAMPLE hash classes the value of least hash)."""
     spread = F.xxhash64(F.col(order))
     sample = (
-        df.groupBy(F.pmod(spread, F.lit(buckets)).alias("_class"))
-        .agg(F.min_by(F.col(order), spread).alias("_value"))
-        .agg(F.array_sort(F.collect_list("_value")).alias(_EDGES))
+        df.groupBy(F.pmod(spread, F.lit(SAMPLE)).alias("_class"))
+        .agg(F.min_by(F.col(order), spread).alias("_value"), F.count(F.lit(1)).alias("_rows"))
+        .agg(F.array_sort(F.collect_list("_value")).alias("_sample"), F.sum("_rows").alias("_rows"))
     )
-    return sample.scalar()
+    wanted = F.greatest(F.lit(buckets), F.ceil(F.col("_rows") / bucket_rows))
+    apart = F.greatest(F.lit(1), F.floor(F.size("_sample") / wanted))
+    spaced = F.filter("_sample", lambda value, i: (i + 1) % F.col("_apart") == 0)
+    return sample.withColumn("_apart", apart).select(spaced.alias(_EDGES)).scalar()
 
 
-def with_bucket(df: DataFrame, order: str, buckets: int = BUCKETS) -> DataFrame:
+def edges_below(edges: Column, value: Column) -> Column:
+    """How many of the sorted ``edges`` are less than ``value``; 0 for a null. By halving, so in log time."""
+    whole = F.struct(F.lit(0).alias("lo"), F.size(edges).alias("hi"))
+    halvings = F.sequence(F.lit(0), F.ceil(F.log2(F.size(edges) + 1)).cast("int"))
+
+    def half(span: Column, _: Column) -> Column:
+        middle = F.floor((span["lo"] + span["hi"]) / 2).cast("int")
+        less = (span["lo"] < span["hi"]) & (F.get(edges, middle) < value)
+        more = (span["lo"] < span["hi"]) & ~F.coalesce(less, F.lit(False))
+        return F.struct(
+            F.when(less, middle + 1).otherwise(span["lo"]).alias("lo"), F.when(more, middle).otherwise(span["hi"]).alias("hi")
+        )
+
+    return F.aggregate(halvings, whole, half, lambda span: span["lo"])
+
+
+def with_bucket(df: DataFrame, order: str, buckets: int = BUCKETS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """``df`` with the number of its bucket, written once because bucket totals and rows are both
     derived from it."""
-    edges = sampled_edges(df, order, buckets)
-    below = F.size(F.filter(F.col(_EDGES), lambda edge: edge < F.col(order)))
+    edges = sampled_edges(df, order, buckets, bucket_rows)
+    below = edges_below(F.col(_EDGES), F.col(order))
     return stage(df.withColumn(_EDGES, edges).withColumn(_BUCKET, below).drop(_EDGES), "buckets")
 
 
@@ -57,7 +80,7 @@ def running_sums(
     inside = Window.partitionBy(*by, _BUCKET).orderBy(direction(order)).rowsBetween(Window.unboundedPreceding, 0)
     local = keyed.withColumns({new: F.sum(old).over(inside) for new, old in sums.items()})
     totals = keyed.groupBy(*by, _BUCKET).agg(*[F.sum(old).alias(f"_total_{new}") for new, old in sums.items()])
-    # At most buckets + 1 rows per group are ordered here, whatever the size of the data.
+    # At most SAMPLE + 1 rows per group are ordered here, whatever the size of the data.
     before = (
         Window.partitionBy(*(by or [F.lit(0)]))
         .orderBy(direction(_BUCKET))

@@ -10,8 +10,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from ebbtide.operators.isotonic import isotonic_blocks, pooled
 from ebbtide.operators.quantiles import exact_quantiles
-from ebbtide.operators.ranking import dense_ranks, rank_cuts, running_sums
+from ebbtide.operators.ranking import dense_ranks, edges_below, rank_cuts, running_sums, with_bucket
 from ebbtide.operators.splits import (
     stratified_folds,
     stratified_split,
@@ -60,6 +61,54 @@ def test_running_sums(spark, descending, buckets):
         assert [got[g, v] for v in order] == list(accumulate(d[v] for v in order))
 
 
+def test_buckets_follow_the_rows(spark):
+    frame = spark.range(20_000).selectExpr("cast(id * 7919 % 20000 as int) as v")
+    for least, rows in ((4, 100_000), (4, 500), (64, 500), (1, 20)):
+        sizes = [r["count"] for r in with_bucket(frame, "v", least, rows).groupBy("_bucket").count().collect()]
+        wanted = max(least, 20_000 / rows)
+        assert wanted <= len(sizes) <= 2 * wanted + 1 and max(sizes) <= 3 * 20_000 / wanted
+
+
+@pytest.mark.parametrize("kind", ["int", "string", "double"])
+def test_edges_below_are_all_that_are_less(spark, kind):
+    draw = random.Random(1)
+    for size in (0, 1, 2, 3, 15, 16, 17, 300):
+        edges = sorted(draw.sample(range(1000), size))
+        values = [None, -1, 1001, *edges[:40], *[draw.randrange(1000) for _ in range(40)]]
+        frame = spark.createDataFrame([(edges, v) for v in values], "e array<int>, v int")
+        if kind != "int":  # strings of one length are ordered as their numbers
+            write = (lambda c: F.format_string("%05d", c + 1)) if kind == "string" else (lambda c: c.cast("double"))
+            frame = frame.select(F.transform("e", write).alias("e"), F.when(F.col("v").isNotNull(), write(F.col("v"))).alias("w"), "v")
+        got = frame.select("v", edges_below(F.col("e"), F.col("v" if kind == "int" else "w")).alias("n")).collect()
+        assert [r.n for r in got] == [0 if r.v is None else sum(e < r.v for e in edges) for r in got]
+
+
+def test_quantiles_of_hot_groups_need_no_window_of_a_group(spark):
+    frame = spark.range(5000).selectExpr("'hot' as k", "cast(id * id % 4999 as double) as v")
+    found = exact_quantiles(frame, ["k"], "v", [0.5], 5000, whole_group_rows=50, accuracy=100)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line and "_until" in line]
+    assert windows and all("_bucket" in line for line in windows)
+
+
+@pytest.mark.parametrize("shape", ["noise", "falling", "rising", "waves", "one heavy at the end"])
+def test_pooling_by_ranges_is_pooling_in_order(spark, shape):
+    draw = np.random.default_rng(4)
+    x = np.arange(700.0)
+    means = {
+        "noise": draw.random(700), "falling": 1 - x / 700, "rising": x / 700, "waves": np.sin(x / 20) + x / 400,
+        "one heavy at the end": np.where(x < 699, x / 700, -50.0),
+    }[shape]
+    weights = np.where(x < 699, draw.integers(1, 4, 700), 500.0)
+    order = draw.permutation(700)
+    frame = spark.createDataFrame([(float(x[i]), float(means[i]), float(weights[i])) for i in order], "x double, y double, w double")
+    found = sorted(map(tuple, isotonic_blocks(frame, "x", "y", "w", buckets=20, range_rows=40).collect()))
+    want = [(float(a), float(b), m, w) for a, b, m, w in pooled(means.tolist(), weights.tolist())]
+    assert [r[:2] for r in found] == [r[:2] for r in want]
+    assert np.allclose([r[2:] for r in found], [r[2:] for r in want])
+    assert isotonic_blocks(frame.where("false"), "x", "y", "w").count() == 0
+
+
 def test_dense_ranks_of_strings(spark):
     words = [f"w{i % 37:02d}" for i in range(400)] + [None]
     found = dense_ranks(spark.createDataFrame([(w,) for w in words], "v string"), "v", "rank", buckets=5)
