@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 
 import builders as b
 
@@ -33,6 +34,22 @@ def test_same_week_twice_is_not_merged(spark):
     assert [r.holiday_count for r in counted.collect()] == [2, 2]
 
 
+def test_counts_are_those_of_all_pairs_of_weeks_and_holidays(spark):
+    draw = random.Random(3)
+    first = dt.date(1969, 6, 1)  # before and after day 0
+    listed = [(draw.choice(["nl", "be", "xx"]), first + dt.timedelta(draw.randrange(500))) for _ in range(90)]
+    listed += [("nl", dt.date(2031, 1, 1))] * 5 + [("be", dt.date(1901, 2, 3))]
+    weeks = [first + dt.timedelta(draw.randrange(-20, 520)) for _ in range(400)] + [dt.date(2030, 12, 29), dt.date(2050, 1, 1), dt.date(1800, 1, 1)]
+    for country in ("nl", "be"):
+        rows = with_country(spark, [(i, week, 1) for i, week in enumerate(weeks)], country)
+        counted = add_holiday_counts(rows, b.holidays(spark, listed))
+        want = [sum(c == country and 0 <= (day - week).days < 7 for c, day in listed) for week in weeks]
+        assert [r.holiday_count for r in counted.orderBy("ID").collect()] == want
+        plan = counted._jdf.queryExecution().executedPlan().toString()
+        exchanges = [line for line in plan.splitlines() if "hashpartitioning" in line]
+        assert not any("start_date_of_week" in line.split("ENSURE")[0] for line in exchanges) and "BroadcastHashJoin" in plan
+
+
 def test_unsupported_country_is_dropped_or_zero(spark):
     days = b.holidays(spark, [("nl", "2024-05-06")])
     for country in ("xx", None):
