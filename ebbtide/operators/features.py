@@ -8,9 +8,10 @@ Row counts per user (from :func:`user_spans`) decide how a user is handled:
 
 * ordinary users: one shuffle of the activity by user, medians from per-user buffers;
 * users above ``Limits.median_rows``: medians by :func:`exact_quantiles`, everything else as before;
-* users above ``Limits.hot_share`` of all rows: their rows never meet in one task. There can be at
-  most ``1 / hot_share`` such users, so their attributes are broadcast, the rows stay where they are
-  and only partial aggregates are shuffled.
+* users above ``Limits.hot_share`` of all rows or above ``Limits.task_rows``, whichever is less: their
+  rows never meet in one task. Their attributes are broadcast in blocks of a counted size, the rows
+  stay where they are, and partial aggregates are shuffled in two levels: first by user and salt, with
+  one salt for every ``task_rows`` rows the user has, then by user.
 """
 
 from __future__ import annotations
@@ -35,10 +36,11 @@ from ebbtide.schemas import (
     feature_name,
     holiday_feature,
 )
-from ebbtide.session import broadcast_if_small, stage
+from ebbtide.session import BROADCAST_ROWS, broadcast_if_small, stage
 
 LIFETIME = 0
 _DAYS = "_days"
+_SALT = "_salt"
 _HOLIDAYS = "holidays"
 
 
@@ -46,6 +48,11 @@ _HOLIDAYS = "holidays"
 class Limits:
     median_rows: int = 10_000
     hot_share: float = 1e-4
+    task_rows: int = 1_000_000
+
+    def hot_rows(self, total: int) -> int:
+        """Rows a user may have in one task, never more than ``task_rows`` however large the data."""
+        return max(self.median_rows, min(self.task_rows, int(total * self.hot_share)))
 
 
 def _per_horizon(rows: DataFrame, horizons: list[int], carry: list[str]) -> DataFrame:
@@ -98,8 +105,32 @@ def _aggregate(
     alone, so grouping by them too changes no group and saves the joins that would attach them to
     the wide row."""
     statistics = _statistics(median_limit)
-    names = [s.rsplit(" AS ", 1)[1] for s in statistics]
     long = _per_horizon(rows, horizons, carry).groupBy(ID, *carry, _DAYS).agg(*map(F.expr, statistics))
+    return _side_by_side(long, horizons, carry)
+
+
+def _salted_aggregate(rows: DataFrame, horizons: list[int], carry: list[str], task_rows: int) -> DataFrame:
+    """:func:`_aggregate` without medians for users of any size. The salt is taken from the number of the
+    task that holds the row, so a task sends one partial row per (user, horizon) at most; a user of ``n``
+    rows has ``n / task_rows`` salts, and that many rows meet at the second level."""
+    salts = F.ceil(F.col(USER_ROWS) / F.lit(task_rows))
+    salted = rows.withColumn(_SALT, F.pmod(F.spark_partition_id(), salts))
+    first, second = [], []
+    for name in MEASURES:
+        first += [f"sum({name}) AS {name}_sum", f"count({name}) AS {name}_rows",
+                  f"min({name}) AS {name}_min", f"max({name}) AS {name}_max"]
+        second += [f"sum({name}_sum) / nullif(sum({name}_rows), 0) AS {name}_average", f"min({name}_min) AS {name}_min",
+                   f"max({name}_max) AS {name}_max", f"CAST(NULL AS DOUBLE) AS {name}_median", f"sum({name}_sum) AS {name}_sum"]
+    first += [f"count({START}) AS weeks", f"min({START}) AS first_start", f"max({START}) AS last_start",
+              f"sum({HOLIDAY_COUNT}) AS {_HOLIDAYS}"]
+    second += ["sum(weeks) AS num_of_active_weeks", "datediff(max(last_start), min(first_start)) AS days_subscribed",
+               f"sum({_HOLIDAYS}) AS {_HOLIDAYS}"]
+    parts = _per_horizon(salted, horizons, [*carry, _SALT]).groupBy(ID, *carry, _DAYS, _SALT).agg(*map(F.expr, first))
+    return _side_by_side(parts.groupBy(ID, *carry, _DAYS).agg(*map(F.expr, second)), horizons, carry)
+
+
+def _side_by_side(long: DataFrame, horizons: list[int], carry: list[str]) -> DataFrame:
+    names = [s.rsplit(" AS ", 1)[1] for s in _statistics(None)]
     packed = long.select(ID, *carry, _DAYS, F.struct(*names).alias("_stats"))
     return packed.groupBy(ID, *carry).agg(
         *[F.expr(f"any_value(_stats) FILTER (WHERE {_DAYS} = {d}) AS _d{d}") for d in [LIFETIME, *horizons]]
@@ -140,6 +171,15 @@ def feature_users(
     return spans.join(keep_supported(attributes, holidays, unsupported_country), ID, "left")
 
 
+def _hot_blocks(users: DataFrame, hot_rows: int) -> list[DataFrame]:
+    """The users above ``hot_rows`` in blocks that can be broadcast. One block holds them all until the
+    activity has some ``BROADCAST_ROWS / 2 * hot_rows`` rows; each further block is one more scan."""
+    hot = stage(users.where(F.col(USER_ROWS) > hot_rows), "hot-users")
+    blocks = hot.count() // (BROADCAST_ROWS // 2) + 1
+    block = F.pmod(F.xxhash64(ID), F.lit(blocks))
+    return [broadcast_if_small(hot.where(block == k)) for k in range(blocks)]
+
+
 def user_features(
     activity: DataFrame,
     users: DataFrame,
@@ -165,13 +205,14 @@ def user_features(
     if largest <= limits.median_rows:
         return _flat(_aggregate(enriched(activity, users), horizons, carry, None), horizons, carry)
 
-    hot_rows = max(limits.median_rows, int(total * limits.hot_share))
-    # More than a hot_share of the total each: fewer than 1 / hot_share users.
-    hot = F.broadcast(stage(users.where(F.col(USER_ROWS) > hot_rows), "hot-users"))
-    cold = activity.join(hot.select(ID), ID, "left_anti")
-    heavy = enriched(activity, hot)
+    hot_rows = limits.hot_rows(total)
+    cold, heavy = activity, None
+    for block in _hot_blocks(users, hot_rows):
+        cold = cold.join(block.select(ID), ID, "left_anti")
+        found = enriched(activity, block)
+        heavy = found if heavy is None else heavy.unionByName(found)
     wide = _aggregate(enriched(cold, users), horizons, carry, limits.median_rows).unionByName(
-        _aggregate(heavy, horizons, carry, limits.median_rows)
+        _salted_aggregate(heavy, horizons, carry, limits.task_rows)
     )
 
     # Counted and broadcast while there are few of them, so that the activity is not shuffled again.

@@ -38,7 +38,7 @@ def training_table(
     only drop out of the features. Both come from the same user spans, written once.
     """
     spans = with_label(stage(user_spans(activity), "spans"), churn_after_days)
-    users = feature_users(spans, clean_attributes(attributes), holidays, unsupported_country)
+    users = stage(feature_users(spans, clean_attributes(attributes), holidays, unsupported_country), "users")
     carry = [*ATTRIBUTES, CHURNED]
     features = user_features(activity, users, holidays, carry, horizons, limits)
     return features.select(ID, *feature_columns(horizons), CHURNED)

@@ -92,6 +92,36 @@ def test_skewed_users_get_the_same_features(spark, limits):
     assert differences(build(spark, rows, limits=limits).toPandas(), plain) == []
 
 
+def test_a_user_of_half_the_rows_is_dealt_over_tasks(spark, tmp_path):
+    """One user has 30,000 of 60,000 rows and a task may hold 10,000 of a user."""
+    everyone = "CASE WHEN id % 2 = 0 THEN 0 ELSE 1 + id % 997 END AS ID"
+    value = "CASE WHEN id % 11 > 0 THEN (id * 7919) % 1013 END"
+    frame = spark.range(0, 60_000, 1, 6).selectExpr(
+        everyone, "CAST(NULL AS STRING) AS spare", f"date_sub(DATE'{LAST}', CAST((id * 31) % 500 AS INT)) AS start_date_of_week",
+        *[f"CAST({value} AS {b.ACTIVITY_SCHEMA[m].dataType.simpleString()}) AS {m}" for m in MEASURES],
+    )
+    frame.write.parquet(str(tmp_path / "a"))
+    stored = spark.read.parquet(str(tmp_path / "a"))
+    people = b.attributes(spark, {u: "NL" for u in range(1000)})
+    days = b.holidays(spark, [("nl", "2024-12-25"), ("nl", "2024-10-03")])
+    limits = Limits(median_rows=100, hot_share=1.0, task_rows=10_000)
+    assert limits.hot_rows(60_000) == 10_000 and Limits().hot_rows(10**13) == 1_000_000
+    split = training_table(stored, people, days, limits=limits)
+    assert "_salt" in plan_of(split)
+    plain = training_table(stored, people, days, limits=Limits(median_rows=10**6))
+    assert plain.count() == 998
+    assert differences(split.toPandas(), plain.toPandas()) == []
+
+
+def test_hot_users_come_in_blocks_that_can_be_broadcast(spark, monkeypatch):
+    from ebbtide.operators import features
+
+    monkeypatch.setattr(features, "BROADCAST_ROWS", 20)
+    rows = skewed_rows()
+    limits = Limits(median_rows=5, hot_share=1.0, task_rows=6)
+    assert differences(build(spark, rows, limits=limits).toPandas(), build(spark, rows).toPandas()) == []
+
+
 def test_scoring_rows_equal_training_rows(spark, small):
     inputs = [f(spark, small) for f in (views.activity, views.attributes, views.holidays)]
     trained = training_table(*inputs).drop("churned")
