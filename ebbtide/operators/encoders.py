@@ -205,6 +205,16 @@ class ColumnEncoderModel(Model, _EncoderParams, DefaultParamsReadable, DefaultPa
     def learned(self) -> dict:
         return json.loads(self.getOrDefault("fitted"))
 
+    def without(self, columns: list[str]) -> "ColumnEncoderModel":
+        """The same encoder for rows that lack ``columns``."""
+        learned = self.learned()
+        left = {k: [c for c in v if c not in columns] if isinstance(v, list) else {c: f for c, f in v.items() if c not in columns}
+                for k, v in learned.items()}
+        model = ColumnEncoderModel()
+        self._copyValues(model)
+        model.labels = self.labels.where(~F.col("column").isin(list(columns)))
+        return model._set(fitted=json.dumps(left))
+
     def source_of(self, feature: str) -> str:
         """The input column an output column was made from."""
         for column, values in self.learned()["one_hot"].items():

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.ml import Model, PipelineModel
 from pyspark.ml.classification import (
     GBTClassificationModel,
     GBTClassifier,
     LogisticRegression,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler, VectorSlicer
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,10 +22,12 @@ from ebbtide.operators.attribution import staged_scores
 from ebbtide.operators.encoders import ColumnEncoder, feature_output_columns
 from ebbtide.operators.isotonic import isotonic_blocks
 from ebbtide.operators.metrics import ranking_metrics
+from ebbtide.session import stage
 
 LABEL = "label"
 WEIGHT = "weight"
 FEATURES = "features"
+ENCODED = "encoded"
 # Boosting budget and regularisation strength.
 BOOSTING_ROUNDS = 1000
 BOOSTING_DEPTH = 8
@@ -57,15 +62,18 @@ def boosting(rounds: int = BOOSTING_ROUNDS, depth: int = BOOSTING_DEPTH, rate: f
     )
 
 
+def fit_column_encoder(train: DataFrame, excluded: list[str], scaler: str = "robust") -> Model:
+    """A missing truth value is read as false."""
+    return ColumnEncoder(scaler=scaler, excluded=excluded, nullCode=-2.0).fit(train)
+
+
 def encoded_pipeline(train: DataFrame, estimator, excluded: list[str], scaler: str = "robust") -> PipelineModel:
-    """Encoder, assembler and model fitted together, the encoder on the training rows only. A missing
-    truth value is read as false."""
-    encoder = ColumnEncoder(scaler=scaler, excluded=excluded, nullCode=-2.0).fit(train)
-    encoded = encoder.transform(train)
-    return _finish(encoder, encoded, estimator, excluded)
+    """Encoder, assembler and model fitted together, the encoder on the training rows only."""
+    encoder = fit_column_encoder(train, excluded, scaler)
+    return _finish(encoder, encoder.transform(train), estimator, excluded)
 
 
-def native_category_pipeline(train: DataFrame, estimator, excluded: list[str]) -> PipelineModel:
+def fit_category_indexer(train: DataFrame, excluded: list[str], max_bins: int) -> Model:
     """String columns indexed as categories, which trees split as sets; numbers are left unscaled. ``maxBins`` also
     rules the splits of numbers, so it is never changed here: it has to cover the widest column."""
     strings = [f.name for f in train.schema if isinstance(f.dataType, T.StringType) and f.name not in excluded]
@@ -73,11 +81,60 @@ def native_category_pipeline(train: DataFrame, estimator, excluded: list[str]) -
     indexer = StringIndexer(inputCols=strings, outputCols=indexed, stringOrderType="alphabetAsc", handleInvalid="keep")
     encoder = indexer.fit(train)
     widest = max((len(labels) + 1 for labels in encoder.labelsArray), default=2)
-    if estimator.getMaxBins() < widest:
-        raise ValueError(f"a column has {widest} categories; maxBins is {estimator.getMaxBins()} and must not be less")
+    if max_bins < widest:
+        raise ValueError(f"a column has {widest} categories; maxBins is {max_bins} and must not be less")
+    return encoder
+
+
+def native_category_pipeline(train: DataFrame, estimator, excluded: list[str]) -> PipelineModel:
+    encoder = fit_category_indexer(train, excluded, estimator.getMaxBins())
     return _finish(encoder, encoder.transform(train), estimator, excluded)
 
 
+@dataclass
+class EncodedRows:
+    """Split and weighted rows whose encoded features, of one fit of the encoder, are written as one vector.
+    A fit on fewer columns slices the vector; nothing is encoded again."""
+
+    encoder: Model
+    names: list[str]
+    rows: DataFrame
+
+    def features_of(self, columns: list[str]) -> list[str]:
+        return [f for f in self.names if source_of(self.encoder, f) in set(columns)]
+
+    def part(self, split: str, features: list[str]) -> DataFrame:
+        at = {f: i for i, f in enumerate(self.names)}
+        slicer = VectorSlicer(inputCol=ENCODED, outputCol=FEATURES, indices=[at[f] for f in features])
+        return slicer.transform(self.rows.where(F.col("split") == split)).drop(ENCODED)
+
+    def pipeline(self, fitted: Model, features: list[str]) -> PipelineModel:
+        """The model for rows of the feature table, which need only hold the columns behind ``features``."""
+        kept = {source_of(self.encoder, f) for f in features}
+        encoder = without_columns(self.encoder, [c for f in self.names if (c := source_of(self.encoder, f)) not in kept])
+        assembler = VectorAssembler(inputCols=features, outputCol=FEATURES)
+        return PipelineModel([encoder, assembler, fitted])
+
+
+def encode_once(rows: DataFrame, excluded: list[str], fit: Callable[[DataFrame, list[str]], Model]) -> EncodedRows:
+    """``rows`` carry ``split``; the encoder is fitted on the part called train."""
+    encoder = fit(rows.where(F.col("split") == "train"), excluded)
+    encoded = encoder.transform(rows)
+    names = feature_output_columns(encoded, excluded)
+    vectors = VectorAssembler(inputCols=names, outputCol=ENCODED).transform(encoded)
+    return EncodedRows(encoder, names, stage(vectors.select(*[c for c in excluded if c in rows.columns], ENCODED), "encoded-rows"))
+
+
+def without_columns(encoder: Model, columns: list[str]) -> Model:
+    if hasattr(encoder, "without"):
+        return encoder.without(columns)
+    left = [(labels, i, o) for labels, i, o in zip(encoder.labelsArray, encoder.getInputCols(), encoder.getOutputCols()) if i not in columns]
+    if not left:
+        return PipelineModel([])
+    arrays, inputs, outputs = map(list, zip(*left))
+    return StringIndexerModel.from_arrays_of_labels([list(a) for a in arrays], inputs, outputs, "keep")
+
+
 def _finish(encoder, encoded: DataFrame, estimator, excluded: list[str]) -> PipelineModel:
     inputs = feature_output_columns(encoded, excluded)
     assembler = VectorAssembler(inputCols=inputs, outputCol=FEATURES)
@@ -98,9 +155,14 @@ def vector_features(model: PipelineModel) -> list[str]:
 
 def source_column(model: PipelineModel, feature: str) -> str:
     """The column of the feature table behind an encoded feature."""
-    encoder = model.stages[0]
+    return source_of(model.stages[0], feature)
+
+
+def source_of(encoder: Model, feature: str) -> str:
     if hasattr(encoder, "source_of"):
         return encoder.source_of(feature)
+    if not hasattr(encoder, "getOutputCols"):
+        return feature
     indexed = dict(zip(encoder.getOutputCols(), encoder.getInputCols()))
     return indexed.get(feature, feature)
 

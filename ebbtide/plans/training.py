@@ -1,16 +1,19 @@
 """Training jobs: hold-out training with or without calibration, cross-validation, elimination.
 
 The driver only loops over fits. Rows stay distributed; per fit the driver sees a threshold, twelve
-metrics and one importance per feature.
+metrics and one importance per feature. Every job can write a run log.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
-from functools import partial
+from functools import partial, reduce
+from multiprocessing.pool import ThreadPool
 
-from pyspark.ml import PipelineModel
+from pyspark import inheritable_thread_target
+from pyspark.ml import Model, PipelineModel
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,22 +21,26 @@ from ebbtide.functions.columns import doubles_to_floats, with_noise
 from ebbtide.operators import metrics as m
 from ebbtide.operators.attribution import importance_table, linear_attribution
 from ebbtide.operators.models import (
+    FEATURES,
     LABEL,
     WEIGHT,
+    EncodedRows,
     assembled,
     best_round,
     boosting,
     calibrate,
     coefficients,
+    encode_once,
     encoded_pipeline,
     first_rounds,
+    fit_category_indexer,
+    fit_column_encoder,
     fit_isotonic,
     importances,
     learning_curve,
     logistic_regression,
     native_category_pipeline,
-    source_column,
-    vector_features,
+    source_of,
 )
 from ebbtide.operators.splits import (
     stratified_folds,
@@ -128,50 +135,123 @@ def train_evaluate(
     valid = weighted_part(rows, F.col("split") == "test")
     model = fit(train, estimator(train), BOOKKEEPING)
     scored = _scores(model, valid)
-    extra, calibrator = {}, None
+    base = None
     if calibrated:
+        base = _scores(model, weighted_part(rows, F.col("split") == "valid")) if apart else scored
+    return _judged(model, scored, base, model_importances(model, train, valid), threshold)
+
+
+def _judged(
+    model: PipelineModel, scored: DataFrame, base: DataFrame | None, table: DataFrame, threshold: float | None = None
+) -> Training:
+    """Calibrated by the scores of ``base`` where there are any, with a threshold and metrics."""
+    extra, calibrator = {}, None
+    if base is not None:
         extra["calibration_before"] = m.calibration_points(scored, CHURNED, PROBABILITY)
         extra["threshold_uncalibrated"] = pick_threshold(scored)
-        base = _scores(model, weighted_part(rows, F.col("split") == "valid")) if apart else scored
         calibrator = fit_isotonic(base, CHURNED, PROBABILITY, WEIGHT)
         scored = stage(calibrate(scored, calibrator, PROBABILITY, PROBABILITY), "scores")
     extra["calibration"] = m.calibration_points(scored, CHURNED, PROBABILITY)
     chosen = pick_threshold(scored) if threshold is None else threshold
-    return Training(
-        model, chosen, evaluate_scores(scored, chosen), model_importances(model, train, valid), scored, calibrator, extra
-    )
+    return Training(model, chosen, evaluate_scores(scored, chosen), table, scored, calibrator, extra)
+
+
+def log_training(log: RunLog, run_id: str, result: Training) -> None:
+    """Metrics, thresholds, importances, calibration points and, where there is one, the learning curve."""
+    log.metrics(run_id, result.metrics)
+    values = {"threshold": result.threshold}
+    if "threshold_uncalibrated" in result.extra:
+        values["threshold_uncalibrated"] = result.extra["threshold_uncalibrated"]
+        log.calibration(run_id, result.extra["calibration_before"], "before")
+    log.values(run_id, values)
+    log.importances(run_id, result.importances)
+    log.calibration(run_id, result.extra["calibration"], "after")
+    if "learning_curve" in result.extra:
+        log.curves(run_id, result.extra["learning_curve"])
 
 
-def cross_validate(
+def logged_training(log: RunLog, name: str, rows: DataFrame, estimator: Estimator, parent: str | None = None, **options) -> Training:
+    """:func:`train_evaluate` as a run of the log."""
+    columns = [c for c in rows.columns if c not in BOOKKEEPING]
+    with log.run(name, {"columns": columns, "num_columns": len(columns)}, parent) as run_id:
+        result = train_evaluate(rows, estimator, **options)
+        log_training(log, run_id, result)
+    return result
+
+
+@dataclass
+class Folds:
+    """``fold, metric, value`` rows, their mean and deviation per metric, ``fold, threshold`` and, where asked for,
+    ``fold, feature, importance``."""
+
+    values: DataFrame
+    summary: DataFrame
+    thresholds: DataFrame
+    importances: DataFrame | None = None
+
+
+def fit_folds(
     rows: DataFrame,
     estimator: Estimator,
     folds: int = 5,
     threshold: float | None = None,
     fit: PipelineFit = encoded_pipeline,
-) -> tuple[DataFrame, DataFrame]:
-    """``fold, metric, value`` rows and their mean and deviation per metric. The encoder is fitted
-    inside every fold; all folds are evaluated by one grouped job."""
+    with_importances: bool = False,
+    parallelism: int = 2,
+) -> Folds:
+    """Cross-validation. The encoder is fitted inside every fold; ``parallelism`` folds are fitted at a time, each in
+    a scheduler pool of its own, and all are evaluated by one grouped job."""
     folded = stage(stratified_folds(rows, CHURNED, ID, folds), "fold-rows")
-    parts = []
-    for k in range(folds):
+    spark = rows.sparkSession
+
+    def one(k: int) -> tuple[DataFrame, DataFrame | None]:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"fold-{k}")
         train = weighted_part(folded, F.col("fold") != k)
         valid = weighted_part(folded, F.col("fold") == k)
         model = fit(train, estimator(train), BOOKKEEPING)
-        parts.append(_scores(model, valid).withColumn("fold", F.lit(k)))
-    scored = parts[0]
-    for part in parts[1:]:
-        scored = scored.unionByName(part)
+        scored = _scores(model, valid).withColumn("fold", F.lit(k))
+        if not with_importances:
+            return scored, None
+        return scored, stage(model_importances(model, train, valid).withColumn("fold", F.lit(k)), "fold-importances")
+
+    with ThreadPool(max(1, min(parallelism, folds))) as pool:
+        parts, tables = zip(*pool.map(inheritable_thread_target(spark)(one), range(folds), chunksize=1))
+    scored = reduce(DataFrame.unionByName, parts)
     if threshold is None:
         best = m.best_threshold(m.threshold_grid(scored, CHURNED, PROBABILITY, WEIGHT, ["fold"]), ["fold"])
-        scored = scored.join(F.broadcast(best.select("fold", "threshold")), "fold")  # one row per fold
+        thresholds = stage(best.select("fold", "threshold"), "fold-thresholds")
     else:
-        scored = scored.withColumn("threshold", F.lit(threshold))
-    decided = scored.withColumn("prediction", F.col(PROBABILITY) > F.col("threshold"))
+        thresholds = spark.range(folds).select(F.col("id").cast("int").alias("fold"), F.lit(float(threshold)).alias("threshold"))
+    decided = scored.join(F.broadcast(thresholds), "fold").withColumn(  # one row per fold
+        "prediction", F.col(PROBABILITY) > F.col("threshold")
+    )
     values = stage(
         m.metric_rows(m.evaluate(decided, CHURNED, "prediction", PROBABILITY, WEIGHT, ["fold"]), ["fold"]),
         "fold-metrics",
     )
-    return values, m.fold_summary(values)
+    found = reduce(DataFrame.unionByName, tables) if with_importances else None
+    return Folds(values, m.fold_summary(values), thresholds, found)
+
+
+def cross_validate(rows: DataFrame, estimator: Estimator, folds: int = 5, **options) -> tuple[DataFrame, DataFrame]:
+    """``fold, metric, value`` rows and their mean and deviation per metric."""
+    found = fit_folds(rows, estimator, folds, **options)
+    return found.values, found.summary
+
+
+def log_folds(log: RunLog, run_id: str, found: Folds, columns: list[str]) -> None:
+    """One run for each fold below ``run_id``, which gets mean and deviation of every metric."""
+    for row in found.thresholds.orderBy("fold").collect():
+        one = log.start(f"split_{row['fold'] + 1}", {"columns": columns}, parent=run_id)
+        log.metrics(one, found.values.where(F.col("fold") == row["fold"]))
+        log.values(one, {"threshold": row["threshold"]})
+        if found.importances is not None:
+            log.importances(one, found.importances.where(F.col("fold") == row["fold"]))
+    for statistic in ("mean", "std"):
+        log.metrics(
+            run_id,
+            found.summary.select(F.concat("metric", F.lit(f"_{statistic}")).alias("metric"), F.col(statistic).alias("value")),
+        )
 
 
 def weak_columns(importances: DataFrame, limit: float, columns: list[str], source: Callable[[str], str]) -> list[str]:
@@ -184,19 +264,52 @@ def weak_columns(importances: DataFrame, limit: float, columns: list[str], sourc
     return [c for c in columns if c in best and best[c] <= limit]
 
 
+def slice_importances(fitted: Model, features: list[str], train: DataFrame, valid: DataFrame) -> DataFrame:
+    """``feature, importance`` of a model fitted on vectors of ``features``: impurity for trees, else the mean
+    contribution over the validation rows, from the two vectors of means."""
+    spark = train.sparkSession
+    if hasattr(fitted, "featureImportances"):
+        return importance_table(spark, dict(zip(features, map(float, fitted.featureImportances.toArray()))))
+    at_train, at_valid = (part.select(Summarizer.mean(F.col(FEATURES))).first()[0].toArray() for part in (train, valid))
+    found = fitted.coefficients.toArray() * (at_valid - at_train)
+    return importance_table(spark, dict(zip(features, map(float, found))))
+
+
 def eliminate(
-    rows: DataFrame, estimator: Estimator, limit: float = LEAST_IMPORTANCE, **options
+    rows: DataFrame,
+    estimator: Estimator,
+    limit: float = LEAST_IMPORTANCE,
+    calibrated: bool = False,
+    threshold: float | None = None,
+    encode: Callable[[DataFrame, list[str]], Model] = fit_column_encoder,
+    log: RunLog | None = None,
 ) -> tuple[Training, list[str]]:
-    """Refit without the columns of least importance until none is left to drop."""
-    rows = stage(stratified_split(rows, CHURNED, ID), "split-rows")
+    """Refit without the columns of least importance until none is left to drop; at least one column stays. The
+    encoder is fitted once and every fit takes its part of the written vectors. With ``log`` each fit is evaluated
+    and a run below one run of the whole job."""
+    parted = with_balanced_weights(stratified_split(rows, CHURNED, ID), CHURNED, ["split"], WEIGHT)
+    encoded = encode_once(stage(parted, "split-rows"), BOOKKEEPING, encode)
+    kept = [c for c in rows.columns if c not in BOOKKEEPING]
     dropped: list[str] = []
+    main = log.start("elimination", {"columns": kept}) if log else None
     while True:
-        result = train_evaluate(rows.drop(*dropped), estimator, same_split=True, **options)
-        columns = [c for c in rows.columns if c not in [*BOOKKEEPING, *dropped]]
-        weak = weak_columns(result.importances, limit, columns, partial(source_column, result.model))
-        if not weak:
+        features = encoded.features_of(kept)
+        train, valid = encoded.part("train", features), encoded.part("test", features)
+        fitted = estimator(train).fit(train)
+        table = slice_importances(fitted, features, train, valid)
+        weak = weak_columns(table, limit, kept, partial(source_of, encoded.encoder))
+        done = not weak or len(weak) == len(kept)
+        if log or done:
+            scored = _scores(fitted, valid)
+            result = _judged(encoded.pipeline(fitted, features), scored, scored if calibrated else None, table, threshold)
+        if log:
+            log_training(log, log.start("full_model", {"columns": kept, "num_columns": len(kept)}, main), result)
+        if done:
+            if log:
+                log.finish(main)
             return result, dropped
         dropped += weak
+        kept = [c for c in kept if c not in weak]
 
 
 def fit_boosting(
@@ -206,28 +319,23 @@ def fit_boosting(
     and the model of the trees up to it. Also returns the learning curves. ``max_bins`` has to cover the column of
     most categories."""
     full = native_category_pipeline(train, boosting(rounds, depth, rate, max_bins=max_bins), BOOKKEEPING)
-    curve = learning_curve(full.stages[-1], {"train": assembled(full, train), "valid": assembled(full, valid)})
-    losses = [r["value"] for r in curve.where("split = 'valid'").orderBy("iteration").collect()]
-    best = best_round(losses, patience)
-    if best == rounds:
-        return full, curve
-    return PipelineModel([*full.stages[:-1], first_rounds(full.stages[-1], best)]), curve
+    fitted, curve = _up_to_best(full.stages[-1], assembled(full, train), assembled(full, valid), rounds, patience)
+    return PipelineModel([*full.stages[:-1], fitted]), curve
 
 
-def above_noise(rows: DataFrame, limit: float, max_bins: int = 64, **boosted) -> list[str]:
-    """The columns of split ``rows`` that stay when boosting is fitted again and again next to a noise column and what
-    is not more important than the noise (or than ``limit``) goes; at least one column stays."""
-    columns = [c for c in rows.columns if c not in [*BOOKKEEPING, NOISE]]
-    while True:
-        current = rows.select(*[c for c in rows.columns if c in [*BOOKKEEPING, NOISE, *columns]])
-        train, valid = (weighted_part(current, F.col("split") == part) for part in ("train", "test"))
-        model, _ = fit_boosting(train, valid, max_bins=max_bins, **boosted)
-        found = importances(model)
-        table = importance_table(rows.sparkSession, found)
-        weak = weak_columns(table, max(limit, found[NOISE]), columns, partial(source_column, model))
-        if not weak or len(weak) == len(columns):
-            return columns
-        columns = [c for c in columns if c not in weak]
+def boost(
+    train: DataFrame, valid: DataFrame, rounds: int, depth: int, rate: float, patience: int, max_bins: int = 64
+) -> tuple[Model, DataFrame]:
+    """The same on rows that hold the vectors."""
+    full = boosting(rounds, depth, rate, max_bins=max_bins).fit(train)
+    return _up_to_best(full, train, valid, rounds, patience)
+
+
+def _up_to_best(full: Model, train: DataFrame, valid: DataFrame, rounds: int, patience: int) -> tuple[Model, DataFrame]:
+    curve = learning_curve(full, {"train": train, "valid": valid})
+    losses = [r["value"] for r in curve.where("split = 'valid'").orderBy("iteration").collect()]
+    best = best_round(losses, patience)
+    return (full if best == rounds else first_rounds(full, best)), curve
 
 
 def eliminate_by_noise(
@@ -239,29 +347,50 @@ def eliminate_by_noise(
     limit: float = LEAST_IMPORTANCE,
     same_split: bool = True,
     seed: int = 42,
+    max_bins: int = 64,
+    log: RunLog | None = None,
 ) -> tuple[Training, list[str], list[str]]:
-    """Boosting on the columns that :func:`above_noise` leaves, calibrated. Returns the training, the kept and the
-    dropped columns."""
+    """Boosting again and again next to a noise column; what is not more important than the noise (or than ``limit``)
+    goes, and at least one column stays. The last fit, without the noise, is calibrated. Categories are indexed once;
+    each fit takes its part of the written vectors. Returns the training, the kept and the dropped columns. With
+    ``log`` every fit is a run."""
     if same_split:
         parted = stratified_split(rows, CHURNED, ID, seed=seed)
     else:
         parted = three_way_split(rows, CHURNED, ID, valid_size=0.1, test_size=0.2, seed=seed)
-    parted = stage(with_noise(parted, NOISE, seed), "noise-rows")
-    boosted = {"rounds": rounds, "depth": depth, "rate": rate, "patience": patience}
-    kept = above_noise(parted, limit, **boosted)
-    final = parted.select(*[c for c in parted.columns if c in [*BOOKKEEPING, *kept]])
-    train, valid = (weighted_part(final, F.col("split") == part) for part in ("train", "test"))
-    model, curve = fit_boosting(train, valid, **boosted)
-    scored = _scores(model, valid)
-    base = scored if same_split else _scores(model, weighted_part(final, F.col("split") == "valid"))
-    calibrator = fit_isotonic(base, CHURNED, PROBABILITY, WEIGHT)
-    scored = stage(calibrate(scored, calibrator, PROBABILITY, PROBABILITY), "scores")
-    threshold = pick_threshold(scored)
-    result = Training(
-        model, threshold, evaluate_scores(scored, threshold), importance_table(rows.sparkSession, importances(model)), scored,
-        calibrator, {"learning_curve": curve},
-    )
-    return result, kept, [c for c in rows.columns if c not in [*BOOKKEEPING, *kept]]
+    parted = with_balanced_weights(with_noise(parted, NOISE, seed), CHURNED, ["split"], WEIGHT)
+    encoded = encode_once(stage(parted, "noise-rows"), BOOKKEEPING, partial(fit_category_indexer, max_bins=max_bins))
+    boosted = {"rounds": rounds, "depth": depth, "rate": rate, "patience": patience, "max_bins": max_bins}
+    columns = [c for c in rows.columns if c not in BOOKKEEPING]
+    main = log.start("elimination_by_noise", {"columns": columns}) if log else None
+
+    def fit(kept: list[str], judge: bool) -> tuple[DataFrame, Training | None]:
+        features = encoded.features_of(kept)
+        train, valid = encoded.part("train", features), encoded.part("test", features)
+        fitted, curve = boost(train, valid, **boosted)
+        table = slice_importances(fitted, features, train, valid)
+        if not judge and not log:
+            return table, None
+        scored = _scores(fitted, valid)
+        base = scored if same_split else _scores(fitted, encoded.part("valid", features))
+        result = _judged(encoded.pipeline(fitted, features), scored, base, table)
+        result.extra["learning_curve"] = curve
+        if log:
+            log_training(log, log.start("full_model", {"columns": kept, "num_columns": len(kept)}, main), result)
+        return table, result
+
+    kept = columns
+    while True:
+        table, _ = fit([*kept, NOISE], judge=False)
+        bar = max(limit, table.where(F.col("feature") == NOISE).first()["importance"])
+        weak = weak_columns(table, bar, kept, partial(source_of, encoded.encoder))
+        if not weak or len(weak) == len(kept):
+            break
+        kept = [c for c in kept if c not in weak]
+    _, result = fit(kept, judge=True)
+    if log:
+        log.finish(main)
+    return result, kept, [c for c in columns if c not in kept]
 
 
 def train(
@@ -279,18 +408,7 @@ def train(
     def standard(part: DataFrame, model, excluded: list[str]) -> PipelineModel:
         return encoded_pipeline(part, model, excluded, scaler="standard")
 
-    main = log.start("churn_logistic_regression", {"columns": columns})
-    values, summary = cross_validate(rows, estimator, folds, threshold=0.5, fit=standard)
-    for k in range(folds):
-        log.metrics(log.start(f"split_{k + 1}", parent=main), values.where(F.col("fold") == k))
-    for statistic in ("mean", "std"):
-        log.metrics(
-            main,
-            summary.select(F.concat("metric", F.lit(f"_{statistic}")).alias("metric"), F.col(statistic).alias("value")),
-        )
-    result = train_evaluate(rows, estimator, threshold=0.5, fit=standard)
-    last = log.start("full_model", {"columns": columns}, parent=main)
-    log.metrics(last, result.metrics)
-    log.values(last, {"threshold": result.threshold})
-    log.importances(last, result.importances)
-    return result
+    with log.run("churn_logistic_regression", {"columns": columns}) as main:
+        found = fit_folds(rows, estimator, folds, threshold=0.5, fit=standard, with_importances=True)
+        log_folds(log, main, found, columns)
+        return logged_training(log, "full_model", rows, estimator, main, threshold=0.5, fit=standard)

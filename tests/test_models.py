@@ -143,7 +143,9 @@ def test_training_job_logs_every_run(spark, rows, tmp_path):
     assert set(runs) == {"churn_logistic_regression", "split_1", "split_2", "split_3", "full_model"}
     assert runs["split_2"].parent_run_id == runs["churn_logistic_regression"].run_id
     metrics = log.read("metrics").groupBy("run_id").count().collect()
-    assert sorted(r["count"] for r in metrics) == [12, 12, 12, 13, 24]
+    assert sorted(r["count"] for r in metrics) == [13, 13, 13, 13, 24]
+    by_fold = log.read("importances").groupBy("run_id").count().collect()
+    assert len(by_fold) == 4 and {r["count"] for r in by_fold} == {by_fold[0]["count"]}
     assert "last_activity" not in runs["full_model"].parameters
     assert log.read("importances").count() > 0
 
@@ -163,3 +165,71 @@ def test_cross_validation_has_every_fold_and_metric(rows):
     values, summary = training.cross_validate(rows, lambda t: models.random_forest(5, 3), folds=3)
     assert values.count() == 36 and summary.count() == 12
     assert {r.fold for r in values.collect()} == {0, 1, 2}
+
+
+def test_folds_keep_their_thresholds_and_importances(rows):
+    """Fitted at the same time or one by one; the regression does not depend on the order of the rows."""
+    def logistic(part):
+        return models.logistic_regression(part, max_iter=50)
+
+    apart, one = (training.fit_folds(rows, logistic, folds=3, with_importances=True, parallelism=n) for n in (3, 1))
+    assert {r.fold for r in apart.thresholds.collect()} == {0, 1, 2}
+    for part, key, value in (("importances", ["fold", "feature"], "importance"), ("thresholds", ["fold"], "threshold"), ("values", ["fold", "metric"], "value")):
+        ours, theirs = (getattr(f, part).toPandas().set_index(key)[value].to_dict() for f in (apart, one))
+        assert ours == pytest.approx(theirs, abs=1e-6)
+
+
+class CountedFits:
+    """Counts the fits of an encoder."""
+
+    def __init__(self, fit):
+        self.fit, self.calls = fit, 0
+
+    def __call__(self, *args, **kwargs):
+        self.calls += 1
+        return self.fit(*args, **kwargs)
+
+
+def test_elimination_encodes_once_and_logs_every_fit(spark, rows, tmp_path):
+    fits, log = CountedFits(models.fit_column_encoder), RunLog(spark, str(tmp_path))
+    result, dropped = training.eliminate(rows, lambda t: models.random_forest(10, 4), limit=0.04, encode=fits, calibrated=True, log=log)
+    assert fits.calls == 1 and dropped
+    names = [r.name for r in log.read("runs").collect()]
+    assert names.count("elimination") == 1 and names.count("full_model") >= 2
+    assert {r.stage for r in log.read("calibration").collect()} == {"before", "after"}
+    short = rows.drop(*dropped).limit(50)
+    assert result.model.transform(short).count() == 50
+
+
+def test_elimination_gives_the_model_a_refit_gives(rows):
+    """Slices of the vectors and a pipeline fitted anew on the columns that stay score alike."""
+    for estimator in (lambda t: models.random_forest(1, 4).setBootstrap(False), lambda t: models.logistic_regression(t, max_iter=50)):
+        result, dropped = training.eliminate(rows, estimator, limit=0.01)
+        again = training.train_evaluate(rows.drop(*dropped), estimator, same_split=True)
+        ours, theirs = ({r.metric: r.value for r in x.metrics.collect()} for x in (result, again))
+        assert ours == pytest.approx(theirs, abs=1e-6)
+        table, other = ({r.feature: r.importance for r in x.importances.collect()} for x in (result, again))
+        assert table == pytest.approx(other, abs=1e-6)
+
+
+def test_noise_elimination_logs_curves(spark, rows, tmp_path):
+    log = RunLog(spark, str(tmp_path))
+    result, kept, dropped = training.eliminate_by_noise(rows, rounds=4, depth=2, rate=0.3, patience=4, log=log)
+    assert log.read("curves").where("split = 'valid'").count() >= 8
+    assert result.model.transform(rows.drop(*dropped).limit(20)).count() == 20
+
+
+def test_a_run_without_manifest_is_not_read(spark, tmp_path):
+    log = RunLog(spark, str(tmp_path))
+    assert log.read("runs").count() == 0
+    with pytest.raises(RuntimeError):
+        with log.run("killed") as run_id:
+            log.values(run_id, {"auc": 0.5})
+            log.values(log.start("below", parent=run_id), {"auc": 0.6})
+            raise RuntimeError
+    assert log.read("runs").count() == 0 and log.read("metrics").count() == 0
+    other = RunLog(spark, str(tmp_path))
+    with other.run("whole") as run_id:
+        other.values(run_id, {"auc": 0.7})
+        assert other.read("metrics").count() == 0
+    assert [(r.run_id, r.value) for r in log.read("metrics").collect()] == [(run_id, 0.7)]
