@@ -13,11 +13,16 @@ from ebbtide.operators.splits import stratified_split
 from ebbtide.plans import training
 from ebbtide.plans.feature_table import scoring_table, training_table
 from ebbtide.plans.scoring import Bundle, with_message
+from ebbtide.operators.attributes import clean_attributes
 from ebbtide.queries.catalog import (
+    FOLDS,
     LABELS,
+    METRIC_LIST,
     SCORED,
     SPLIT,
+    _metric_values,
     inputs,
+    labels,
     register,
     rounded,
     scored,
@@ -25,6 +30,7 @@ from ebbtide.queries.catalog import (
 from ebbtide.queries import views_sql as sql
 from ebbtide.schemas import CHURNED, ID
 from ebbtide.session import stage, work_folder
+from ebbtide.sources import retail_views as views
 from ebbtide.sources.runs import RunLog
 
 # Forests, regressions and folds have their full budgets. Boosting stops after PATIENCE rounds without gain; its most
@@ -209,3 +215,100 @@ def batch_scoring(spark, sf_dir):
     path = f"{work_folder(spark)}/saved-{uuid.uuid4().hex}"
     Bundle(result.model, result.threshold, result.calibrator).save(path)
     return with_message(Bundle.load(path).score(scoring_table(*inputs(spark, sf_dir))))
+
+
+# ---- fits with a closed form ------------------------------------------------------------------------
+# On one column of two values every model is saturated: a leaf is the weighted share of churners in it and the
+# coefficient of an unpenalised regression is the difference of the weighted log odds.
+
+
+def company_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    people = clean_attributes(views.attributes(spark, sf_dir)).select(ID, "is_company")
+    churn = labels(spark, sf_dir).select(ID, CHURNED, F.col(CHURNED).cast("double").alias(models.LABEL))
+    return stage(churn.join(people, ID), "company-rows")
+
+
+def company_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    rows = stage(stratified_split(company_rows(spark, sf_dir), CHURNED, ID), "split-rows")
+    return tuple(training.weighted_part(rows, F.col("split") == part) for part in ("train", "test"))
+
+
+def stump(train: DataFrame):
+    return models.random_forest(trees=1, depth=1).setBootstrap(False)
+
+
+STUMPS = f"""{FOLDS}, {sql.ATTRIBUTES},
+known AS (SELECT ID, churned, fold, is_company AS x FROM folded JOIN attributes USING (ID)),
+others AS (SELECT k.fold, t.churned, t.x, count(*) AS n FROM (SELECT DISTINCT fold FROM known) k JOIN known t ON t.fold <> k.fold
+           GROUP BY k.fold, t.churned, t.x),
+weighted AS (SELECT fold, x, churned, n * CAST(sum(n) OVER (PARTITION BY fold) AS DOUBLE) / (2 * sum(n) OVER (PARTITION BY fold, churned)) AS w
+             FROM others),
+leaves AS (SELECT fold, x, sum(CASE WHEN churned THEN w ELSE 0 END) / sum(w) AS p FROM weighted GROUP BY fold, x),
+scored AS (SELECT ID, churned, fold, p, CAST(count(*) OVER (PARTITION BY fold) AS DOUBLE) / (2 * count(*) OVER (PARTITION BY fold, churned)) AS fw
+           FROM known JOIN leaves USING (fold, x)),
+{_metric_values('fw', 'p', 'fold')},
+found AS (SELECT fold, metric, v FROM values_ UNPIVOT (v FOR metric IN ({METRIC_LIST})))"""
+
+
+@register("cross_validation_of_stumps", f"{STUMPS} SELECT fold, metric, round(v, 6) AS value FROM found")
+def stump_folds(spark, sf_dir):
+    return rounded(training.fit_folds(company_rows(spark, sf_dir), stump, threshold=0.5).values, ["value"], 6)
+
+
+@register(
+    "cross_validation_run_log",
+    f"{STUMPS} SELECT concat('split_', fold + 1) AS name, metric, round(v, 6) AS value FROM found "
+    "UNION ALL SELECT DISTINCT concat('split_', fold + 1), 'threshold', CAST(0.5 AS DOUBLE) FROM found "
+    "UNION ALL SELECT 'stumps', concat(metric, '_mean'), round(avg(v), 6) FROM found GROUP BY metric "
+    "UNION ALL SELECT 'stumps', concat(metric, '_std'), round(stddev_pop(v), 6) FROM found GROUP BY metric",
+)
+def stump_run_log(spark, sf_dir):
+    log = RunLog(spark, f"{work_folder(spark)}/log-{uuid.uuid4().hex}")
+    with log.run("stumps") as main:
+        training.log_folds(log, main, training.fit_folds(company_rows(spark, sf_dir), stump, threshold=0.5), ["is_company"])
+    named = log.read("metrics").join(log.read("runs").select("run_id", "name"), "run_id")
+    return rounded(named.select("name", "metric", "value"), ["value"], 6)
+
+
+ONE_SPLIT = f"""{SPLIT}, {sql.ATTRIBUTES},
+known AS (SELECT ID, churned, split, is_company AS x FROM parted JOIN attributes USING (ID)),
+cells AS (SELECT x, churned, count(*) AS n FROM known WHERE split = 'train' GROUP BY x, churned),
+weighted AS (SELECT x, churned, n * CAST(sum(n) OVER () AS DOUBLE) / (2 * sum(n) OVER (PARTITION BY churned)) AS w FROM cells),
+shares AS (SELECT x, sum(CASE WHEN churned THEN w ELSE 0 END) / sum(w) AS p FROM weighted GROUP BY x),
+overall AS (SELECT sum(CASE WHEN churned THEN w ELSE 0 END) / sum(w) AS q FROM weighted),
+credited AS (SELECT ID, 'is_company' AS feature, 2 * (p - q) AS contribution FROM known JOIN shares USING (x), overall WHERE split = 'test')"""
+
+
+def one_split_contributions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One round of boosting fits the label as -1 and 1, so the margin of a leaf is twice its share less one."""
+    train, valid = company_parts(spark, sf_dir)
+    model = models.encoded_pipeline(train, models.boosting(rounds=1, depth=1), training.BOOKKEEPING)
+    rows = models.assembled(model, valid)
+    return attribution.tree_contributions(model.stages[-1], rows, models.vector_features(model), ID)
+
+
+@register("tree_contributions_of_one_split", f"{ONE_SPLIT} SELECT ID, feature, round(contribution, 6) AS contribution FROM credited")
+def contributions_of_one_split(spark, sf_dir):
+    return rounded(one_split_contributions(spark, sf_dir).select(ID, "feature", "contribution"), ["contribution"], 6)
+
+
+@register(
+    "tree_contribution_summary_of_one_split",
+    f"{ONE_SPLIT} SELECT feature, round(avg(contribution), 6) AS mean_contribution, round(avg(abs(contribution)), 6) AS "
+    "mean_abs_contribution FROM credited GROUP BY feature",
+)
+def summary_of_one_split(spark, sf_dir):
+    found = attribution.contribution_summary(one_split_contributions(spark, sf_dir))
+    means = ["mean_contribution", "mean_abs_contribution"]
+    return rounded(found.select("feature", *means), means, 6)
+
+
+@register(
+    "logistic_regression_of_one_column",
+    f"{ONE_SPLIT} SELECT 'is_company' AS feature, round(sum(CASE WHEN x THEN 1 ELSE -1 END * ln(p / (1 - p))), 4) AS coefficient FROM shares",
+)
+def logistic_of_one_column(spark, sf_dir):
+    train, _ = company_parts(spark, sf_dir)
+    free = models.logistic_regression(train, inverse_strength=1e12, max_iter=200).setTol(1e-12)
+    model = models.encoded_pipeline(train, free, training.BOOKKEEPING)
+    return rounded(attribution.named_values(spark, models.coefficients(model), "coefficient"), ["coefficient"], 4)
