@@ -7,7 +7,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -99,6 +101,7 @@ def tree_nodes(model, spark: SparkSession) -> pd.DataFrame:
         F.col("treeID").alias("tree"),
         F.col("nodeData.id").alias("node"),
         F.col("nodeData.prediction").alias("prediction"),
+        F.col("nodeData.impurityStats").alias("stats"),
         F.col("nodeData.leftChild").alias("left"),
         F.col("nodeData.rightChild").alias("right"),
         F.col("nodeData.split.featureIndex").alias("feature"),
@@ -109,10 +112,13 @@ def tree_nodes(model, spark: SparkSession) -> pd.DataFrame:
 
 
 class _Tree:
-    """One regression tree as arrays, for walking many rows down at once."""
+    """One tree as arrays, for walking many rows down at once. A node's value is its mean, or with ``shares`` the
+    share of the second class in it."""
 
-    def __init__(self, nodes: pd.DataFrame):
+    def __init__(self, nodes: pd.DataFrame, shares: bool = False):
         self.value = nodes["prediction"].to_numpy(float)
+        if shares:
+            self.value = np.array([stats[1] / sum(stats) for stats in nodes["stats"]])
         self.left = nodes["left"].to_numpy(int)
         self.right = nodes["right"].to_numpy(int)
         self.feature = nodes["feature"].to_numpy(int)
@@ -147,9 +153,11 @@ class _Tree:
 
 
 def _shipped_trees(model, spark: SparkSession):
-    """Trees and their weights as a broadcast variable, and the margin before any split."""
-    trees = [_Tree(part) for _, part in tree_nodes(model, spark).groupby("tree")]
-    weights = list(model.treeWeights)
+    """Trees and their weights as a broadcast variable, and the margin before any split: of a boosted model the raw
+    margin, of a forest the probability, which is the mean share of its trees."""
+    shares = isinstance(model, RandomForestClassificationModel)
+    trees = [_Tree(part, shares) for _, part in tree_nodes(model, spark).groupby("tree")]
+    weights = [w / len(trees) if shares else w for w in model.treeWeights]
     bias = float(sum(w * t.value[0] for w, t in zip(weights, trees)))
     return spark.sparkContext.broadcast((trees, weights)), bias
 
@@ -181,9 +189,9 @@ def staged_scores(model, rows: DataFrame, keep: list[str], vector: str = "featur
 def tree_contributions(
     model, scored: DataFrame, features: list[str], key: str, vector: str = "features"
 ) -> DataFrame:
-    """``key, feature, value, contribution, bias``: path contributions of a boosted ensemble.
+    """``key, feature, value, contribution, bias``: path contributions of a boosted ensemble or a forest.
 
-    Over the features of a row the contributions plus the bias give the raw margin of the model. The
+    Over the features of a row the contributions plus the bias give the margin of the model (a forest's probability). The
     rows stay in their partitions; the executors get the flattened trees once.
     """
     shipped, bias = _shipped_trees(model, scored.sparkSession)
@@ -212,3 +220,64 @@ def tree_contributions(
         .toDF(key, "feature", "value", "contribution")
         .withColumn("bias", F.lit(bias))
     )
+
+
+CELLS_SCHEMA = "feature bigint, bin bigint, rows bigint, value double, contribution double, magnitude double"
+
+
+def _contribution_cells(
+    model, rows: DataFrame, width: int, vector: str, low: np.ndarray, high: np.ndarray, bins: int
+) -> DataFrame:
+    """Sums per feature and equal-width bin of its values, added up inside each task: what is shuffled follows the
+    tasks, features and bins, not the rows."""
+    shipped, _ = _shipped_trees(model, rows.sparkSession)
+
+    def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forest, scales = shipped.value
+        span = np.where(high > low, high - low, np.inf)
+        total = np.zeros((4, width, bins))
+        for batch in batches:
+            if not len(batch):
+                continue
+            x = _matrix(batch)
+            out = np.zeros(x.shape)
+            for tree, scale in zip(forest, scales):
+                tree.add_contributions(x, scale, out)
+            at = np.minimum(np.nan_to_num((x - low) * bins / span), bins - 1).astype(int)
+            for f in range(width):
+                for i, part in enumerate((None, x[:, f], out[:, f], np.abs(out[:, f]))):
+                    total[i, f] += np.bincount(at[:, f], weights=part, minlength=bins)
+        f, b = np.nonzero(total[0])
+        count, value, contribution, magnitude = total[:, f, b]
+        yield pd.DataFrame(
+            {"feature": f, "bin": b, "rows": count.astype("int64"), "value": value, "contribution": contribution, "magnitude": magnitude}
+        )
+
+    return rows.select(vector_to_array(vector).alias("_x")).mapInPandas(add_up, CELLS_SCHEMA)
+
+
+def tree_contribution_summary(model, rows: DataFrame, features: list[str], vector: str = "features") -> DataFrame:
+    """:func:`contribution_summary` of :func:`tree_contributions`, without a row for each row and feature."""
+    nowhere = np.zeros(len(features))
+    cells = _contribution_cells(model, rows, len(features), vector, nowhere, nowhere, 1)
+    names = F.array(*[F.lit(f) for f in features])
+    return cells.groupBy(F.get(names, "feature").alias("feature")).agg(
+        (F.sum("contribution") / F.sum("rows")).alias("mean_contribution"),
+        (F.sum("magnitude") / F.sum("rows")).alias("mean_abs_contribution"),
+    )
+
+
+def tree_dependence(model, rows: DataFrame, features: list[str], bins: int = 10, vector: str = "features") -> DataFrame:
+    """:func:`dependence` of :func:`tree_contributions`, without a row for each row and feature. The driver gets the
+    least and the greatest value of each feature."""
+    low = high = np.zeros(len(features))
+    if not rows.isEmpty():
+        ends = rows.select(Summarizer.min(F.col(vector)), Summarizer.max(F.col(vector))).first()
+        low, high = ends[0].toArray(), ends[1].toArray()
+    names = F.array(*[F.lit(f) for f in features])
+    cells = _contribution_cells(model, rows, len(features), vector, low, high, bins)
+    return cells.groupBy(F.get(names, "feature").alias("feature"), "bin").agg(
+        (F.sum("value") / F.sum("rows")).alias("mean_value"),
+        (F.sum("contribution") / F.sum("rows")).alias("mean_contribution"),
+        F.sum("rows").alias("bin_rows"),
+    )

@@ -124,8 +124,7 @@ def tree_contribution_summary(spark, sf_dir):
     train, valid = parts(spark, sf_dir)
     model, _ = _boosted(train, valid)
     rows = models.assembled(model, valid)
-    found = attribution.tree_contributions(model.stages[-1], rows, models.vector_features(model), ID)
-    return attribution.contribution_summary(found)
+    return attribution.tree_contribution_summary(model.stages[-1], rows, models.vector_features(model))
 
 
 @register("tree_contribution_dependence")
@@ -133,8 +132,7 @@ def tree_contribution_dependence(spark, sf_dir):
     train, valid = parts(spark, sf_dir)
     model, _ = _boosted(train, valid)
     rows = models.assembled(model, valid)
-    found = attribution.tree_contributions(model.stages[-1], rows, models.vector_features(model), ID)
-    return attribution.dependence(stage(found, "contributions"))
+    return attribution.tree_dependence(model.stages[-1], stage(rows.select("features"), "vectors"), models.vector_features(model))
 
 
 # Isotonic regression has a closed form: the largest over all starts of the smallest mean over all ends.
@@ -276,20 +274,21 @@ cells AS (SELECT x, churned, count(*) AS n FROM known WHERE split = 'train' GROU
 weighted AS (SELECT x, churned, n * CAST(sum(n) OVER () AS DOUBLE) / (2 * sum(n) OVER (PARTITION BY churned)) AS w FROM cells),
 shares AS (SELECT x, sum(CASE WHEN churned THEN w ELSE 0 END) / sum(w) AS p FROM weighted GROUP BY x),
 overall AS (SELECT sum(CASE WHEN churned THEN w ELSE 0 END) / sum(w) AS q FROM weighted),
-credited AS (SELECT ID, 'is_company' AS feature, 2 * (p - q) AS contribution FROM known JOIN shares USING (x), overall WHERE split = 'test')"""
+credited AS (SELECT ID, x, 'is_company' AS feature, 2 * (p - q) AS contribution FROM known JOIN shares USING (x), overall WHERE split = 'test')"""
 
 
-def one_split_contributions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One round of boosting fits the label as -1 and 1, so the margin of a leaf is twice its share less one."""
+def one_split(spark: SparkSession, sf_dir: str) -> tuple:
+    """One round of boosting fits the label as -1 and 1, so the margin of a leaf is twice its share less one. Returns
+    the model, the rows of the test part with their vectors, and the features."""
     train, valid = company_parts(spark, sf_dir)
     model = models.encoded_pipeline(train, models.boosting(rounds=1, depth=1), training.BOOKKEEPING)
-    rows = models.assembled(model, valid)
-    return attribution.tree_contributions(model.stages[-1], rows, models.vector_features(model), ID)
+    return model.stages[-1], stage(models.assembled(model, valid).select(ID, "features"), "vectors"), models.vector_features(model)
 
 
 @register("tree_contributions_of_one_split", f"{ONE_SPLIT} SELECT ID, feature, round(contribution, 6) AS contribution FROM credited")
 def contributions_of_one_split(spark, sf_dir):
-    return rounded(one_split_contributions(spark, sf_dir).select(ID, "feature", "contribution"), ["contribution"], 6)
+    found = attribution.tree_contributions(*one_split(spark, sf_dir), ID)
+    return rounded(found.select("ID", "feature", "contribution"), ["contribution"], 6)
 
 
 @register(
@@ -298,9 +297,17 @@ def contributions_of_one_split(spark, sf_dir):
     "mean_abs_contribution FROM credited GROUP BY feature",
 )
 def summary_of_one_split(spark, sf_dir):
-    found = attribution.contribution_summary(one_split_contributions(spark, sf_dir))
-    means = ["mean_contribution", "mean_abs_contribution"]
-    return rounded(found.select("feature", *means), means, 6)
+    found = attribution.tree_contribution_summary(*one_split(spark, sf_dir))
+    return rounded(found, ["mean_contribution", "mean_abs_contribution"], 6)
+
+
+@register(
+    "tree_contribution_dependence_of_one_split",
+    f"{ONE_SPLIT} SELECT feature, CAST(CASE WHEN x THEN 9 ELSE 0 END AS BIGINT) AS bin, avg(CASE WHEN x THEN 1.0 ELSE 0.0 END) AS "
+    "mean_value, round(avg(contribution), 6) AS mean_contribution, count(*) AS bin_rows FROM credited GROUP BY feature, x",
+)
+def dependence_of_one_split(spark, sf_dir):
+    return rounded(attribution.tree_dependence(*one_split(spark, sf_dir)), ["mean_value", "mean_contribution"], 6)
 
 
 @register(

@@ -89,6 +89,27 @@ def test_tree_contributions_give_the_margin(boosted, halves):
     assert summary.mean_abs_contribution.drop("a").max() < summary.mean_abs_contribution["a"]
 
 
+def test_contributions_add_up_inside_the_tasks(boosted, halves):
+    """Summary and dependence equal those of the rows, for boosting and for a forest of deep trees."""
+    train, valid = halves
+    forest = models.native_category_pipeline(train, models.random_forest(5, 30), training.BOOKKEEPING)
+    for model in (boosted[0], forest):
+        fitted, names = model.stages[-1], models.vector_features(model)
+        rows = stage(models.assembled(model, valid).select(ID, "features").repartition(3), "vectors")
+        found = stage(attribution.tree_contributions(fitted, rows, names, ID), "contributions")
+        for slow, fast, key in (
+            (attribution.contribution_summary(found), attribution.tree_contribution_summary(fitted, rows, names), ["feature"]),
+            (attribution.dependence(found), attribution.tree_dependence(fitted, rows, names), ["feature", "bin"]),
+        ):
+            a, b = (x.toPandas().sort_values(key, ignore_index=True)[slow.columns] for x in (slow, fast))
+            pd.testing.assert_frame_equal(a, b, check_dtype=False)
+        assert attribution.tree_dependence(fitted, rows.limit(0), names).count() == 0
+    p = forest.transform(valid).select(ID, training.positive_probability().alias("p")).toPandas().set_index(ID).p
+    table = found.toPandas()
+    totals = table.groupby(ID).contribution.sum() + table.groupby(ID).bias.first()
+    assert np.allclose(totals.loc[p.index], p)
+
+
 def test_ranking_curves_end_at_the_scores_of_the_model(boosted, halves):
     model, _ = boosted
     rows = {"valid": models.assembled(model, halves[1])}
