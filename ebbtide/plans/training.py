@@ -13,6 +13,7 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Model, PipelineModel
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from ebbtide.functions.columns import doubles_to_floats, with_noise
 from ebbtide.operators import metrics as m
 from ebbtide.operators.attribution import importance_table, linear_attribution
+from ebbtide.operators.encoders import feature_output_columns
 from ebbtide.operators.models import (
     FEATURES,
     LABEL,
@@ -39,7 +41,6 @@ from ebbtide.operators.models import (
     importances,
     learning_curve,
     logistic_regression,
-    native_category_pipeline,
     source_of,
 )
 from ebbtide.operators.splits import (
@@ -315,27 +316,36 @@ def eliminate(
 def fit_boosting(
     train: DataFrame, valid: DataFrame, rounds: int, depth: int, rate: float, patience: int, max_bins: int = 64
 ) -> tuple[PipelineModel, DataFrame]:
-    """Boosting with early stopping: one fit of all rounds, the best round by the validation loss with ``patience``,
-    and the model of the trees up to it. Also returns the learning curves. ``max_bins`` has to cover the column of
-    most categories."""
-    full = native_category_pipeline(train, boosting(rounds, depth, rate, max_bins=max_bins), BOOKKEEPING)
-    fitted, curve = _up_to_best(full.stages[-1], assembled(full, train), assembled(full, valid), rounds, patience)
-    return PipelineModel([*full.stages[:-1], fitted]), curve
+    """Boosting with early stopping: the model of the trees up to the best round by the validation loss with
+    ``patience``, and the learning curves of the rounds that were fitted. Categories are indexed once and the vectors
+    written. ``max_bins`` has to cover the column of most categories."""
+    encoder = fit_category_indexer(train, BOOKKEEPING, max_bins)
+    names = feature_output_columns(encoder.transform(train), BOOKKEEPING)
+    assembler = VectorAssembler(inputCols=names, outputCol=FEATURES)
+
+    def vectors(part: DataFrame) -> DataFrame:
+        kept = [c for c in BOOKKEEPING if c in part.columns]
+        return stage(assembler.transform(encoder.transform(part)).select(*kept, FEATURES), "boosting-rows")
+
+    fitted, curve = boost(vectors(train), vectors(valid), rounds, depth, rate, patience, max_bins)
+    return PipelineModel([encoder, assembler, fitted]), curve
 
 
 def boost(
     train: DataFrame, valid: DataFrame, rounds: int, depth: int, rate: float, patience: int, max_bins: int = 64
 ) -> tuple[Model, DataFrame]:
-    """The same on rows that hold the vectors."""
-    full = boosting(rounds, depth, rate, max_bins=max_bins).fit(train)
-    return _up_to_best(full, train, valid, rounds, patience)
-
-
-def _up_to_best(full: Model, train: DataFrame, valid: DataFrame, rounds: int, patience: int) -> tuple[Model, DataFrame]:
-    curve = learning_curve(full, {"train": train, "valid": valid})
-    losses = [r["value"] for r in curve.where("split = 'valid'").orderBy("iteration").collect()]
-    best = best_round(losses, patience)
-    return (full if best == rounds else first_rounds(full, best)), curve
+    """The same on rows that hold the vectors. Four times ``patience`` rounds are fitted, and while the validation loss
+    has not gone that long without gain, twice as many, up to ``rounds``. The first trees of a longer fit are those of
+    the shorter one, so the model is that of a fit of all rounds."""
+    wanted = min(rounds, 4 * patience)
+    while True:
+        full = boosting(wanted, depth, rate, max_bins=max_bins).fit(train)
+        curve = learning_curve(full, {"train": train, "valid": valid})
+        losses = [r["value"] for r in curve.where("split = 'valid'").orderBy("iteration").collect()]
+        best = best_round(losses, patience)
+        if wanted == rounds or best + patience <= wanted:
+            return (full if best == wanted else first_rounds(full, best)), curve
+        wanted = min(rounds, 2 * wanted)
 
 
 def eliminate_by_noise(

@@ -69,6 +69,17 @@ def test_boosting_stops_at_the_best_round(boosted, halves):
     assert models.source_column(model, "word_index") == "word"
 
 
+def test_a_fit_that_stops_early_gives_the_model_of_all_rounds(halves):
+    """With a patience of one round it begins with four and goes on only while the loss falls."""
+    model, curve = training.fit_boosting(*halves, rounds=60, depth=4, rate=1.0, patience=1)
+    whole = models.native_category_pipeline(halves[0], models.boosting(60, 4, 1.0), training.BOOKKEEPING)
+    losses = whole.stages[-1].evaluateEachIteration(models.assembled(whole, halves[1]))
+    fitted, best = curve.where("split = 'valid'").count(), models.best_round(losses, 1)
+    assert best < fitted < 60 and model.stages[-1].getNumTrees == best
+    shown = [r.value for r in curve.where("split = 'valid'").orderBy("iteration").collect()]
+    assert shown == pytest.approx(losses[:fitted], rel=1e-6)
+
+
 def test_best_round_has_patience():
     losses = [5, 4, 4.5, 4.4, 4.3, 3.9, 6, 6, 6, 1]
     assert models.best_round(losses, patience=4) == 10
