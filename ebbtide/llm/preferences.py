@@ -8,6 +8,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ebbtide.operators.ranking import dense_ranks
+from ebbtide.session import stage
+
 # Fixed values of the chat format.
 START, END, REPLY = "<|im_start|>", "<|im_end|>", "assistant"
 
@@ -105,11 +108,16 @@ def preference_pairs(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Chosen and rejected turns (pair_id, turn, role, text) made from plain conversations (conv_id, turn, role, text).
 
     Every conversation with a reply is chosen as it is. Its rejected side has the same turns before the last reply and
-    then those of the next conversation id from that one's last reply on; where there is none, nothing follows."""
+    then those of the conversation with a reply that comes next by id, whatever the gap, from that one's last reply on;
+    nothing follows for the one of greatest id. A reply whose turn has no number does not count as one."""
     turns = conversations.select("conv_id", "turn", "role", "text")
-    last = turns.where(F.col("role") == REPLY).groupBy("conv_id").agg(F.max("turn").alias("last_reply"))
+    replied = turns.where((F.col("role") == REPLY) & F.col("conv_id").isNotNull() & F.col("turn").isNotNull())
+    last = stage(replied.groupBy("conv_id").agg(F.max("turn").alias("last_reply")), "last-replies")
+    ranks = stage(dense_ranks(last, "conv_id", "rank"), "conversation-ranks")
+    before = ranks.select(F.col("conv_id").alias("pair_id"), (F.col("rank") + 1).alias("rank"))
+    last = last.join(ranks.join(before, "rank", "left").select("conv_id", "pair_id"), "conv_id")
     turns = turns.join(last, "conv_id").withColumn("after", F.col("turn") >= F.col("last_reply"))
     chosen = turns.select(F.col("conv_id").alias("pair_id"), "turn", "role", "text")
     kept = turns.where(~F.col("after")).select(F.col("conv_id").alias("pair_id"), F.struct(F.lit(0).alias("part"), "turn").alias("turn"), "role", "text")
-    other = turns.where("after").select((F.col("conv_id") - 1).alias("pair_id"), F.struct(F.lit(1).alias("part"), "turn").alias("turn"), "role", "text")
+    other = turns.where("after").select("pair_id", F.struct(F.lit(1).alias("part"), "turn").alias("turn"), "role", "text")
     return chosen, kept.union(other)

@@ -69,9 +69,11 @@ PREFERENCES = """WITH turns AS (
   FROM conversations),
 chosen AS (SELECT conv_id AS pair_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS i
            FROM turns WHERE last_reply IS NOT NULL),
+earlier AS (SELECT conv_id, lag(conv_id) OVER (ORDER BY conv_id) AS pair_id
+            FROM (SELECT DISTINCT conv_id FROM turns WHERE last_reply IS NOT NULL)),
 mixed AS (SELECT conv_id AS pair_id, 0 AS part, turn, role, text FROM turns WHERE turn < last_reply
           UNION ALL
-          SELECT conv_id - 1, 1, turn, role, text FROM turns WHERE turn >= last_reply),
+          SELECT pair_id, 1, turn, role, text FROM turns JOIN earlier USING (conv_id) WHERE turn >= last_reply),
 rejected AS (SELECT pair_id, role, text, row_number() OVER (PARTITION BY pair_id ORDER BY part, turn, role, text) AS i
              FROM mixed WHERE pair_id IN (SELECT pair_id FROM chosen)),
 sizes AS (SELECT pair_id, (SELECT count(*) FROM chosen c WHERE c.pair_id = p.pair_id) AS n_chosen,
@@ -105,7 +107,7 @@ LEFT JOIN sides b ON b.pair_id = h.pair_id AND b.side = 'rejected'"""
 
 @register("op4_preference_pairs", PREFERENCES)
 def op4(spark, sf_dir):
-    """Every conversation with a reply is chosen; its rejected side ends with the last reply of the next conversation."""
+    """Every conversation with a reply is chosen; its rejected side ends with the last reply of the next one by id."""
     return rendered_pairs(*preference_pairs(read(spark, sf_dir, "conversations")))
 
 

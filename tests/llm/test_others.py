@@ -203,6 +203,18 @@ def test_pairs_of_the_small_table_as_in_sql(spark, small):
     assert sorted(map(tuple, found)) == sorted(want) and found
 
 
+def test_the_rejected_side_comes_from_the_next_id_that_exists(spark):
+    """Ids with gaps, a conversation without a reply between two with one, a missing id, and none."""
+    rows = [(i, t, r, f"{r}{i}") for i in (-5, 3, 40, 2**40) for t, r in enumerate(["user", "assistant"])]
+    rows += [(20, 0, "user", "unanswered"), (None, 0, "user", "lost"), (None, 1, "assistant", "lost too")]
+    talks = spark.createDataFrame(rows, "conv_id bigint, turn int, role string, text string")
+    found = preferences.rendered_pairs(*preferences.preference_pairs(talks)).collect()
+    assert {r.pair_id: r.rejected for r in found} == {-5: "assistant3<|im_end|>\n", 3: "assistant40<|im_end|>\n", 40: f"assistant{2**40}<|im_end|>\n", 2**40: ""}
+    want = by_sql("op4_preference_pairs", conversations=talks.toPandas().astype({"conv_id": "Int64"}))
+    assert sorted(map(tuple, found)) == sorted(want)
+    assert preferences.rendered_pairs(*preferences.preference_pairs(talks.where("false"))).count() == 0
+
+
 # ---- embeddings -----------------------------------------------------------------------------------
 
 
