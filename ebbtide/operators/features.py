@@ -1,12 +1,12 @@
 """The wide per-user feature row: lifetime statistics and statistics of four horizons.
 
-All horizons come out of one shuffle of the activity by user. A row is copied, inside its task, into
-each horizon it belongs to; the statistics are aggregated per (user, horizon), which needs no further
-shuffle because the rows already lie by user, and the few horizons of a user are laid side by side.
+All horizons come out of one shuffle of the activity by user: the rows lie sorted by user, and a task
+computes all statistics of all horizons of whole users (:mod:`.user_statistics`), without a copy of a
+row per horizon.
 
 Row counts per user (from :func:`user_spans`) decide how a user is handled:
 
-* ordinary users: one shuffle of the activity by user, medians from per-user buffers;
+* ordinary users: one shuffle of the activity by user, all statistics by the task that has the rows;
 * users above ``Limits.median_rows``: medians by :func:`exact_quantiles`, everything else as before;
 * users above ``Limits.hot_share`` of all rows or above ``Limits.task_rows``, whichever is less: their
   rows never meet in one task. Their attributes are broadcast in blocks of a counted size, the rows
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from ebbtide.operators.holidays import attach_holiday_counts, keep_supported
 from ebbtide.operators.quantiles import exact_quantiles
 from ebbtide.operators.target import USER_ROWS
+from ebbtide.operators.user_statistics import statistics_by_user
 from ebbtide.schemas import (
     COUNTRY,
     HOLIDAY_COUNT,
@@ -57,7 +58,7 @@ class Limits:
 
 def _per_horizon(rows: DataFrame, horizons: list[int], carry: list[str]) -> DataFrame:
     """Each row once for the lifetime and once per horizon it lies in, counted back from the user's
-    own last active week, bounds included. Runs after the shuffle, so only memory sees the copies."""
+    own last active week, bounds included. Only users that are aggregated in parts are copied like this."""
     age = F.datediff(LAST_ACTIVITY, START)
     spans = [F.lit(LIFETIME), *[F.when(age <= days, F.lit(days)) for days in horizons]]
     return rows.select(
@@ -66,26 +67,6 @@ def _per_horizon(rows: DataFrame, horizons: list[int], carry: list[str]) -> Data
     )
 
 
-def _statistics(median_limit: int | None) -> list[str]:
-    """SQL of every aggregate of one (user, horizon); medians of users above the limit are left out."""
-    found = []
-    for name in MEASURES:
-        ranked = name if median_limit is None else f"CASE WHEN {USER_ROWS} <= {median_limit} THEN {name} END"
-        found += [
-            f"avg({name}) AS {name}_average",
-            f"min({name}) AS {name}_min",
-            f"max({name}) AS {name}_max",
-            f"median({ranked}) AS {name}_median",
-            f"sum({name}) AS {name}_sum",
-        ]
-    return [
-        *found,
-        f"count({START}) AS num_of_active_weeks",
-        f"datediff(max({START}), min({START})) AS days_subscribed",
-        f"sum({HOLIDAY_COUNT}) AS {_HOLIDAYS}",
-    ]
-
-
 def _sources(horizons: list[int]) -> dict[str, tuple[int, str]]:
     """Where each output feature comes from: horizon and name of the statistic in it."""
     found = {"num_of_active_weeks": (LIFETIME, "num_of_active_weeks"), "days_subscribed": (LIFETIME, "days_subscribed")}
@@ -101,12 +82,11 @@ def _sources(horizons: list[int]) -> dict[str, tuple[int, str]]:
 def _aggregate(
     rows: DataFrame, horizons: list[int], carry: list[str], median_limit: int | None
 ) -> DataFrame:
-    """One row per user with a struct of statistics per horizon. Carried columns depend on the user
+    """One row per user with the statistics of every horizon. Carried columns depend on the user
     alone, so grouping by them too changes no group and saves the joins that would attach them to
     the wide row."""
-    statistics = _statistics(median_limit)
-    long = _per_horizon(rows, horizons, carry).groupBy(ID, *carry, _DAYS).agg(*map(F.expr, statistics))
-    return _side_by_side(long, horizons, carry)
+    ranked = F.lit(True) if median_limit is None else F.col(USER_ROWS) <= median_limit
+    return statistics_by_user(rows, [ID, *carry], MEASURES, START, LAST_ACTIVITY, HOLIDAY_COUNT, ranked, horizons)
 
 
 def _salted_aggregate(rows: DataFrame, horizons: list[int], carry: list[str], task_rows: int) -> DataFrame:
@@ -130,11 +110,14 @@ def _salted_aggregate(rows: DataFrame, horizons: list[int], carry: list[str], ta
 
 
 def _side_by_side(long: DataFrame, horizons: list[int], carry: list[str]) -> DataFrame:
-    names = [s.rsplit(" AS ", 1)[1] for s in _statistics(None)]
+    """The columns of :func:`_aggregate` out of one row per user and horizon."""
+    wanted = dict.fromkeys(_sources(horizons).values())
+    names = list(dict.fromkeys(statistic for _, statistic in wanted))
     packed = long.select(ID, *carry, _DAYS, F.struct(*names).alias("_stats"))
-    return packed.groupBy(ID, *carry).agg(
+    laid = packed.groupBy(ID, *carry).agg(
         *[F.expr(f"any_value(_stats) FILTER (WHERE {_DAYS} = {d}) AS _d{d}") for d in [LIFETIME, *horizons]]
     )
+    return laid.select(ID, *carry, *[F.col(f"_d{days}.{statistic}").alias(f"d{days}_{statistic}") for days, statistic in wanted])
 
 
 def _large_medians(rows: DataFrame, horizons: list[int], largest_group: int) -> DataFrame:
@@ -154,7 +137,7 @@ def _flat(
 ) -> DataFrame:
     columns = []
     for target, (days, statistic) in _sources(horizons).items():
-        options = [f"_d{days}.{statistic}"]
+        options = [f"d{days}_{statistic}"]
         if large_medians and statistic.endswith("_median"):
             options.append(f"_medians['{days}:{statistic}']")
         columns.append(f"coalesce({', '.join(options)}, 0) AS {target}")

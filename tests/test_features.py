@@ -181,3 +181,51 @@ def test_user_filter_reaches_the_scan(spark, tmp_path):
     b.activity(spark, [(u, LAST, 1) for u in range(50)]).write.parquet(str(tmp_path / "a"))
     plan = plan_of(for_users(read_activity(spark, str(tmp_path / "a"), "parquet"), 7))
     assert "EqualTo(ID,7)" in plan.split("PushedFilters")[1]
+
+
+def test_statistics_of_each_horizon_without_copies(spark):
+    """Against Spark's own aggregates, with users that reach over the batches of a task, nulls and NaN."""
+    from pyspark.sql import functions as F
+
+    from ebbtide.operators.user_statistics import statistics_by_user
+
+    draw = random.Random(5)
+    rows = []
+    for user, n in enumerate([1, 2, 3, 40, 1, 7, 300]):
+        for _ in range(n):
+            start = draw.choice([None, LAST - dt.timedelta(draw.randint(0, 100))])
+            whole = draw.choice([None, draw.randint(-5, 5)])
+            rows.append((user, [None, "a"][user % 2], start, LAST, 1, whole, draw.choice([None, float("nan"), draw.random(), -1.0])))
+    frame = spark.createDataFrame(rows, "ID long, c string, s date, l date, h long, i int, d double").repartition(3)
+    found = statistics_by_user(frame, ["ID", "c"], ["i", "d"], "s", "l", "h", F.col("ID") != 3, [30, 90], task_rows=5)
+    assert "Generate" not in plan_of(found) and "ObjectHash" not in plan_of(found)
+    wanted = []
+    for days in (0, 30, 90):
+        rule = "true" if not days else f"datediff(l, s) <= {days}"
+        wanted += [f"sum(h) FILTER (WHERE {rule}) AS d{days}_holidays"] if days else [
+            "count(s) AS d0_num_of_active_weeks", "datediff(max(s), min(s)) AS d0_days_subscribed"]
+        for name in ("i", "d"):
+            for statistic in ("avg", "min", "max", "median", "sum"):
+                kept = f"{statistic}({name}) FILTER (WHERE {rule})"
+                kept = f"if(ID <> 3, {kept}, null)" if statistic == "median" else kept
+                wanted.append(f"{kept} AS d{days}_{name}_{statistic.replace('avg', 'average')}")
+    plain = frame.groupBy("ID", "c").agg(*map(F.expr, wanted))
+    assert dict(found.dtypes) == dict(plain.dtypes)
+    for one, two in zip(found.orderBy("ID").collect(), plain.select(*found.columns).orderBy("ID").collect(), strict=True):
+        for name, x, y in zip(found.columns, one, two):
+            same = x == y or (x != x and y != y) or (isinstance(x, float) and x == pytest.approx(y))
+            assert same, (one.ID, name, x, y)
+
+
+def test_ordered_tables_compute_their_rows_once(spark, tmp_path):
+    from ebbtide.sources.readers import write_table
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    found = write_table(spark.range(500).mapInArrow(counted, "id long"), str(tmp_path / "t"), order_by="id")
+    assert found.count() == 500 and seen.value == 500
