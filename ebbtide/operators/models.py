@@ -47,9 +47,11 @@ def logistic_regression(train: DataFrame, inverse_strength: float = INVERSE_REGU
 
 
 def random_forest(trees: int = 100, depth: int = 30, seed: int = 42, min_rows: int = 1):
+    """Rows keep the numbers of their nodes (``cacheNodeIds``): without that every pass would send all deep trees to
+    every task again. The trees are the same."""
     return RandomForestClassifier(
         labelCol=LABEL, featuresCol=FEATURES, weightCol=WEIGHT, numTrees=trees, maxDepth=depth,
-        featureSubsetStrategy="sqrt", minInstancesPerNode=min_rows, seed=seed,
+        featureSubsetStrategy="sqrt", minInstancesPerNode=min_rows, seed=seed, cacheNodeIds=True,
     )
 
 

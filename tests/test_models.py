@@ -265,3 +265,30 @@ def test_a_run_without_manifest_is_not_read(spark, tmp_path):
         other.values(run_id, {"auc": 0.7})
         assert other.read("metrics").count() == 0
     assert [(r.run_id, r.value) for r in log.read("metrics").collect()] == [(run_id, 0.7)]
+
+
+def test_forests_keep_node_numbers():
+    """Otherwise every pass sends all deep trees to every task."""
+    assert models.random_forest(2, 3).getCacheNodeIds()
+
+
+def test_training_makes_no_second_copy_of_the_wide_rows(spark, monkeypatch):
+    from ebbtide import session
+    from ebbtide.operators import ranking, splits
+
+    written = []
+
+    def recorded(df, name):
+        written.append((name, len(df.columns)))
+        return session.stage(df, name)
+
+    for module in (training, splits, ranking):
+        monkeypatch.setattr(module, "stage", recorded)
+    rows = spark.createDataFrame(
+        [(i, i % 3 == 0, float(i % 3 == 0), float(i % 7), float(i % 5), float(i % 2)) for i in range(120)],
+        "ID long, churned boolean, label double, a double, b double, c double",
+    )
+    training.train_evaluate(rows, models.logistic_regression)
+    training.fit_folds(rows, models.logistic_regression, folds=2)
+    assert {name for name, _ in written} >= {"cuts", "scores"}
+    assert all(columns < len(rows.columns) for _, columns in written)
