@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ebbtide.operators.ranking import rank_cuts
-from ebbtide.session import broadcast_if_small
+from ebbtide.session import broadcast_if_small, stage
 
 _ORDER = "_order"
 
@@ -52,7 +52,8 @@ def _proportional(counts: DataFrame, label: str, rows: str, wanted: Column, out:
 
 def _assign(df: DataFrame, label: str, order: Column, wanted: DataFrame, part: str) -> DataFrame:
     """``part`` = number of cuts lying before the row. ``wanted`` is ``(label, cut, rank)``; a cut at
-    rank 0 lies before every row of its class. A row without a label has no part (null)."""
+    rank 0 lies before every row of its class. A row without a label has no part (null). The few cuts are
+    written, so that the part is a comparison made anew by every scan and ``df`` needs no second copy."""
     keyed = df.withColumn(_ORDER, order)
     found = rank_cuts(keyed.where(F.col(label).isNotNull()), label, _ORDER, wanted.where(F.col("rank") > 0))
     per_class = (
@@ -62,7 +63,7 @@ def _assign(df: DataFrame, label: str, order: Column, wanted: DataFrame, part: s
     )
     passed = F.when(F.col(label).isNotNull(), F.size(F.filter("_cuts", lambda cut: cut < F.col(_ORDER))) + F.col("_empty"))
     return (
-        keyed.join(F.broadcast(per_class), label, "left")
+        keyed.join(F.broadcast(stage(per_class, "cuts")), label, "left")
         .withColumn(part, passed.cast("int"))
         .select(*df.columns, part)
     )

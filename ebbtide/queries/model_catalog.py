@@ -44,7 +44,7 @@ def rows_for_models(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    rows = stage(stratified_split(rows_for_models(spark, sf_dir), CHURNED, ID), "split-rows")
+    rows = stratified_split(rows_for_models(spark, sf_dir), CHURNED, ID)
     return (
         training.weighted_part(rows, F.col("split") == "train"),
         training.weighted_part(rows, F.col("split") == "test"),
