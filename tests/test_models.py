@@ -267,7 +267,7 @@ def test_a_run_without_manifest_is_not_read(spark, tmp_path):
     assert [(r.run_id, r.value) for r in log.read("metrics").collect()] == [(run_id, 0.7)]
 
 
-def test_forests_keep_node_numbers():
+def test_forests_keep_node_numbers(spark):
     """Otherwise every pass sends all deep trees to every task."""
     assert models.random_forest(2, 3).getCacheNodeIds()
 
