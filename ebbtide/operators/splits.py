@@ -18,6 +18,7 @@ from ebbtide.operators.ranking import rank_cuts
 from ebbtide.session import broadcast_if_small, stage
 
 _ORDER = "_order"
+FEW_WEIGHTS = 64  # so many class weights are looked up in one value, more are joined
 
 
 def _require_boolean(df: DataFrame, label: str) -> None:
@@ -53,7 +54,8 @@ def _proportional(counts: DataFrame, label: str, rows: str, wanted: Column, out:
 def _assign(df: DataFrame, label: str, order: Column, wanted: DataFrame, part: str) -> DataFrame:
     """``part`` = number of cuts lying before the row. ``wanted`` is ``(label, cut, rank)``; a cut at
     rank 0 lies before every row of its class. A row without a label has no part (null). The few cuts are
-    written, so that the part is a comparison made anew by every scan and ``df`` needs no second copy."""
+    written, so that the part is a comparison made anew by every scan and ``df`` needs no second copy; each scan reads
+    the cuts of a class as one value, as a join would cost more than the rest of a scan of wide rows."""
     keyed = df.withColumn(_ORDER, order)
     found = rank_cuts(keyed.where(F.col(label).isNotNull()), label, _ORDER, wanted.where(F.col("rank") > 0))
     per_class = (
@@ -61,12 +63,12 @@ def _assign(df: DataFrame, label: str, order: Column, wanted: DataFrame, part: s
         .groupBy(label)
         .agg(F.collect_list(_ORDER).alias("_cuts"), F.count_if(F.col("rank") <= 0).alias("_empty"))
     )
-    passed = F.when(F.col(label).isNotNull(), F.size(F.filter("_cuts", lambda cut: cut < F.col(_ORDER))) + F.col("_empty"))
-    return (
-        keyed.join(F.broadcast(stage(per_class, "cuts")), label, "left")
-        .withColumn(part, passed.cast("int"))
-        .select(*df.columns, part)
-    )
+    written = stage(per_class, "cuts")
+    yes, no = (written.where(F.col(label) == value).select(F.struct("_cuts", "_empty")).scalar() for value in (True, False))
+    own = F.when(F.col(label), yes).otherwise(no)
+    before = F.size(F.filter(F.col("_own")["_cuts"], lambda cut: cut < F.col(_ORDER))) + F.col("_own")["_empty"]
+    passed = F.when(F.col(label).isNotNull(), before).cast("int")
+    return keyed.withColumn("_own", own).select(*df.columns, passed.alias(part))
 
 
 def stratified_split(
@@ -157,8 +159,8 @@ def with_balanced_weights(
     df: DataFrame, label: str, by: list[str] | None = None, weight: str = "weight"
 ) -> DataFrame:
     """Adds rows / (classes * rows of the class), over all rows or inside each ``by`` group (split
-    or fold). The table of weights has one row per class and group; it is broadcast where a count finds it short.
-    A row without a label counts for nothing and has no weight (null); a null ``by`` value is a group."""
+    or fold). The table of weights has one row per class and group; it is written, and where it is short each scan reads
+    it as one value instead of joining wide rows. A row without a label counts for nothing and has no weight (null); a null ``by`` value is a group."""
     by = by or []
     _require_boolean(df, label)
     inside = Window.partitionBy(*(by or [F.lit(0)]))
@@ -169,6 +171,11 @@ def with_balanced_weights(
         (F.sum("_class_rows").over(inside) / (F.count(F.lit(1)).over(inside) * F.col("_class_rows"))).alias(weight),
     )
     named = {c: f"_of_{c}" for c in [*by, label]}
-    weights = broadcast_if_small(weights.withColumnsRenamed(named))
+    weights = stage(weights.withColumnsRenamed(named), "class-weights")
+    if weights.count() <= FEW_WEIGHTS:
+        every = weights.agg(F.collect_list(F.struct(*named.values(), weight))).scalar()
+        own = F.filter("_every", lambda entry: reduce(and_, [F.col(c).eqNullSafe(entry[n]) for c, n in named.items()]))
+        return df.withColumn("_every", every).select(*df.columns, F.get(own, F.lit(0))[weight].alias(weight))
+    weights = broadcast_if_small(weights)
     same = reduce(and_, [df[c].eqNullSafe(weights[n]) for c, n in named.items()])
     return df.join(weights, same, "left").select(*[df[c] for c in df.columns], weight)

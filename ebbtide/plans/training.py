@@ -318,8 +318,16 @@ def fit_boosting(
     train: DataFrame, valid: DataFrame, rounds: int, depth: int, rate: float, patience: int, max_bins: int = 64
 ) -> tuple[PipelineModel, DataFrame]:
     """Boosting with early stopping: the model of the trees up to the best round by the validation loss with
-    ``patience``, and the learning curves of the rounds that were fitted. Categories are indexed once and the vectors
-    written. ``max_bins`` has to cover the column of most categories."""
+    ``patience``, and the learning curves of the rounds that were fitted. ``max_bins`` has to cover the column of most
+    categories."""
+    return fit_boosting_on_vectors(train, valid, rounds, depth, rate, patience, max_bins)[:2]
+
+
+def fit_boosting_on_vectors(
+    train: DataFrame, valid: DataFrame, rounds: int, depth: int, rate: float, patience: int, max_bins: int = 64
+) -> tuple[PipelineModel, DataFrame, DataFrame, DataFrame]:
+    """:func:`fit_boosting` and the written vectors of both parts, beside the columns that are no features. Categories
+    are indexed and vectors made once; what looks at the model on the same rows reads them."""
     encoder = fit_category_indexer(train, BOOKKEEPING, max_bins)
     names = feature_output_columns(encoder.transform(train), BOOKKEEPING)
     assembler = VectorAssembler(inputCols=names, outputCol=FEATURES)

@@ -74,7 +74,8 @@ def forest_importances(spark, sf_dir):
 
 
 def _boosted(train: DataFrame, valid: DataFrame):
-    return training.fit_boosting(train, valid, ROUNDS, ROUND_DEPTH, 0.1, patience=PATIENCE)
+    """Model, learning curves and the written vectors of both parts."""
+    return training.fit_boosting_on_vectors(train, valid, ROUNDS, ROUND_DEPTH, 0.1, patience=PATIENCE)
 
 
 @register("boosting_learning_curves")
@@ -86,9 +87,8 @@ def boosting_curves(spark, sf_dir):
 @register("boosting_ranking_curves")
 def boosting_ranking_curves(spark, sf_dir):
     train, valid = parts(spark, sf_dir)
-    model, _ = _boosted(train, valid)
-    split = {"train": models.assembled(model, train), "valid": models.assembled(model, valid)}
-    return models.ranking_curves(model.stages[-1], split, CHURNED)
+    model, _, train, valid = _boosted(train, valid)
+    return models.ranking_curves(model.stages[-1], {"train": train, "valid": valid}, CHURNED)
 
 
 @register("boosting_importances")
@@ -108,8 +108,7 @@ TEST_USERS = (
 def tree_contributions_add_up(spark, sf_dir):
     """Path contributions plus bias minus the raw margin of the model, per user of the test part."""
     train, valid = parts(spark, sf_dir)
-    model, _ = _boosted(train, valid)
-    rows = stage(models.assembled(model, valid).select(ID, "features"), "vectors")
+    model, _, _, rows = _boosted(train, valid)
     margins = model.stages[-1].transform(rows).select(
         ID, (F.log(training.positive_probability() / (1 - training.positive_probability())) / 2).alias("margin")
     )
@@ -122,17 +121,15 @@ def tree_contributions_add_up(spark, sf_dir):
 @register("tree_contribution_summary")
 def tree_contribution_summary(spark, sf_dir):
     train, valid = parts(spark, sf_dir)
-    model, _ = _boosted(train, valid)
-    rows = models.assembled(model, valid)
+    model, _, _, rows = _boosted(train, valid)
     return attribution.tree_contribution_summary(model.stages[-1], rows, models.vector_features(model))
 
 
 @register("tree_contribution_dependence")
 def tree_contribution_dependence(spark, sf_dir):
     train, valid = parts(spark, sf_dir)
-    model, _ = _boosted(train, valid)
-    rows = models.assembled(model, valid)
-    return attribution.tree_dependence(model.stages[-1], stage(rows.select("features"), "vectors"), models.vector_features(model))
+    model, _, _, rows = _boosted(train, valid)
+    return attribution.tree_dependence(model.stages[-1], rows, models.vector_features(model))
 
 
 # Isotonic regression has a closed form: the largest over all starts of the smallest mean over all ends.

@@ -30,11 +30,15 @@ def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     weeks = orders.where(F.col("o_custkey").isNotNull()).select(
         "o_orderkey", F.col("o_custkey").alias(ID), F.date_trunc("week", "o_orderdate").cast("date").alias(START)
     )
-    bid = F.col("l_discount") > BID_DISCOUNT
-    won = F.col("l_returnflag") == "R"
-    # One row per lot and week first: distinct counts then are plain counts of those rows.
+    bid, won = F.col("bid"), F.col("won")
+    views = lines.select(
+        "l_orderkey", "l_partkey", "l_extendedprice",
+        (F.col("l_discount") > BID_DISCOUNT).alias("bid"), (F.col("l_returnflag") == "R").alias("won"),
+    )
+    # One row per lot and week first: distinct counts then are plain counts of those rows. Orders are the short side and
+    # hold a key once, so that each task looks its lines up and sorts neither.
     lots = (
-        lines.join(weeks, F.col("l_orderkey") == F.col("o_orderkey"))
+        views.join(weeks.hint("shuffle_hash"), F.col("l_orderkey") == F.col("o_orderkey"))
         .groupBy(ID, START, "l_partkey")
         .agg(
             F.count(F.lit(1)).alias("views"),

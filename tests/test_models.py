@@ -292,3 +292,27 @@ def test_training_makes_no_second_copy_of_the_wide_rows(spark, monkeypatch):
     training.fit_folds(rows, models.logistic_regression, folds=2)
     assert {name for name, _ in written} >= {"cuts", "scores"}
     assert all(columns < len(rows.columns) for _, columns in written)
+
+
+def test_what_looks_at_a_boosted_model_reads_its_written_vectors(halves):
+    model, curve, train, valid = training.fit_boosting_on_vectors(*halves, rounds=3, depth=2, rate=0.3, patience=3)
+    for written, part in ((train, halves[0]), (valid, halves[1])):
+        assert all("/boosting-rows-" in file for file in written.inputFiles())
+        made = {r[ID]: r.features for r in models.assembled(model, part).select(ID, "features").collect()}
+        assert {r[ID]: r.features for r in written.collect()} == made
+    assert curve.count() == 6
+
+
+def test_noise_elimination_writes_no_wide_rows(rows, monkeypatch):
+    """The noise is drawn when the vectors are written; each fit reads slices that are written."""
+    written = []
+
+    def recorded(df, name):
+        written.append((name, len(df.columns)))
+        return stage(df, name)
+
+    for module in (training, models):
+        monkeypatch.setattr(module, "stage", recorded)
+    training.eliminate_by_noise(rows, rounds=3, depth=2, rate=0.3, patience=3)
+    names = [name for name, _ in written]
+    assert "noise-rows" not in names and names.count("encoded-rows") == 1 and names.count("boosting-rows") >= 4

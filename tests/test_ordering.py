@@ -211,3 +211,16 @@ def test_rows_without_a_label_stay_without_part_and_weight(spark):
         inside = [(i, y) for i, y, p in rows if p == part and y is not None]
         sizes = Counter(y for _, y in inside)
         assert all(grouped[i] == pytest.approx(len(inside) / (2 * sizes[y])) for i, y in inside)
+
+
+def test_parts_and_weights_join_no_wide_rows(spark):
+    """Each scan reads cuts and class weights as values; a null label or key has its place as before."""
+    frame = spark.createDataFrame([(None if i == 5 else i, None if i == 7 else i % 3 == 0) for i in range(90)], "ID long, churned boolean")
+    parted = stratified_split(frame, "churned", "ID")
+    weighted = with_balanced_weights(parted, "churned", ["split"])
+    assert "Join" not in weighted._jdf.queryExecution().optimizedPlan().toString()
+    rows = weighted.collect()
+    assert [r.split for r in rows if r.churned is None] == [r.weight for r in rows if r.churned is None] == [None]
+    assert sum(r.split == "train" for r in rows) == 71 and sum(r.split == "test" for r in rows) == 18
+    for part, size in (("train", 71), ("test", 18)):
+        assert sum(r.weight for r in rows if r.split == part) == pytest.approx(size)
