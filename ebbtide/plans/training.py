@@ -336,8 +336,9 @@ def fit_boosting_on_vectors(
         kept = [c for c in BOOKKEEPING if c in part.columns]
         return stage(assembler.transform(encoder.transform(part)).select(*kept, FEATURES), "boosting-rows")
 
-    fitted, curve = boost(vectors(train), vectors(valid), rounds, depth, rate, patience, max_bins)
-    return PipelineModel([encoder, assembler, fitted]), curve
+    train, valid = vectors(train), vectors(valid)
+    fitted, curve = boost(train, valid, rounds, depth, rate, patience, max_bins)
+    return PipelineModel([encoder, assembler, fitted]), curve, train, valid
 
 
 def boost(
@@ -371,21 +372,21 @@ def eliminate_by_noise(
 ) -> tuple[Training, list[str], list[str]]:
     """Boosting again and again next to a noise column; what is not more important than the noise (or than ``limit``)
     goes, and at least one column stays. The last fit, without the noise, is calibrated. Categories are indexed once;
-    each fit takes its part of the written vectors. Returns the training, the kept and the dropped columns. With
-    ``log`` every fit is a run."""
+    the noise is drawn once, when the vectors are written, and each fit writes the slices it reads again and again.
+    Returns the training, the kept and the dropped columns. With ``log`` every fit is a run."""
     if same_split:
         parted = stratified_split(rows, CHURNED, ID, seed=seed)
     else:
         parted = three_way_split(rows, CHURNED, ID, valid_size=0.1, test_size=0.2, seed=seed)
     parted = with_balanced_weights(with_noise(parted, NOISE, seed), CHURNED, ["split"], WEIGHT)
-    encoded = encode_once(stage(parted, "noise-rows"), BOOKKEEPING, partial(fit_category_indexer, max_bins=max_bins))
+    encoded = encode_once(parted, BOOKKEEPING, partial(fit_category_indexer, max_bins=max_bins))
     boosted = {"rounds": rounds, "depth": depth, "rate": rate, "patience": patience, "max_bins": max_bins}
     columns = [c for c in rows.columns if c not in BOOKKEEPING]
     main = log.start("elimination_by_noise", {"columns": columns}) if log else None
 
     def fit(kept: list[str], judge: bool) -> tuple[DataFrame, Training | None]:
         features = encoded.features_of(kept)
-        train, valid = encoded.part("train", features), encoded.part("test", features)
+        train, valid = (stage(encoded.part(name, features), "boosting-rows") for name in ("train", "test"))
         fitted, curve = boost(train, valid, **boosted)
         table = slice_importances(fitted, features, train, valid)
         if not judge and not log:
