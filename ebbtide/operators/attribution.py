@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ebbtide.functions.columns import long_form
+from ebbtide.operators.forests import ForestModel
 from ebbtide.session import work_folder
 
 WEIGHTS_SCHEMA = T.StructType(
@@ -155,7 +156,7 @@ class _Tree:
 def _shipped_trees(model, spark: SparkSession):
     """Trees and their weights as a broadcast variable, and the margin before any split: of a boosted model the raw
     margin, of a forest the probability, which is the mean share of its trees."""
-    shares = isinstance(model, RandomForestClassificationModel)
+    shares = isinstance(model, (RandomForestClassificationModel, ForestModel))
     trees = [_Tree(part, shares) for _, part in tree_nodes(model, spark).groupby("tree")]
     weights = [w / len(trees) if shares else w for w in model.treeWeights]
     bias = float(sum(w * t.value[0] for w, t in zip(weights, trees)))

@@ -10,7 +10,6 @@ from pyspark.ml.classification import (
     GBTClassificationModel,
     GBTClassifier,
     LogisticRegression,
-    RandomForestClassifier,
 )
 from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler, VectorSlicer
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
@@ -20,6 +19,7 @@ from pyspark.sql import types as T
 
 from ebbtide.operators.attribution import staged_scores
 from ebbtide.operators.encoders import ColumnEncoder, feature_output_columns
+from ebbtide.operators.forests import Forest
 from ebbtide.operators.isotonic import isotonic_blocks
 from ebbtide.operators.metrics import ranking_metrics
 from ebbtide.session import stage
@@ -47,9 +47,10 @@ def logistic_regression(train: DataFrame, inverse_strength: float = INVERSE_REGU
 
 
 def random_forest(trees: int = 100, depth: int = 30, seed: int = 42, min_rows: int = 1):
-    """Rows keep the numbers of their nodes (``cacheNodeIds``): without that every pass would send all deep trees to
-    every task again. The trees are the same."""
-    return RandomForestClassifier(
+    """Trees on numbers grow where their rows are (:mod:`.forests`). Where there are categories Spark grows them, and rows
+    keep the numbers of their nodes (``cacheNodeIds``): without that every pass would send all deep trees to every task
+    again."""
+    return Forest(
         labelCol=LABEL, featuresCol=FEATURES, weightCol=WEIGHT, numTrees=trees, maxDepth=depth,
         featureSubsetStrategy="sqrt", minInstancesPerNode=min_rows, seed=seed, cacheNodeIds=True,
     )
