@@ -18,13 +18,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ebbtide.functions.columns import long_form, numeric_columns, string_columns
-from ebbtide.operators.quantiles import exact_quantiles
+from ebbtide.operators.quantiles import wide_quantiles
 from ebbtide.operators.ranking import dense_ranks
 from ebbtide.session import broadcast_if_small, stage
 
 ONE_HOT_CATEGORIES = 5
 MISSING = "None"  # names the indicator of missing values
 UNKNOWN_CODE = -1.0
+QUARTILES = [0.25, 0.5, 0.75]
 LABELS_SCHEMA = "column string, label string, code float"
 
 
@@ -105,15 +106,15 @@ def standard_scale(df: DataFrame, columns: list[str]) -> dict[str, tuple[float,
 
 def column_quartiles(df: DataFrame, columns: list[str]) -> DataFrame:
     """``column, quantiles``: exact quartiles of every column, at any number of rows."""
-    values = long_form(df, columns).where(F.col("value").isNotNull() & ~F.isnan("value"))
-    return exact_quantiles(values, ["column"], "value", [0.25, 0.5, 0.75], largest_group=df.count())
+    found = wide_quantiles(df, columns, QUARTILES)
+    return df.sparkSession.createDataFrame([*found.items()], "column string, quantiles array<double>")
 
 
 def robust_scale(df: DataFrame, columns: list[str]) -> dict[str, tuple[float, float]]:
     """Centre and scale per column: median and interquartile range, scale 1 for a zero range."""
     if not columns:
         return {}
-    quartiles = {r["column"]: r["quantiles"] for r in column_quartiles(df, columns).collect()}
+    quartiles = wide_quantiles(df, columns, QUARTILES)
     fitted = {}
     for c in columns:
         low, middle, high = quartiles.get(c, (0.0, 0.0, 0.0))

@@ -134,3 +134,27 @@ def test_selectors_casts_and_cleaning(spark):
     assert abs(noise[0]) < 0.1 and abs(noise[1] - 1) < 0.1
     people = spark.createDataFrame([(1, None, "NL", None, "F", True)], "ID int, mobile_device string, country string, preferred_language string, gender string, is_company boolean")
     assert tuple(clean_attributes(people).first()) == (1, "unknown", "nl", None, "f", True)
+
+
+def test_quartiles_of_many_columns_are_exact(spark, monkeypatch):
+    """Also of values that differ in their last bits, come often, or are not numbers; no value is moved by itself."""
+    from ebbtide.operators import quantiles
+
+    monkeypatch.setattr(quantiles, "exact_quantiles", None)
+    draw = np.random.default_rng(8)
+    n = 1001
+    data = pd.DataFrame({
+        "close": 1 + draw.integers(0, 50, n) * 2.0**-52, "sign": draw.normal(size=n), "hot": np.where(draw.random(n) < 0.9, 0.0, draw.normal(size=n)),
+        "zeros": np.where(draw.random(n) < 0.5, -0.0, 0.0), "large": draw.normal(size=n) * 1e300, "holes": np.where(draw.random(n) < 0.3, np.nan, draw.random(n)),
+        "one": [float("inf")] + [7.0] * (n - 1),
+    })
+    frame = spark.createDataFrame(data).repartition(5).withColumn("none", F.lit(None).cast("double")).withColumn("whole", F.lit(2**53 + 2).cast("bigint"))
+    frame = frame.withColumn("holes", F.when(F.col("sign") > 0.5, None).otherwise(F.col("holes"))).withColumn("single", F.col("sign").cast("float"))
+    names = frame.columns
+    found = {r.column: list(r.quantiles) for r in encoders.column_quartiles(frame, names).collect()}
+    assert set(found) == set(names) - {"none"}
+    table = frame.toPandas()
+    for name, quartiles in found.items():
+        assert quartiles == pytest.approx(np.nanquantile(table[name].astype(float), [0.25, 0.5, 0.75]), rel=1e-15, abs=0), name
+    assert encoders.column_quartiles(frame.limit(0), names).count() == 0
+    assert encoders.robust_scale(frame, ["none", "whole"]) == {"none": (0.0, 1.0), "whole": (float(2**53 + 2), 1.0)}
